@@ -23,7 +23,7 @@ def collapse_points(df: DataFrame, cols: Sequence[str], weight: str = "w") -> Da
     """Distinct feature rows with their multiplicity.
 
     Indicator features take few distinct values, so billions of rows become a
-    small weighted set with the same k-means objective and the same silhouette.
+    small weighted set with the same k-means objective.
     """
     return count_by(df, *cols, out=weight)
 
@@ -126,25 +126,61 @@ def dominant_feature(features: DataFrame, sizes: DataFrame, cluster: str = "clus
     )
 
 
-def silhouette(
-    assigned: DataFrame, features: str = "features", cluster: str = "cluster", weight: str | None = None
-) -> DataFrame:
+def silhouette(assigned: DataFrame, features: str = "features", cluster: str = "cluster") -> DataFrame:
     """Mean silhouette with squared Euclidean distance, one row ``silhouette``.
 
     Closed form over per-cluster sums: one pass, never pair by pair.
     """
     evaluator = ClusteringEvaluator(featuresCol=features, predictionCol=cluster)
-    if weight is not None:
-        evaluator = evaluator.setWeightCol(weight)
     return rows_to_df(assigned.sparkSession, [(evaluator.evaluate(assigned),)], "silhouette double")
 
 
+def silhouette_of_copies(
+    assigned: DataFrame, weight: str, features: str = "features", cluster: str = "cluster"
+) -> DataFrame:
+    """The silhouette of the rows behind collapsed points, each standing for ``weight`` copies.
+
+    A copy's own cluster without itself still holds its other copies, which a
+    weighted evaluator would leave out. The distances of a point to all members
+    of a cluster sum to ``N |x|^2 + S - 2 x.Y`` with the cluster's row count N,
+    sum of squared norms S and vector sum Y (k rows, the size of the model).
+    """
+    vectors, w = F.col(features), F.col(weight).cast("double")
+    sums = (
+        assigned.groupBy(cluster)
+        .agg(Summarizer.metrics("sum", "normL2").summary(vectors, w).alias("_m"), F.sum(w).alias("_n"))
+        .select(cluster, "_n", vector_to_array("_m.sum").alias("_y"), vector_to_array("_m.normL2").alias("_q"))
+        .toPandas()
+    )
+    position = {c: i for i, c in enumerate(sums[cluster])}
+    total = np.stack(sums["_y"].to_numpy())
+    squares = (np.stack(sums["_q"].to_numpy()) ** 2).sum(axis=1)
+    members = sums["_n"].to_numpy(dtype="float64")
+
+    @F.pandas_udf("double")
+    def score(points: pd.Series, clusters: pd.Series) -> pd.Series:
+        x = np.stack(points.to_numpy())
+        own = clusters.map(position).to_numpy()
+        row = np.arange(len(x))
+        away = np.maximum((x**2).sum(axis=1)[:, None] * members + squares - 2 * x @ total.T, 0.0)
+        inside = away[row, own] / np.maximum(members[own] - 1, 1)
+        others = away / members
+        others[row, own] = np.inf
+        outside = others.min(axis=1)
+        larger = np.maximum(inside, outside)
+        known = (members[own] > 1) & (larger > 0) & np.isfinite(outside)
+        return pd.Series(np.where(known, (outside - inside) / np.where(known, larger, 1.0), 0.0))
+
+    scored = assigned.select(w.alias("_w"), score(vector_to_array(vectors), F.col(cluster)).alias("_s"))
+    return scored.agg((F.sum(F.col("_w") * F.col("_s")) / F.sum("_w")).alias("silhouette"))
+
+
 def compare_k(
     df: DataFrame, cols: Sequence[str], ks: Sequence[int], seed: int = 123, collapse: bool = False
 ) -> DataFrame:
     """``k_asked, k_found, largest, silhouette`` for several k; silhouette null for one cluster."""
-    points = collapse_points(df, cols) if collapse else df.select(*cols).withColumn("w", F.lit(1.0))
-    vectors = assemble(points, cols).select("features", F.col("w").cast("double").alias("w"))
+    points = collapse_points(df, cols) if collapse else df.select(*cols, F.lit(1).alias("w"))
+    vectors = assemble(points, cols).select("features", "w")
     rows = []
     with cached(vectors) as (vectors,):
         for k in ks:
@@ -152,11 +188,12 @@ def compare_k(
                 k=k, seed=seed, featuresCol="features", predictionCol="cluster", weightCol="w"
             )
             assigned = km.fit(vectors).transform(vectors)
-            found, largest = (
-                assigned.groupBy("cluster").agg(F.sum("w").alias("size"))
-                .agg(F.count(F.lit(1)), F.max("size").cast("bigint")).first()
-            )
-            score = silhouette(assigned, weight="w").first()[0] if found > 1 else None
+            sizes = assigned.groupBy("cluster").agg(F.sum("w").alias("size"))
+            found, largest = sizes.agg(F.count(F.lit(1)), F.max("size")).first()
+            score = None
+            if found > 1:
+                scored = silhouette_of_copies(assigned, "w") if collapse else silhouette(assigned)
+                score = scored.first()[0]
             rows.append((k, found, largest, score))
     return rows_to_df(
         df.sparkSession, rows, "k_asked int, k_found bigint, largest bigint, silhouette double"

@@ -27,16 +27,6 @@ def having_more(df: DataFrame, min_exclusive: float, col: str = "n") -> DataFram
     return df.where(F.col(col) > min_exclusive)
 
 
-def having_share(df: DataFrame, num: int, den: int, col: str = "n") -> DataFrame:
-    """Groups holding more than ``num/den`` of the column's total.
-
-    Compared in whole numbers, so no float rounding decides a tie. The total is
-    a scalar subquery over the same aggregate, whose shuffle Spark reuses.
-    """
-    total = df.agg(F.sum(col)).scalar()
-    return df.where(F.col(col) * den > total * num)
-
-
 def select_clusters(df: DataFrame, ids: Iterable[int], cluster: str = "cluster") -> DataFrame:
     return df.where(F.col(cluster).isin(*ids))
 

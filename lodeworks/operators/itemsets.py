@@ -70,8 +70,8 @@ def itemsets(baskets: DataFrame, items: str, min_exclusive: int, max_size: int |
     rounding. It mines all sizes; for a low bound and a small ``max_size``
     ``frequent_sets`` does less work.
     """
-    sets = materialize(baskets.select(F.array_distinct(F.col(items)).alias("items")), "baskets")
-    total = sets.count()
+    sets = baskets.select(F.array_distinct(F.col(items)).alias("items"))
+    total = baskets.count()
     if total <= min_exclusive:
         return _fp_result(sets.withColumn("freq", F.lit(0).cast("bigint")).limit(0), None)
     model = FPGrowth(itemsCol="items", minSupport=(min_exclusive + 0.5) / total).fit(sets)
@@ -139,8 +139,8 @@ def _pairs(anchored: DataFrame, min_exclusive: int) -> DataFrame:
     # Two streaming generators: a row holds one anchor and the items after it,
     # never the list of all its pairs, and the partial count runs in the task.
     firsts = anchored.select("w", "tail", F.posexplode("anchors").alias("_i", "item_1"))
-    rest = firsts.select("w", "item_1", F.slice("tail", F.col("_i") + 2, F.size("tail")).alias("_rest"))
-    pairs = rest.select("w", "item_1", F.explode("_rest").alias("item_2"))
+    rest = F.slice("tail", F.col("_i") + 2, F.size("tail"))
+    pairs = firsts.select("w", "item_1", F.explode(rest).alias("item_2"))
     return (
         pairs.groupBy("item_1", "item_2")
         .agg(F.sum("w").alias("n"))
@@ -161,13 +161,19 @@ def _grow(anchored: DataFrame, pairs: DataFrame, size: int, min_exclusive: int)
     state = anchored.select("w", F.explode("anchors").alias("item_1"), F.col("tail").alias("_open"))
     chosen = ["item_1"]
     for level in range(1, size):
-        state = (
-            state.join(neighbours, F.col(chosen[-1]) == F.col("_from"))
-            .select("w", *chosen, F.array_intersect("_open", "_next").alias("_open"))
-            .where(F.size("_open") >= size - level)
-        )
         following = f"item_{level + 1}"
-        state = state.select("w", *chosen, F.explode("_open").alias(following), "_open")
+        joined = state.join(neighbours, F.col(chosen[-1]) == F.col("_from"))
+        still_open = F.array_intersect("_open", "_next")
+        if level + 1 < size:
+            # The filter leaves no empty array; the outer form keeps Spark from
+            # adding its own test, which would compute the intersection again.
+            state = (
+                joined.select("w", *chosen, still_open.alias("_open"))
+                .where(F.size("_open") >= size - level)
+                .select("w", *chosen, F.explode_outer("_open").alias(following), "_open")
+            )
+        else:
+            state = joined.select("w", *chosen, F.explode(still_open).alias(following))
         chosen.append(following)
     return state.groupBy(*chosen).agg(F.sum("w").alias("n")).where(F.col("n") > min_exclusive)
 

@@ -32,27 +32,19 @@ def two_period_trend(
     first: DataFrame,
     second: DataFrame,
     key: str,
-    min_exclusive: int | None = None,
-    min_share: tuple[int, int] | None = None,
+    min_exclusive: int,
     total_min: int | None = None,
 ) -> DataFrame:
-    """Keys popular in the first period, with their total over both.
+    """Keys with more than ``min_exclusive`` rows in the first period, and their total over both.
 
-    Popular means more than ``min_exclusive`` rows, or more than the share
-    ``num/den`` of the first period's rows. Both periods go through one
-    conditional aggregate: a single shuffle of partial counts and no join.
+    Both periods go through one conditional aggregate: a single shuffle of
+    partial counts and no join.
     """
     both = first.select(key, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionAll(
         second.select(key, F.lit(0).alias("_a"), F.lit(1).alias("_b"))
     )
-    counts = both.groupBy(key).agg(
-        F.sum("_a").alias("n_first"), F.sum("_b").alias("n_second")
-    ).withColumn("n_total", F.col("n_first") + F.col("n_second"))
-    popular = counts.where(F.col("n_first") > (min_exclusive or 0))
-    if min_share is not None:
-        num, den = min_share
-        total = counts.agg(F.sum("n_first")).scalar()
-        popular = popular.where(F.col("n_first") * den > total * num)
-    if total_min is not None:
-        popular = popular.where(F.col("n_total") > total_min)
-    return popular
+    counts = both.groupBy(key).agg(F.sum("_a").alias("n_first"), F.sum("_b").alias("n_second"))
+    popular = counts.where(F.col("n_first") > min_exclusive).withColumn(
+        "n_total", F.col("n_first") + F.col("n_second")
+    )
+    return popular if total_min is None else popular.where(F.col("n_total") > total_min)

@@ -20,8 +20,13 @@ def split_to_array(df: DataFrame, col: str, sep: str, out: str) -> DataFrame:
 
 
 def explode_items(df: DataFrame, arr: str, out: str = "item", keep: Sequence[str] = ()) -> DataFrame:
-    """One row per array element, next to the ``keep`` columns."""
-    return df.select(*keep, F.explode(arr).alias(out))
+    """One row per array element, next to the ``keep`` columns.
+
+    For a bare column Spark adds a "not empty" filter and pushes it below the
+    projection, which then computes the array (a split, say) several times. An
+    expression is left alone; null arrays give no rows either way.
+    """
+    return df.select(*keep, F.explode(F.coalesce(F.col(arr), F.array())).alias(out))
 
 
 def lines_of(df: DataFrame, col: str, keep: Sequence[str] = (), out: str = "value") -> DataFrame:

@@ -136,7 +136,7 @@ def prefix_filter(spark, sf):
 
 @query
 def hashtag_min_count(spark, sf):
-    popular = filters.having_share(hashtag_count(spark, sf), 4, 1000)
+    popular = filters.having_more(hashtag_count(spark, sf), 66)
     return counts.sort_counts(popular, "token")
 
 
@@ -201,13 +201,13 @@ def two_period_join(spark, sf):
 @query
 def two_period_trend(spark, sf):
     first, second = inputs.tweet_days(spark, sf)
-    trend = joins.two_period_trend(_hashtags(first), _hashtags(second), "token", min_share=(3, 1000))
+    trend = joins.two_period_trend(_hashtags(first), _hashtags(second), "token", min_exclusive=33)
     return counts.sort_counts(trend, "token", by="n_total")
 
 
 @query
 def rating_error_join(spark, sf):
-    actual = inputs.interactions(spark, sf)
+    actual = materialize(inputs.interactions(spark, sf), "interactions")
     item_means = actual.groupBy("ItemID").agg(F.avg("Rating").alias("prediction"))
     predicted = actual.select("UserID", "ItemID").join(item_means, "ItemID")
     joined = joins.join_on(actual, predicted, ["UserID", "ItemID"])
@@ -326,8 +326,8 @@ def hash_split_2way(spark, sf):
 
 @query
 def multi_hot_topn(spark, sf):
-    hot = features.multi_hot_topn(inputs.port_arrays(spark, sf), "Ports_Array", 10, by_rank=True)
-    return hot.drop("Ports_Array")
+    ports = materialize(inputs.port_arrays(spark, sf), "ports")
+    return features.multi_hot_topn(ports, "Ports_Array", 10, by_rank=True).drop("Ports_Array")
 
 
 @query
@@ -387,13 +387,13 @@ def frequent_items(spark, sf):
 @query
 def frequent_pairs(spark, sf):
     weighted = _baskets(spark, sf)
-    return itemsets.frequent_pairs(weighted, itemsets.share_threshold(weighted, 27, 1000))
+    return itemsets.frequent_pairs(weighted, itemsets.share_threshold(weighted, 22, 1000))
 
 
 @query
 def frequent_triples(spark, sf):
     weighted = _baskets(spark, sf)
-    return itemsets.frequent_triples(weighted, itemsets.share_threshold(weighted, 4, 1000))
+    return itemsets.frequent_triples(weighted, itemsets.share_threshold(weighted, 33, 10_000))
 
 
 def _as_text(sets: DataFrame) -> DataFrame:
@@ -403,13 +403,13 @@ def _as_text(sets: DataFrame) -> DataFrame:
 @query
 def frequent_port_sets(spark, sf):
     weighted = _baskets(spark, sf)
-    return _as_text(itemsets.frequent_sets(weighted, itemsets.share_threshold(weighted, 4, 1000)))
+    return _as_text(itemsets.frequent_sets(weighted, itemsets.share_threshold(weighted, 33, 10_000)))
 
 
 @query
 def fpgrowth_itemsets(spark, sf):
     baskets = materialize(inputs.port_arrays(spark, sf).select("Ports_Array"), "ports")
-    bound = baskets.count() * 4 // 1000
+    bound = baskets.count() * 33 // 10_000
     return _as_text(itemsets.itemsets(baskets, "Ports_Array", bound, max_size=3))
 
 

@@ -131,7 +131,7 @@ ORACLE: dict[str, str] = {
         , c as (select token, count(*) as n
             from (select unnest(string_split(trim(text), ' ')) as token from v_tweets)
             where starts_with(token, '#') group by token)
-        select token, n from c where n * 1000 > 4 * (select sum(n) from c) order by n desc, token"""),
+        select token, n from c where n > 66 order by n desc, token"""),
     "top_rated_filter": _with(["v_stats"], """
         select MovieID, AvgRating, TotalReviews from v_stats where AvgRating > 26 and TotalReviews > 20"""),
     "genre_filter": _with(["v_movies"], """
@@ -157,7 +157,7 @@ ORACLE: dict[str, str] = {
     "two_period_trend": _with(["v_first", "v_second"], """
         select token, n_first, coalesce(n_second, 0) as n_second, n_first + coalesce(n_second, 0) as n_total
         from v_first left join v_second using (token)
-        where n_first * 1000 > 3 * (select sum(n_first) from v_first)
+        where n_first > 33
         order by n_total desc, token"""),
     "rating_error_join": _with(["v_interactions"], """
         , p as (select ItemID, avg(Rating) as prediction from v_interactions group by ItemID)
@@ -229,15 +229,15 @@ ORACLE: dict[str, str] = {
         select item, count(*) as n from v_ports group by item
         having count(*) * 1000 > 150 * (select baskets from v_size)"""),
     "frequent_pairs": _with(["v_pairs", "v_size"], """
-        select item_1, item_2, n from v_pairs where n * 1000 > 27 * (select baskets from v_size)"""),
+        select item_1, item_2, n from v_pairs where n * 1000 > 22 * (select baskets from v_size)"""),
     "frequent_triples": _with(["v_triples", "v_size"], """
-        select item_1, item_2, item_3, n from v_triples where n * 1000 > 4 * (select baskets from v_size)"""),
+        select item_1, item_2, item_3, n from v_triples where n * 10000 > 33 * (select baskets from v_size)"""),
     "frequent_port_sets": _with(["v_pairs", "v_triples", "v_size"], """
         select concat_ws(',', item_1, item_2) as items, cast(2 as bigint) as size, n
-        from v_pairs where n * 1000 > 4 * (select baskets from v_size)
+        from v_pairs where n * 10000 > 33 * (select baskets from v_size)
         union all
         select concat_ws(',', item_1, item_2, item_3) as items, cast(3 as bigint) as size, n
-        from v_triples where n * 1000 > 4 * (select baskets from v_size)"""),
+        from v_triples where n * 10000 > 33 * (select baskets from v_size)"""),
     "fpgrowth_itemsets": _with(["v_ports", "v_pairs", "v_triples", "v_size"], """
         select items, size, n from (
             select item as items, cast(1 as bigint) as size, count(*) as n from v_ports group by item
@@ -245,7 +245,7 @@ ORACLE: dict[str, str] = {
             select concat_ws(',', item_1, item_2), cast(2 as bigint), n from v_pairs
             union all
             select concat_ws(',', item_1, item_2, item_3), cast(3 as bigint), n from v_triples)
-        where n * 1000 > 4 * (select baskets from v_size)"""),
+        where n * 10000 > 33 * (select baskets from v_size)"""),
     # evaluation
     "rmse_metric": _with(["v_ratings", "v_stats"], """
         select round(sqrt(avg((Rating - AvgRating) * (Rating - AvgRating))), 6) as rmse

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -25,15 +23,28 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="lodeworks-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    sc.setCheckpointDir(folder)
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="lodeworks-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
+_run_folders: dict[str, str] = {}
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh, not yet existing path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh, not yet existing path in this application's part of the shared folder.
+
+    The application's part is removed when its driver ends.
+    """
+    sc = spark.sparkContext
+    run = _run_folders.get(sc.applicationId)
+    if run is None:
+        run = f"{shared_dir(spark)}/lodeworks-{sc.applicationId}-{uuid.uuid4().hex}"
+        folder = sc._jvm.org.apache.hadoop.fs.Path(run)
+        files = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        _run_folders[sc.applicationId] = run
+    return f"{run}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
