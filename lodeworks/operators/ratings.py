@@ -19,10 +19,14 @@ def rated_movies(movies: DataFrame, ratings: DataFrame, genre: str | None = None
     """Movies (of one genre) with their rating statistics.
 
     Ratings are aggregated before the join, so what meets the movie table is one
-    row per movie however often the most popular one was rated.
+    row per movie however often the most popular one was rated. The substring
+    test changes nothing in the result; unlike the split it can be pushed into the
+    scan, and Spark counts it as selective, so that on large ratings it filters
+    them by the genre's movies (a runtime Bloom filter) before the shuffle.
     """
     if genre is not None:
-        movies = movies.where(F.array_contains(split_literal(F.col("Genres"), "|"), genre))
+        in_genre = F.array_contains(split_literal(F.col("Genres"), "|"), genre)
+        movies = movies.where(F.col("Genres").contains(genre)).where(in_genre)
     return rating_stats(ratings).join(movies.select("MovieID", "MovieTitle"), "MovieID")
 
 

@@ -16,51 +16,71 @@ from lodeworks.sources.scratch import cached, new_path
 from lodeworks.sources.writers import save_model
 
 
-def fit_tree(
-    train: DataFrame,
-    label: str,
-    numeric: Sequence[str],
-    categorical: Sequence[str] = (),
-    max_depth: int = 5,
-    min_per_node: int = 2,
-    max_bins: int = 32,
+def fit_features(
+    train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str] = ()
 ) -> PipelineModel:
-    """Index label and categories, assemble, fit the tree, name the predicted class.
+    """Stages from raw columns to ``label_index`` and ``features``.
 
     Indexers see training rows only; unseen categories get an index of their own.
     """
-    labels = StringIndexer(inputCol=label, outputCol="label_index").fit(train)
     indexed = [f"{c}_index" for c in categorical]
-    stages = [labels]
+    stages = [StringIndexer(inputCol=label, outputCol="label_index")]
     if categorical:
         stages.append(
             StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep")
         )
-    stages += [
-        VectorAssembler(inputCols=[*numeric, *indexed], outputCol="features"),
-        DecisionTreeClassifier(
-            labelCol="label_index", featuresCol="features", maxDepth=max_depth,
-            minInstancesPerNode=min_per_node, maxBins=max_bins,
-        ),
-        IndexToString(inputCol="prediction", outputCol="predicted_class", labels=labels.labels),
-    ]
+    stages.append(VectorAssembler(inputCols=[*numeric, *indexed], outputCol="features"))
     return Pipeline(stages=stages).fit(train)
 
 
+def classifier(max_depth: int, min_per_node: int = 2, max_bins: int = 32) -> DecisionTreeClassifier:
+    return DecisionTreeClassifier(
+        labelCol="label_index", featuresCol="features", maxDepth=max_depth,
+        minInstancesPerNode=min_per_node, maxBins=max_bins,
+    )
+
+
+def fit_tree(
+    train: DataFrame,
+    label: str,
+    numeric: Sequence[str],
+    categorical: Sequence[str] = (),
+    max_depth: int = 5,
+    min_per_node: int = 2,
+    max_bins: int = 32,
+) -> PipelineModel:
+    """Index label and categories, assemble, fit the tree, name the predicted class."""
+    prepared = fit_features(train, label, numeric, categorical)
+    with cached(prepared.transform(train).select("features", "label_index")) as (vectors,):
+        tree = classifier(max_depth, min_per_node, max_bins).fit(vectors)
+    named = IndexToString(
+        inputCol="prediction", outputCol="predicted_class", labels=prepared.stages[0].labels
+    )
+    return PipelineModel([*prepared.stages, tree, named])
+
+
 def tree_of(model: PipelineModel) -> DecisionTreeClassificationModel:
     return next(s for s in model.stages if isinstance(s, DecisionTreeClassificationModel))
 
 
 def compare_depths(
-    train: DataFrame, test: DataFrame, depths: Sequence[int] = (2, 3, 4, 5, 6, 7), **fit: object
+    train: DataFrame,
+    test: DataFrame,
+    label: str,
+    numeric: Sequence[str],
+    categorical: Sequence[str] = (),
+    depths: Sequence[int] = (2, 3, 4, 5, 6, 7),
+    min_per_node: int = 2,
+    max_bins: int = 32,
 ) -> DataFrame:
-    """``max_depth, depth, n_nodes, f1`` of one tree per depth limit."""
+    """``max_depth, depth, n_nodes, f1`` of one tree per depth limit, over features made once."""
+    prepared = fit_features(train, label, numeric, categorical)
+    vectors = [prepared.transform(df).select("features", "label_index") for df in (train, test)]
     rows = []
-    with cached(train, test) as (train, test):
+    with cached(*vectors) as (train, test):
         for depth in depths:
-            model = fit_tree(train, max_depth=depth, **fit)
-            tree = tree_of(model)
-            score = f1_weighted(model.transform(test), "label_index", "prediction").first()[0]
+            tree = classifier(depth, min_per_node, max_bins).fit(train)
+            score = f1_weighted(tree.transform(test), "label_index", "prediction").first()[0]
             rows.append((depth, tree.depth, tree.numNodes, score))
     return rows_to_df(train.sparkSession, rows, "max_depth int, depth int, n_nodes int, f1 double")
 

@@ -1,8 +1,10 @@
-from lodeworks.sources.readers import read_lines, read_table, rows_to_df, typed_projection
-from lodeworks.sources.scratch import cached, materialize, new_path, shared_dir
+from lodeworks.sources.readers import (
+    read_csv_columns, read_lines, read_table, rows_to_df, typed_projection,
+)
+from lodeworks.sources.scratch import cached, materialize, new_path, shared_dir, spread
 from lodeworks.sources.writers import format_lines, save_model, write_lines, write_table
 
 __all__ = [
-    "cached", "format_lines", "materialize", "new_path", "read_lines", "read_table",
-    "rows_to_df", "save_model", "shared_dir", "typed_projection", "write_lines", "write_table",
+    "cached", "format_lines", "materialize", "new_path", "read_csv_columns", "read_lines", "read_table",
+    "rows_to_df", "save_model", "shared_dir", "spread", "typed_projection", "write_lines", "write_table",
 ]

@@ -33,6 +33,19 @@ def read_table(
     return reader.load(path)
 
 
+def read_csv_columns(
+    spark: SparkSession, path: str, schema: T.StructType | str, **options: str
+) -> DataFrame:
+    """The named columns of CSV files with a header, in any order and among others.
+
+    Values are read as text and cast, so nothing is inferred and no column is parsed
+    that is not asked for; a value that does not fit its type is an error.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    return typed_projection(spark.read.options(header="true", **options).csv(path), schema)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row ``value`` per text line."""
     return spark.read.text(path)

@@ -59,12 +59,35 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A cached frame's rows over all cores, if it has fewer partitions than cores.
+
+    Few files, a gzip file or one large row group would leave cores idle in every
+    pass of a fit. Larger inputs are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @contextmanager
 def cached(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
-    """Keep the inputs of an iterative fit in memory (spilling) for a block."""
-    kept = tuple(f.persist(StorageLevel.MEMORY_AND_DISK) for f in frames)
+    """Keep the inputs of an iterative fit in memory (spilling), spread over the cores."""
+    kept: list[DataFrame] = []
     try:
-        yield kept
+        for frame in frames:
+            kept.append(_keep(frame))
+        yield tuple(kept)
     finally:
         for frame in kept:
             frame.unpersist()
+
+
+def _keep(df: DataFrame) -> DataFrame:
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.count()
+    wide = spread(kept)
+    if wide is not kept:
+        wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
+        wide.count()
+        kept.unpersist()
+    return wide
