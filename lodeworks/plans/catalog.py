@@ -648,8 +648,9 @@ def mlp_fit_curve(spark, sf):
 
 @query
 def stream_prefix_counts(spark, sf):
-    schema = inputs.table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    events = inputs.table(spark, sf, "events")
+    # The pattern matches the table as one file or as a folder of files.
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf}/events.parquet*")
     out, checkpoint = new_path(spark, "stream"), new_path(spark, "stream-state")
     running = start_prefix_counts(inputs.tweet_texts(stream), "#", out, checkpoint, field_sep=",")
     running.awaitTermination()
