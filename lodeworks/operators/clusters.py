@@ -28,17 +28,22 @@ def collapse_points(df: DataFrame, cols: Sequence[str], weight: str = "w") -> Da
     return count_by(df, *cols, out=weight)
 
 
+def fit_vectors(df: DataFrame, k: int, seed: int = 123, weight: str | None = None) -> KMeansModel:
+    """Fit on the ``features`` column, each row counting ``weight`` times."""
+    km = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster")
+    if weight is not None:
+        km = km.setWeightCol(weight)
+    with cached(df.select("features", *([weight] if weight else []))) as (vectors,):
+        return km.fit(vectors)
+
+
 def fit_kmeans(
     df: DataFrame, cols: Sequence[str], k: int, seed: int = 123, collapse: bool = False
 ) -> KMeansModel:
     """Fit on the columns. ``collapse`` merges equal rows first (for indicator features)."""
-    points = collapse_points(df, cols) if collapse else df.select(*cols)
-    km = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster")
     if collapse:
-        km = km.setWeightCol("w")
-    vectors = assemble(points, cols).select("features", *(["w"] if collapse else []))
-    with cached(vectors) as (vectors,):
-        return km.fit(vectors)
+        return fit_vectors(assemble(collapse_points(df, cols), cols), k, seed, weight="w")
+    return fit_vectors(assemble(df.select(*cols), cols), k, seed)
 
 
 def assign_clusters(model: KMeansModel, df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -16,8 +16,9 @@ from lodeworks.operators import (
 )
 from lodeworks.plans import inputs
 from lodeworks.sources import (
-    materialize, new_path, read_lines, read_table, typed_projection, write_lines, write_table,
+    materialize, new_path, read_lines, read_table, write_lines, write_table,
 )
+from lodeworks.sources import typed_projection as cast_to
 from lodeworks.streaming import latest_counts, start_prefix_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,17 +57,14 @@ def sink_roundtrip(spark, sf):
 
 
 @query
-def typed_projection_(spark, sf):
+def typed_projection(spark, sf):
     schema = T.StructType([
         T.StructField("p_partkey", T.IntegerType()),
         T.StructField("p_name", T.StringType()),
         T.StructField("p_size", T.LongType()),
         T.StructField("p_retailprice", T.DoubleType()),
     ])
-    return typed_projection(inputs.table(spark, sf, "part"), schema)
-
-
-QUERIES["typed_projection"] = QUERIES.pop("typed_projection_")
+    return cast_to(inputs.table(spark, sf, "part"), schema)
 
 
 # --- projections -------------------------------------------------------------
@@ -368,7 +366,8 @@ def scale_features(spark, sf):
 
 @query
 def clean_missing(spark, sf):
-    return features.clean_missing(inputs.biopsies(spark, sf).select("id", "line", "bare_nuclei"), "bare_nuclei")
+    cells = inputs.biopsies(spark, sf).select("id", "line", "bare_nuclei")
+    return features.clean_missing(cells, "bare_nuclei", to_type="double")
 
 
 # --- item sets ---------------------------------------------------------------
@@ -586,12 +585,8 @@ def tree_rules(spark, sf):
 
 @query
 def kmeans_assign(spark, sf):
-    cols = [f"x_{i}" for i in range(64)]
-    points = inputs.digits(spark, sf).select(
-        "vec_id", *[F.get("embedding", F.lit(i)).alias(c) for i, c in enumerate(cols)]
-    )
-    model = clusters.fit_kmeans(points, cols, 10)
-    return clusters.assign_clusters(model, points, cols).select("vec_id", "cluster")
+    points = inputs.digits(spark, sf).select("vec_id", array_to_vector("embedding").alias("features"))
+    return clusters.fit_vectors(points, 10).transform(points).select("vec_id", "cluster")
 
 
 def _encoded(spark, sf):

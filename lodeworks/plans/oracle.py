@@ -223,7 +223,7 @@ ORACLE: dict[str, str] = {
         select l_orderkey, l_linenumber, l_quantity / 255.0::double as l_quantity,
             l_extendedprice / 255.0::double as l_extendedprice from lineitem""",
     "clean_missing": _with(["v_biopsies"], """
-        select id, line, try_cast(bare_nuclei as integer) as bare_nuclei from v_biopsies"""),
+        select id, line, try_cast(bare_nuclei as double) as bare_nuclei from v_biopsies"""),
     # item sets
     "frequent_items": _with(["v_ports", "v_size"], """
         select item, count(*) as n from v_ports group by item

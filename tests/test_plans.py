@@ -47,3 +47,13 @@ def test_splits_are_computed_once(spark, sf_dir):
 def test_statistics_need_one_shuffle(spark, sf_dir):
     assert plan(spark, sf_dir, "rating_stats").count("Exchange ") == 1
     assert plan(spark, sf_dir, "cluster_means").count("Exchange ") == 1
+
+
+def test_large_ratings_are_filtered_by_genre_before_the_shuffle(spark, sf_dir):
+    key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    spark.conf.set(key, "1b")
+    try:
+        text = plan(spark, sf_dir, "top_rated_in_genre")
+    finally:
+        spark.conf.unset(key)
+    assert text.index("Exchange hashpartitioning") < text.index("might_contain")
