@@ -176,6 +176,14 @@ def clusters_above_ratio(spark, sf):
     return clusters.clusters_above(profile, "zmap", 0.2).select("cluster", "size", "zmap_ratio")
 
 
+@query
+def rows_of_clusters_above(spark, sf):
+    """The scanners in the clusters whose flag share is high enough."""
+    assigned = materialize(_assigned(spark, sf).select("scanner", "cluster", "zmap"), "assigned")
+    chosen = clusters.clusters_above(clusters.cluster_profile(assigned, ["zmap"]), "zmap", 0.2)
+    return clusters.rows_of(assigned, chosen).select("scanner", "cluster")
+
+
 @query
 def filter_impact(spark, sf):
     return filters.filter_impact(inputs.port_arrays(spark, sf), F.size("Ports_Array") > 2)
@@ -328,6 +336,17 @@ def multi_hot_topn(spark, sf):
     return features.multi_hot_topn(ports, "Ports_Array", 10, by_rank=True).drop("Ports_Array")
 
 
+@query
+def multi_hot_vector(spark, sf):
+    """The same indicators through one sparse vector column."""
+    ports = materialize(inputs.port_arrays(spark, sf), "ports")
+    names = [row["item"] for row in features.top_items(ports, "Ports_Array", 10).collect()]
+    values = vector_to_array(F.col("hot"))
+    return features.multi_hot_vector(ports, "Ports_Array", names, "hot").select(
+        "scanner", *[(F.get(values, F.lit(i)) > 0).alias(name) for i, name in enumerate(HOT)]
+    )
+
+
 @query
 def thermometer_encode(spark, sf):
     return features.thermometer(
@@ -370,6 +389,13 @@ def clean_missing(spark, sf):
     return features.clean_missing(cells, "bare_nuclei", to_type="double")
 
 
+@query
+def impute_missing(spark, sf):
+    cells = inputs.biopsies(spark, sf).select("id", "line", "bare_nuclei")
+    filled = features.impute(features.clean_missing(cells, "bare_nuclei"), ["bare_nuclei"])
+    return filled.withColumn("bare_nuclei", F.round("bare_nuclei", 6))
+
+
 # --- item sets ---------------------------------------------------------------
 
 
@@ -405,6 +431,13 @@ def frequent_port_sets(spark, sf):
     return _as_text(itemsets.frequent_sets(weighted, itemsets.share_threshold(weighted, 33, 10_000)))
 
 
+@query
+def frequent_sets_of_four(spark, sf):
+    weighted = _baskets(spark, sf)
+    found = itemsets.frequent_sets(weighted, itemsets.share_threshold(weighted, 6, 10_000), max_size=4)
+    return _as_text(found.where("size = 4"))
+
+
 @query
 def fpgrowth_itemsets(spark, sf):
     baskets = materialize(inputs.port_arrays(spark, sf).select("Ports_Array"), "ports")

@@ -54,6 +54,11 @@ VIEWS = {
         select a.item as item_1, b.item as item_2, c.item as item_3, count(*) as n
         from v_ports a join v_ports b on a.scanner = b.scanner and a.item < b.item
         join v_ports c on a.scanner = c.scanner and b.item < c.item group by 1, 2, 3""",
+    "v_fours": """
+        select a.item as item_1, b.item as item_2, c.item as item_3, d.item as item_4, count(*) as n
+        from v_ports a join v_ports b on a.scanner = b.scanner and a.item < b.item
+        join v_ports c on a.scanner = c.scanner and b.item < c.item
+        join v_ports d on a.scanner = d.scanner and c.item < d.item group by 1, 2, 3, 4""",
     "v_biopsies": """
         select l_orderkey as id, l_linenumber as line, l_quantity as clump, l_discount as cell_size,
             l_tax as mitoses,
@@ -76,7 +81,7 @@ USES = {
     "v_tokens": ["v_fields"], "v_tags": ["v_tokens"], "v_first": ["v_tags"], "v_second": ["v_tags"],
     "v_ports": ["v_scanners"], "v_ranked": ["v_ports"], "v_hot": ["v_ports", "v_ranked"],
     "v_hot_counts": ["v_hot"], "v_size": ["v_scanners"], "v_pairs": ["v_ports"],
-    "v_triples": ["v_ports"], "v_means": ["v_dims"],
+    "v_triples": ["v_ports"], "v_fours": ["v_ports"], "v_means": ["v_dims"],
 }
 
 
@@ -145,6 +150,10 @@ ORACLE: dict[str, str] = {
     "clusters_above_ratio": _with(["v_scanners"], """
         select numports as cluster, count(*) as size, sum(cast(zmap as integer)) / count(*) as zmap_ratio
         from v_scanners group by numports having sum(cast(zmap as integer)) / count(*) >= 0.2"""),
+    "rows_of_clusters_above": _with(["v_scanners"], """
+        select scanner, numports as cluster from v_scanners where numports in (
+            select numports from v_scanners group by numports
+            having sum(cast(zmap as integer)) / count(*) >= 0.2)"""),
     "filter_impact": _with(["v_scanners"], """
         select count(*) as n_before, count(*) filter (numports > 2) as n_after,
             count(*) filter (numports > 2) / count(*) as kept_ratio from v_scanners"""),
@@ -205,6 +214,9 @@ ORACLE: dict[str, str] = {
     "multi_hot_topn": _with(["v_ports", "v_ranked"], f"""
         select scanner, {_HOT_COLUMNS}
         from v_ports join v_ranked using (item) group by scanner"""),
+    "multi_hot_vector": _with(["v_ports", "v_ranked"], f"""
+        select scanner, {_HOT_COLUMNS}
+        from v_ports join v_ranked using (item) group by scanner"""),
     "thermometer_encode": _with(["v_scanners"], f"select scanner, {_THERMO_COLUMNS} from v_scanners"),
     "string_index": _with(["v_biopsies"], """
         , r as (select bare_nuclei, row_number() over (order by count(*) desc, bare_nuclei) - 1 as place
@@ -224,6 +236,9 @@ ORACLE: dict[str, str] = {
             l_extendedprice / 255.0::double as l_extendedprice from lineitem""",
     "clean_missing": _with(["v_biopsies"], """
         select id, line, try_cast(bare_nuclei as double) as bare_nuclei from v_biopsies"""),
+    "impute_missing": _with(["v_biopsies"], """
+        , c as (select id, line, try_cast(bare_nuclei as double) as x from v_biopsies)
+        select id, line, round(coalesce(x, (select avg(x) from c)), 6) as bare_nuclei from c"""),
     # item sets
     "frequent_items": _with(["v_ports", "v_size"], """
         select item, count(*) as n from v_ports group by item
@@ -238,6 +253,9 @@ ORACLE: dict[str, str] = {
         union all
         select concat_ws(',', item_1, item_2, item_3) as items, cast(3 as bigint) as size, n
         from v_triples where n * 10000 > 33 * (select baskets from v_size)"""),
+    "frequent_sets_of_four": _with(["v_fours", "v_size"], """
+        select concat_ws(',', item_1, item_2, item_3, item_4) as items, cast(4 as bigint) as size, n
+        from v_fours where n * 10000 > 6 * (select baskets from v_size)"""),
     "fpgrowth_itemsets": _with(["v_ports", "v_pairs", "v_triples", "v_size"], """
         select items, size, n from (
             select item as items, cast(1 as bigint) as size, count(*) as n from v_ports group by item

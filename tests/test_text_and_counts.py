@@ -52,7 +52,7 @@ def test_prefix_needs_no_separator(frame):
 
 
 def test_lines_of_equals_text_scan(spark, tmp_path, frame):
-    text = "one\n\ntwo\r\nthree "
+    text = "one\n\ntwo\r\nthree \rfour\r\r\nfive"
     (tmp_path / "t.txt").write_bytes(text.encode())
     assert rows(reshape.lines_of(frame("t string", (text,)), "t")) == rows(spark.read.text(str(tmp_path / "t.txt")))
 
