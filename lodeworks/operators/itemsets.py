@@ -17,7 +17,9 @@ from lodeworks.operators.reshape import explode_items
 from lodeworks.sources.scratch import materialize
 
 MAX_INLINE_ITEMS = 5_000  # frequent items up to this many become a literal list
+MAX_BROADCAST_PAIRS = 2_000_000  # frequent pairs up to this many (some 50 MB) are sent to all
 BLOCK = 256  # anchors per row when a long basket is cut into balanced pieces
+LONG_PER_TASK = 1_000  # long baskets whose blocks at one place share a task
 
 
 def weigh_baskets(baskets: DataFrame, items: str) -> DataFrame:
@@ -111,28 +113,32 @@ def _only_frequent(weighted: DataFrame, min_exclusive: int) -> DataFrame:
 def _anchored(reduced: DataFrame) -> DataFrame:
     """Rows ``w, anchors, tail``: each set starts at an anchor and continues in the tail.
 
-    A short basket is one row and stays where it is. A long one becomes a row
-    per block of anchors, spread over the cluster, so that no task has to expand
-    a whole long basket.
+    A short basket is one row and stays where it is. A long one becomes a row per
+    block of anchors, so that no task has to expand a whole long basket. Blocks at
+    the same place of many baskets meet in a task, where their equal pairs are
+    merged before they are shuffled; a salt splits places with many baskets.
     """
     length = F.size("items")
-    short = reduced.where(length <= BLOCK).select(
-        "w", F.col("items").alias("anchors"), F.col("items").alias("tail")
-    )
+    whole = F.col("items").alias("anchors"), F.col("items").alias("tail")
+    n_long, longest = reduced.where(length > BLOCK).agg(F.count(F.lit(1)), F.max(length)).first()
+    if not n_long:
+        return reduced.select("w", *whole)
+    tasks = 4 * reduced.sparkSession.sparkContext.defaultParallelism
+    blocks = -(-longest // BLOCK)
+    salts = min(1 + n_long // LONG_PER_TASK, max(1, tasks // blocks))
     starts = reduced.where(length > BLOCK).select(
         "w", "items", F.explode(F.sequence(F.lit(1), length, F.lit(BLOCK))).alias("_start")
     )
-    long = (
-        starts.select(
-            "w",
-            "_start",
-            F.slice("items", F.col("_start"), F.lit(BLOCK)).alias("anchors"),
-            F.slice("items", F.col("_start"), length).alias("tail"),
-        )
-        .repartition("_start", "anchors")
-        .drop("_start")
-    )
-    return short.unionByName(long)
+    # The number of partitions is given: a block is few bytes but much work, so
+    # merging partitions by their size would undo the spreading.
+    long = starts.select(
+        "w",
+        F.slice("items", F.col("_start"), F.lit(BLOCK)).alias("anchors"),
+        F.slice("items", F.col("_start"), length).alias("tail"),
+        "_start",
+        F.pmod(F.xxhash64("items"), F.lit(salts)).alias("_salt"),
+    ).repartition(blocks * salts, "_start", "_salt")
+    return reduced.where(length <= BLOCK).select("w", *whole).unionByName(long.drop("_start", "_salt"))
 
 
 def _pairs(anchored: DataFrame, min_exclusive: int) -> DataFrame:
@@ -152,12 +158,14 @@ def _grow(anchored: DataFrame, pairs: DataFrame, size: int, min_exclusive: int)
     """Sets of ``size`` items, extended only along frequent pairs.
 
     Every pair inside a frequent set is frequent, so nothing is lost. The
-    neighbour table comes from the stored pairs; its file size tells Catalyst
-    whether to broadcast it, otherwise the join shuffles and AQE splits hot items.
+    neighbour table is broadcast when the stored pairs are counted and few enough;
+    otherwise the join shuffles and AQE splits hot items.
     """
     neighbours = pairs.groupBy(F.col("item_1").alias("_from")).agg(
         F.collect_list("item_2").alias("_next")
     )
+    if pairs.count() <= MAX_BROADCAST_PAIRS:
+        neighbours = F.broadcast(neighbours)
     state = anchored.select("w", F.explode("anchors").alias("item_1"), F.col("tail").alias("_open"))
     chosen = ["item_1"]
     for level in range(1, size):

@@ -51,14 +51,16 @@ def test_larger_sets(weighted, baskets):
 
 def test_long_baskets_are_cut_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(itemsets, "BLOCK", 4)
+    monkeypatch.setattr(itemsets, "LONG_PER_TASK", 20)
     baskets = make(5, n=60, items=40, longest=30) + [[str(i) for i in range(50)]] * 5
     weighted = itemsets.weigh_baskets(spark.createDataFrame([(b,) for b in baskets], "p array<string>"), "p")
     assert rows(itemsets.frequent_pairs(weighted, 3)) == brute(baskets, 2, 3)
     assert rows(itemsets.frequent_triples(weighted, 4)) == brute(baskets, 3, 4)
 
 
-def test_many_frequent_items_go_through_a_join(spark, baskets, weighted, monkeypatch):
+def test_many_frequent_items_and_pairs_go_through_joins(spark, baskets, weighted, monkeypatch):
     monkeypatch.setattr(itemsets, "MAX_INLINE_ITEMS", 2)
+    monkeypatch.setattr(itemsets, "MAX_BROADCAST_PAIRS", 2)
     assert rows(itemsets.frequent_pairs(weighted, 12)) == brute(baskets, 2, 12)
     assert rows(itemsets.frequent_triples(weighted, 12)) == brute(baskets, 3, 12)
 
