@@ -90,7 +90,7 @@ def best_config(
 
 def recommend(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFrame:
     """The ``n`` items with the highest predicted rating per user: ``user, rank, item, score``."""
-    user, item = model._java_obj.getUserCol(), model._java_obj.getItemCol()
+    user, item = model.getUserCol(), model.getItemCol()
     lists = model.recommendForAllUsers(n) if users is None else model.recommendForUserSubset(users, n)
     ranked = lists.select(user, F.posexplode("recommendations").alias("_pos", "_rec"))
     return ranked.select(

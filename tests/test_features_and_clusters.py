@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from lodeworks.operators import clusters, features, indexing
+from lodeworks.sources import materialize
 
 
 def test_thermometer_bounds(frame):
@@ -66,13 +67,18 @@ def test_index_round_trip(frame):
     assert rows(named.select("w")) == [("x",), ("x",), ("y",)]
 
 
-@pytest.mark.parametrize("partitions", [1, 5])
-def test_dense_index_is_the_global_order(spark, partitions):
+@pytest.mark.parametrize("partitions,merge", [(1, "true"), (5, "false")])
+def test_dense_index_is_the_global_order(spark, partitions, merge, monkeypatch):
+    stored = []
+    monkeypatch.setattr(indexing, "materialize", lambda df, name: stored.append(materialize(df, name)) or stored[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merge)
     df = spark.range(0, 5000, numPartitions=partitions).select((F.col("id") * 7919 % 5003).alias("k"))
     got = indexing.dense_index(df, ["k"], "i").collect()
     assert [r["i"] for r in sorted(got, key=lambda r: r["k"])] == list(range(5000))
     down = indexing.dense_index(df, [F.desc("k")], "i").collect()
     assert [r["i"] for r in sorted(down, key=lambda r: -r["k"])] == list(range(5000))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert stored[0].select("_range").distinct().count() == (4 if merge == "false" else 1)
 
 
 def test_missing_marker(frame):
