@@ -14,7 +14,7 @@ from lodeworks.operators import (
     clusters, counts, features, filters, itemsets, joins, neural, ratings, recommend, reshape,
     sampling, trees,
 )
-from lodeworks.sources import materialize, read_csv_columns, read_lines, read_table
+from lodeworks.sources import cached, materialize, read_csv_columns, read_lines, read_table
 
 MOVIES = "MovieID int, MovieTitle string, Genres string"
 RATINGS = "UserID int, MovieID int, Rating double"
@@ -82,6 +82,15 @@ def tune_recommender(
     return recommend.best_config(grid, train, test, seed, item="MovieID")
 
 
+def recommend_movies(
+    spark: SparkSession, rated: str, n: int = 10, rank: int = 4, reg: float = 0.1, iters: int = 20, seed: int = 37,
+) -> DataFrame:
+    """The ``n`` movies with the highest predicted rating for every user."""
+    with cached(read_csv_columns(spark, rated, RATINGS)) as (known,):
+        model = recommend.fit_als(known, rank, reg, iters, seed, item="MovieID")
+    return recommend.recommend(model, n)
+
+
 def _port_arrays(spark: SparkSession, scanners: str, schema: str) -> DataFrame:
     profiles = read_csv_columns(spark, scanners, schema)
     return reshape.split_to_array(profiles, "ports_scanned_str", "-", "Ports_Array")
@@ -169,7 +178,7 @@ JOBS = {
     fn.__name__.replace("_", "-"): fn
     for fn in (
         word_counts, hashtag_counts, hashtag_trend, genre_totals, top_movies, tune_recommender,
-        frequent_port_sets, cluster_profiles, compare_cluster_counts, diagnosis_depths,
+        recommend_movies, frequent_port_sets, cluster_profiles, compare_cluster_counts, diagnosis_depths,
         diagnosis_rules, digit_curve,
     )
 }

@@ -43,6 +43,8 @@ def test_recommender(spark, write):
     rated = write("r.csv", ["UserID,MovieID,Rating"] + [f"{u},{m},{1 + (u + m) % 5}" for u in range(12) for m in range(12)])
     got = jobs.tune_recommender(spark, rated, ranks=[2], regs=[0.1, 1.0], iterations=[3])
     assert got.count() == 2 and got.where("is_best").count() == 1
+    best = jobs.recommend_movies(spark, rated, n=2, iters=3)
+    assert best.columns == ["UserID", "rank", "MovieID", "score"] and best.count() == 24
 
 
 @pytest.fixture
