@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,14 +86,15 @@ def compare_depths(
 
 
 def tree_nodes(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """The node table of the fitted tree, read from the saved model's data files."""
+    """The node table of the fitted tree, read from the saved model's data files.
+
+    A split is a ``threshold`` or the ``categories`` that go left, by their names.
+    """
     path = new_path(spark, "tree")
     save_model(tree_of(model), path)
     raw = spark.read.parquet(f"{path}/data")
-    names = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
-    features = rows_to_df(spark, list(enumerate(names)), "_index int, feature string")
+    features = rows_to_df(spark, _features(model), "_index int, feature string, _labels array<string>")
     leaf = F.col("leftChild") < 0
-    continuous = F.col("split.numCategories") < 0
     values = F.col("split.leftCategoriesOrThreshold")
     nodes = raw.select(
         "id",
@@ -104,11 +105,25 @@ def tree_nodes(spark: SparkSession, model: PipelineModel) -> DataFrame:
         F.when(~leaf, F.col("leftChild")).alias("left"),
         F.when(~leaf, F.col("rightChild")).alias("right"),
         F.when(~leaf, F.col("split.featureIndex")).alias("_index"),
-        F.when(~leaf & continuous, F.get(values, F.lit(0))).alias("threshold"),
-        F.when(~leaf & ~continuous, values).alias("categories"),
+        F.when(~leaf & (F.col("split.numCategories") < 0), F.get(values, F.lit(0))).alias("threshold"),
+        F.when(~leaf & (F.col("split.numCategories") >= 0), values).alias("_left_values"),
         leaf.alias("is_leaf"),
     )
-    return nodes.join(features, "_index", "left").drop("_index")
+    named = F.transform("_left_values", lambda v: F.get("_labels", v.cast("int")))
+    return nodes.join(features, "_index", "left").select(
+        *[c for c in nodes.columns if not c.startswith("_")], "feature", named.alias("categories")
+    )
+
+
+def _features(model: PipelineModel) -> list[tuple[int, str, list[str] | None]]:
+    """Position, column and category names (the last one for unseen values) of each feature."""
+    sources = {}
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel) and stage.isSet(stage.inputCols):
+            for name, out, labels in zip(stage.getInputCols(), stage.getOutputCols(), stage.labelsArray):
+                sources[out] = (name, [*labels, "<other>"])
+    columns = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    return [(i, *sources.get(column, (column, None))) for i, column in enumerate(columns)]
 
 
 def tree_rules(nodes: DataFrame, max_depth: int) -> DataFrame:
@@ -116,14 +131,13 @@ def tree_rules(nodes: DataFrame, max_depth: int) -> DataFrame:
 
     One join per tree level over a table of at most ``2 ** (depth + 1)`` nodes.
     """
-    is_left = F.when(
-        F.col("threshold").isNotNull(),
-        F.concat(F.col("feature"), F.lit(" <= "), F.col("threshold").cast("string")),
-    ).otherwise(F.concat("feature", F.lit(" in {"), _joined("categories"), F.lit("}")))
-    is_right = F.when(
-        F.col("threshold").isNotNull(),
-        F.concat(F.col("feature"), F.lit(" > "), F.col("threshold").cast("string")),
-    ).otherwise(F.concat("feature", F.lit(" not in {"), _joined("categories"), F.lit("}")))
+    among = F.concat(F.lit(" {"), F.array_join("categories", ", "), F.lit("}"))
+
+    def test(compare: str, member: str) -> Column:
+        bound = F.concat("feature", F.lit(compare), F.col("threshold").cast("string"))
+        return F.coalesce(bound, F.concat("feature", F.lit(member), among))
+
+    is_left, is_right = test(" <= ", " in"), test(" > ", " not in")
     steps = nodes.where(~F.col("is_leaf")).select(
         F.col("id").alias("_from"),
         F.inline(
@@ -143,7 +157,3 @@ def tree_rules(nodes: DataFrame, max_depth: int) -> DataFrame:
         paths = paths.unionByName(frontier)
     leaves = nodes.where("is_leaf").select("id", "prediction", "stats")
     return paths.join(leaves, "id").select(F.col("id").alias("leaf"), "rule", "prediction", "stats")
-
-
-def _joined(col: str) -> Column:
-    return F.array_join(F.transform(col, lambda x: x.cast("int").cast("string")), ", ")

@@ -550,14 +550,12 @@ PAIR_KEY = ["UserID", "ItemID"]
 
 
 def _als_frames(spark, sf, weights, seed):
-    """Interactions with int ids, stored once, split by their key."""
-    pairs = inputs.interactions(spark, sf)
+    """Interactions, stored once, with int ids and split by their key."""
+    pairs = materialize(inputs.interactions(spark, sf), "interactions")
     for key in PAIR_KEY:
         pairs = recommend.with_int_id(pairs, key, f"{key}_int")
-    stored = materialize(pairs.select(
-        F.col("UserID_int").alias("UserID"), F.col("ItemID_int").alias("ItemID"), "Rating"
-    ), "interactions")
-    return sampling.split_frames(stored, PAIR_KEY, weights, seed)
+    numbered = pairs.select(*[F.col(f"{key}_int").alias(key) for key in PAIR_KEY], "Rating")
+    return sampling.split_frames(numbered, PAIR_KEY, weights, seed)
 
 
 @query

@@ -114,13 +114,23 @@ def test_rules_reproduce_the_predictions(spark, cells, tree):
     scored = tree.transform(cells[1])
     total = 0
     for rule in rules:
-        test = re.sub(r"(\w+) (not in|in) \{([^}]*)\}", r"\1 \2 (\3)", rule["rule"]) or "true"
+        test = re.sub(r"\{([^}]*)\}", lambda m: "('" + m[1].replace(", ", "','") + "')", rule["rule"]) or "true"
         hit = scored.where(test)
         assert hit.where(F.col("prediction") != rule["prediction"]).count() == 0
         total += hit.count()
     assert total == scored.count()
 
 
+def test_categories_go_by_their_names(spark):
+    df = spark.range(90).select(
+        F.element_at(F.array(F.lit("red"), F.lit("green"), F.lit("blue")), (F.col("id") % 3 + 1).cast("int")).alias("c"),
+        F.lit(1.0).alias("x"), F.when(F.col("id") % 3 == 1, "yes").otherwise("no").alias("y"),
+    )
+    rules = trees.tree_rules(trees.tree_nodes(spark, trees.fit_tree(df, "y", ["x"], ["c"])), 5).collect()
+    assert {r["rule"] for r in rules} <= {f"c{n} in {{{s}}}" for n in ("", " not") for s in ("green", "blue, red", "green, <other>", "blue, red, <other>")}
+    assert len(rules) == 2
+
+
 def test_saved_model_replaces_an_older_one(tree, cells, tmp_path):
     path = str(tmp_path / "model")
     save_model(tree, path)
