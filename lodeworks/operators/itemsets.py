@@ -17,7 +17,7 @@ from lodeworks.operators.reshape import explode_items
 from lodeworks.sources.scratch import materialize
 
 MAX_INLINE_ITEMS = 5_000  # frequent items up to this many become a literal list
-MAX_BROADCAST_PAIRS = 2_000_000  # frequent pairs up to this many (some 50 MB) are sent to all
+MAX_BROADCAST_BYTES = 64 << 20  # frequent pairs up to this much text are sent to all tasks
 BLOCK = 256  # anchors per row when a long basket is cut into balanced pieces
 LONG_PER_TASK = 1_000  # long baskets whose blocks at one place share a task
 
@@ -158,13 +158,14 @@ def _grow(anchored: DataFrame, pairs: DataFrame, size: int, min_exclusive: int)
     """Sets of ``size`` items, extended only along frequent pairs.
 
     Every pair inside a frequent set is frequent, so nothing is lost. The
-    neighbour table is broadcast when the stored pairs are counted and few enough;
-    otherwise the join shuffles and AQE splits hot items.
+    neighbour table is broadcast when the stored pairs are measured and small
+    enough; otherwise the join shuffles and AQE splits hot items.
     """
     neighbours = pairs.groupBy(F.col("item_1").alias("_from")).agg(
         F.collect_list("item_2").alias("_next")
     )
-    if pairs.count() <= MAX_BROADCAST_PAIRS:
+    text = pairs.agg(F.sum(F.octet_length("item_1") + F.octet_length("item_2"))).first()[0]
+    if (text or 0) <= MAX_BROADCAST_BYTES:
         neighbours = F.broadcast(neighbours)
     state = anchored.select("w", F.explode("anchors").alias("item_1"), F.col("tail").alias("_open"))
     chosen = ["item_1"]

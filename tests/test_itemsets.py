@@ -60,7 +60,7 @@ def test_long_baskets_are_cut_into_blocks(spark, monkeypatch):
 
 def test_many_frequent_items_and_pairs_go_through_joins(spark, baskets, weighted, monkeypatch):
     monkeypatch.setattr(itemsets, "MAX_INLINE_ITEMS", 2)
-    monkeypatch.setattr(itemsets, "MAX_BROADCAST_PAIRS", 2)
+    monkeypatch.setattr(itemsets, "MAX_BROADCAST_BYTES", 2)
     assert rows(itemsets.frequent_pairs(weighted, 12)) == brute(baskets, 2, 12)
     assert rows(itemsets.frequent_triples(weighted, 12)) == brute(baskets, 3, 12)
 
