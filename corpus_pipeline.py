@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodeworks.llm import decontamination
+from lodeworks.llm import decontamination, simhash
 from lodeworks.sources.scratch import materialize
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs, words=3, max_bits=3)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontamination.remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("benchmark decontamination", drop_contaminated)]
+STAGES = [("SimHash near-dedup", drop_near_copies), ("benchmark decontamination", drop_contaminated)]
 
 # The classifier's verdicts are not expressible in SQL; the tests compare with a plain version.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import decontamination, licenses, urls
+from lodeworks.llm import decontamination, licenses, rules, simhash, urls
 
 # Fixed values of the contract: verdict, host, path.
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -24,11 +24,23 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "items_sha256"), decontamination.contaminated().alias("contaminated"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    book = rules.ledger(table(spark, sf_dir, "documents"))
+    return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       (~rules.passes("base")).alias("base_failed"),
+                       (rules.passes("base") & rules.passes("v2")).alias("kept"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.range(1).select(F.inline(F.array(*[
+    listed = spark.range(1).select(F.inline(F.array(*[
         F.struct(*[F.lit(v).alias(k) for k, v in zip(("verdict", "host", "path"), rule, strict=True)])
         for rule in URL_RULES])))
-    return urls.judge(table(spark, sf_dir, "pages"), rules)
+    return urls.judge(table(spark, sf_dir, "pages"), listed)
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +52,8 @@ def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_quality_rules": op2_quality_rules,
     "op5_url_filters": op5_url_filters,
+    "op6_simhash": op6_simhash,
     "op8_license_scans": op8_license_scans,
 }
