@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodeworks.llm import decontamination, simhash
+from lodeworks.llm import bpe, decontamination, simhash
 from lodeworks.sources.scratch import materialize
 
 
@@ -16,7 +17,17 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontamination.remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("SimHash near-dedup", drop_near_copies), ("benchmark decontamination", drop_contaminated)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document left, and the text that they stand for."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.decode(bpe.encode(docs, path), path)
+
+
+STAGES = [
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("BPE encoding and decoding", encode),
+]
 
 # The classifier's verdicts are not expressible in SQL; the tests compare with a plain version.
 ORACLE_SQL = None

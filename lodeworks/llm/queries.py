@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import decontamination, licenses, rules, simhash, urls
+from lodeworks.llm import bpe, decontamination, licenses, rules, simhash, simple8b, urls
+from lodeworks.sources.scratch import new_path
 
+VOCABULARY = "byte_bpe_50k.json"
 # Fixed values of the contract: verdict, host, path.
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -31,6 +34,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (rules.passes("base") & rules.passes("v2")).alias("kept"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-files")
+    simple8b.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path(VOCABULARY))
+    return simple8b.read(spark, path, with_ids=False)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = spark.range(1).select(F.inline(F.array(*[
         F.struct(*[F.lit(v).alias(k) for k, v in zip(("verdict", "host", "path"), rule, strict=True)])
@@ -53,6 +66,8 @@ def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
+    "op3_token_files": op3_token_files,
+    "op4_bpe": op4_bpe,
     "op5_url_filters": op5_url_filters,
     "op6_simhash": op6_simhash,
     "op8_license_scans": op8_license_scans,
