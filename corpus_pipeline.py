@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodeworks.llm import bpe, decontamination, simhash
+from lodeworks.llm import bpe, decontamination, simhash, suffixes
 from lodeworks.sources.scratch import materialize
 
 
@@ -13,6 +14,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.keep_one(docs, words=3, max_bits=3)
 
 
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages are cut; ``n_chars`` follows the text. Every document stays, if empty."""
+    return suffixes.remove_repeats(docs).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontamination.remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -25,6 +31,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("SimHash near-dedup", drop_near_copies),
+    ("suffix-array dedup", cut_repeats),
     ("benchmark decontamination", drop_contaminated),
     ("BPE encoding and decoding", encode),
 ]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import bpe, decontamination, licenses, rules, simhash, simple8b, urls
+from lodeworks.llm import bpe, decontamination, licenses, rules, simhash, simple8b, suffixes, urls
 from lodeworks.sources.scratch import new_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -56,6 +56,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word",
@@ -70,5 +75,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_url_filters": op5_url_filters,
     "op6_simhash": op6_simhash,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_license_scans": op8_license_scans,
 }
