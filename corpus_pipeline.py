@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import bpe, decontamination, simhash, suffixes
+from lodeworks.llm import bpe, decontamination, nbsvm, simhash, suffixes
 from lodeworks.sources.scratch import materialize
 
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents stay if the classifier, learned on the labelled ones among them, accepts them."""
+    model = nbsvm.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return nbsvm.keep_accepted(docs, model)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, words=3, max_bits=3)
 
@@ -30,6 +36,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality classifier", drop_low_quality),
     ("SimHash near-dedup", drop_near_copies),
     ("suffix-array dedup", cut_repeats),
     ("benchmark decontamination", drop_contaminated),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import bpe, decontamination, licenses, rules, simhash, simple8b, suffixes, urls
+from lodeworks.llm import bpe, decontamination, licenses, lineblocks, nbsvm, rules, simhash, simple8b, suffixes, urls
 from lodeworks.sources.scratch import new_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -68,6 +68,17 @@ def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join("labels", ",").alias("labels"), "score")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = nbsvm.score(docs, nbsvm.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", nbsvm.held_out().alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineblocks.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
@@ -77,4 +88,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_license_scans": op8_license_scans,
+    "op9_quality_classifier": op9_quality_classifier,
+    "op10_html_extraction": op10_html_extraction,
 }
