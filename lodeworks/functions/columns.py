@@ -26,8 +26,8 @@ def thermometer_columns(col: Column, levels: int, prefix: str) -> dict[str, Colu
 
 
 def multi_hot_columns(arr: Column, items: Sequence[str], names: Sequence[str]) -> dict[str, Column]:
-    """One boolean per item: does the array hold it?"""
-    return {name: F.array_contains(arr, item) for name, item in zip(names, items, strict=True)}
+    """One boolean per item: does the array hold it? A null array holds nothing."""
+    return {name: F.coalesce(F.array_contains(arr, item), F.lit(False)) for name, item in zip(names, items, strict=True)}
 
 
 def scaled(col: Column, divisor: float) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -16,7 +17,10 @@ from pyspark.sql import functions as F
 from lodeworks.operators.counts import count_by
 from lodeworks.operators.features import assemble
 from lodeworks.sources.readers import rows_to_df
-from lodeworks.sources.scratch import cached
+from lodeworks.sources.scratch import cached, materialize
+
+MAX_IDS = 10_000  # cluster ids up to this many become a literal filter
+BLOCK_VALUES = 4_000_000  # numbers of centres or cluster sums on the driver at a time
 
 
 def collapse_points(df: DataFrame, cols: Sequence[str], weight: str = "w") -> DataFrame:
@@ -101,13 +105,30 @@ def clusters_above(profile: DataFrame, flag: str, min_ratio: float) -> DataFrame
     return profile.where(F.col(f"{flag}_ratio") >= min_ratio)
 
 
-def rows_of(assigned: DataFrame, chosen: DataFrame, cluster: str = "cluster") -> DataFrame:
-    """Rows in the chosen clusters. Their ids (at most k) become a literal filter, so the
-    rows are neither shuffled nor gathered on a cluster that holds most of them."""
-    ids = [row[0] for row in chosen.select(cluster).collect()]
+def rows_of(
+    assigned: DataFrame, chosen: DataFrame, cluster: str = "cluster", max_ids: int = MAX_IDS
+) -> DataFrame:
+    """Rows in the chosen clusters. Up to ``max_ids`` ids become a literal filter, so the
+    rows are neither shuffled nor gathered on a cluster that holds most of them; more
+    are joined, with the same rows."""
+    listed = chosen.select(F.col(cluster).alias("_id")).where(F.col("_id").isNotNull()).distinct()
+    ids = [row[0] for row in listed.limit(max_ids + 1).collect()]
+    if len(ids) > max_ids:
+        return assigned.join(materialize(listed, "chosen"), F.col(cluster) == F.col("_id"), "left_semi")
     return assigned.where(F.col(cluster).isin(ids)) if ids else assigned.limit(0)
 
 
+def investigate(
+    assigned: DataFrame, flags: Sequence[str], flag: str, min_ratio: float, arr: str, cluster: str = "cluster"
+) -> DataFrame:
+    """``cluster, item, n, size, <flag>_ratio``: how often each item of ``arr`` is in the clusters whose
+    share of ``flag`` reaches ``min_ratio``."""
+    chosen = materialize(clusters_above(cluster_profile(assigned, flags, cluster), flag, min_ratio), "chosen")
+    rows = rows_of(assigned, chosen, cluster).select(cluster, F.array_distinct(arr).alias("_items"))
+    items = rows.select(cluster, F.explode("_items").alias("item")).groupBy(cluster, "item").agg(F.count(F.lit(1)).alias("n"))
+    return items.join(chosen.select(cluster, "size", f"{flag}_ratio"), cluster)
+
+
 def cluster_features(
     assigned: DataFrame, cols: Sequence[str], cluster: str = "cluster", keep_zero: bool = False
 ) -> DataFrame:
@@ -141,7 +162,8 @@ def silhouette(assigned: DataFrame, features: str = "features", cluster: str = "
 
 
 def silhouette_of_copies(
-    assigned: DataFrame, weight: str, features: str = "features", cluster: str = "cluster"
+    assigned: DataFrame, weight: str, features: str = "features", cluster: str = "cluster",
+    block_values: int = BLOCK_VALUES,
 ) -> DataFrame:
     """The silhouette of the rows behind collapsed points, each standing for ``weight`` copies.
 
@@ -151,33 +173,53 @@ def silhouette_of_copies(
     sum of squared norms S and vector sum Y (k rows, the size of the model).
     """
     vectors, w = F.col(features), F.col(weight).cast("double")
-    sums = (
-        assigned.groupBy(cluster)
-        .agg(Summarizer.metrics("sum", "normL2").summary(vectors, w).alias("_m"), F.sum(w).alias("_n"))
-        .select(cluster, "_n", vector_to_array("_m.sum").alias("_y"), vector_to_array("_m.normL2").alias("_q"))
-        .toPandas()
-    )
-    position = {c: i for i, c in enumerate(sums[cluster])}
+    measured = Summarizer.metrics("sum", "normL2").summary(vectors, w).alias("_m")
+    sums = materialize(assigned.groupBy(F.col(cluster).alias("_c")).agg(measured, F.sum(w).alias("_n")).select(
+        "_c", "_n", vector_to_array("_m.sum").alias("_y"), vector_to_array("_m.normL2").alias("_q")), "sums")
+    # Clusters come to the driver a block at a time; what a row has seen of them is folded by columns.
+    scored = assigned.select(w.alias("_w"), F.col(cluster).alias("_c"), vector_to_array(vectors).alias("_x"))
+    folded = [_within(block)(F.col("_x"), F.col("_c")) for block in _blocks(sums, "_c", "_y", block_values)]
+    inside = F.coalesce(*[f["inside"] for f in folded])
+    outside = F.least(*[f["outside"] for f in folded]) if len(folded) > 1 else folded[0]["outside"]
+    members = F.coalesce(*[f["members"] for f in folded])
+    larger = F.greatest(inside, outside)
+    known = (members > 1) & (larger > 0) & (outside < float("inf"))
+    score = F.when(known, (outside - inside) / larger).otherwise(0.0)
+    return scored.select("_w", score.alias("_s")).agg((F.sum(F.col("_w") * F.col("_s")) / F.sum("_w")).alias("silhouette"))
+
+
+def _blocks(table: DataFrame, key: str, vector: str, max_values: int) -> list[pd.DataFrame]:
+    """Rows with a vector each, in blocks of about ``max_values`` numbers (at least one block)."""
+    n, size = table.agg(F.count(F.lit(1)), F.max(F.size(vector))).first()
+    blocks = max(1, -(-n * (size or 1) // max_values))
+    if blocks == 1:
+        return [table.toPandas()]
+    place = F.pmod(F.xxhash64(key), F.lit(blocks))
+    return [part for b in range(blocks) if len(part := table.where(place == b).toPandas())]
+
+
+def _within(sums: pd.DataFrame):
+    """For rows and their clusters: mean distance inside, its members, and the least mean distance to others."""
+    position = {c: i for i, c in enumerate(sums["_c"])}
     total = np.stack(sums["_y"].to_numpy())
     squares = (np.stack(sums["_q"].to_numpy()) ** 2).sum(axis=1)
     members = sums["_n"].to_numpy(dtype="float64")
 
-    @F.pandas_udf("double")
-    def score(points: pd.Series, clusters: pd.Series) -> pd.Series:
+    @F.pandas_udf("inside double, members double, outside double")
+    def within(points: pd.Series, clusters: pd.Series) -> pd.DataFrame:
         x = np.stack(points.to_numpy())
-        own = clusters.map(position).to_numpy()
-        row = np.arange(len(x))
+        own = clusters.map(position).fillna(-1).to_numpy(dtype="int64")
         away = np.maximum((x**2).sum(axis=1)[:, None] * members + squares - 2 * x @ total.T, 0.0)
-        inside = away[row, own] / np.maximum(members[own] - 1, 1)
+        here = np.flatnonzero(own >= 0)
         others = away / members
-        others[row, own] = np.inf
-        outside = others.min(axis=1)
-        larger = np.maximum(inside, outside)
-        known = (members[own] > 1) & (larger > 0) & np.isfinite(outside)
-        return pd.Series(np.where(known, (outside - inside) / np.where(known, larger, 1.0), 0.0))
+        others[here, own[here]] = np.inf
+        inside = np.full(len(x), None, dtype=object)
+        inside[here] = away[here, own[here]] / np.maximum(members[own[here]] - 1, 1)
+        count = np.full(len(x), None, dtype=object)
+        count[here] = members[own[here]]
+        return pd.DataFrame({"inside": inside, "members": count, "outside": others.min(axis=1)})
 
-    scored = assigned.select(w.alias("_w"), score(vector_to_array(vectors), F.col(cluster)).alias("_s"))
-    return scored.agg((F.sum(F.col("_w") * F.col("_s")) / F.sum("_w")).alias("silhouette"))
+    return within
 
 
 def compare_k(
@@ -192,34 +234,48 @@ def compare_k(
             km = KMeans(
                 k=k, seed=seed, featuresCol="features", predictionCol="cluster", weightCol="w"
             )
-            assigned = km.fit(vectors).transform(vectors)
-            sizes = assigned.groupBy("cluster").agg(F.sum("w").alias("size"))
-            found, largest = sizes.agg(F.count(F.lit(1)), F.max("size")).first()
-            score = None
-            if found > 1:
-                scored = silhouette_of_copies(assigned, "w") if collapse else silhouette(assigned)
-                score = scored.first()[0]
+            assigned = km.fit(vectors).transform(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                sizes = assigned.groupBy("cluster").agg(F.sum("w").alias("size"))
+                found, largest = sizes.agg(F.count(F.lit(1)), F.max("size")).first()
+                score = None
+                if found > 1:
+                    scored = silhouette_of_copies(assigned, "w") if collapse else silhouette(assigned)
+                    score = scored.first()[0]
+            finally:
+                assigned.unpersist()
             rows.append((k, found, largest, score))
     return rows_to_df(
         df.sparkSession, rows, "k_asked int, k_found bigint, largest bigint, silhouette double"
     )
 
 
-def nearest_centroid(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
+def nearest_centroid(
+    df: DataFrame, vector: str, centers: DataFrame, block_values: int = BLOCK_VALUES
+) -> DataFrame:
     """Add ``cluster`` and squared ``distance`` of the nearest centre (ties: lowest cluster).
 
-    ``centers`` is ``cluster, dim, value``, k rows of the dimension: the size of a
-    k-means model. Distances are matrix work on Arrow batches.
+    ``centers`` is ``cluster, dim, value``. They come to the driver in blocks of about
+    ``block_values`` numbers; distances are matrix work on Arrow batches.
     """
-    table = centers.toPandas().pivot(index="cluster", columns="dim", values="value").sort_index()
-    ids, matrix = table.index.to_numpy(), table.to_numpy(dtype="float64")
+    whole = centers.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("_d")).select(
+        "cluster", F.transform("_d", lambda d: d["value"].cast("double")).alias("_v"))
+    blocks = _blocks(materialize(whole, "centres"), "cluster", "_v", block_values)
+    found = [_nearest(block)(F.col(vector)) for block in blocks]
+    best = F.least(*found) if len(found) > 1 else found[0]
+    near = df.withColumn("_near", best)
+    return near.select(*df.columns, "_near.cluster", "_near.distance")
+
+
+def _nearest(centers: pd.DataFrame):
+    centers = centers.sort_values("cluster")
+    ids, matrix = centers["cluster"].to_numpy(), np.stack(centers["_v"].to_numpy())
 
-    @F.pandas_udf("cluster int, distance double")
+    @F.pandas_udf("distance double, cluster int")
     def nearest(vectors: pd.Series) -> pd.DataFrame:
         points = np.stack(vectors.to_numpy()).astype("float64")
         distances = np.stack([((points - c) ** 2).sum(axis=1) for c in matrix], axis=1)
         best = distances.argmin(axis=1)
-        return pd.DataFrame({"cluster": ids[best], "distance": distances.min(axis=1)})
+        return pd.DataFrame({"distance": distances.min(axis=1), "cluster": ids[best]})
 
-    found = df.withColumn("_near", nearest(F.col(vector)))
-    return found.select(*df.columns, "_near.cluster", "_near.distance")
+    return nearest

@@ -62,7 +62,10 @@ def loss_and_accuracy(
 def mark_best(metrics: DataFrame, metric: str, ties: list[str], out: str = "is_best") -> DataFrame:
     """Flag the configuration with the lowest metric (ties: smallest settings first).
 
-    ``metrics`` has one row per configuration, so the sort is over a handful.
+    A metric that is null or not a number is no score and never wins; without any score
+    nothing is flagged. ``metrics`` has one row per configuration, so the sort is over
+    a handful.
     """
-    best = metrics.orderBy(metric, *ties).limit(1).select(*ties, F.lit(True).alias(out))
+    scored = metrics.where(F.col(metric).isNotNull() & ~F.isnan(F.col(metric).cast("double")))
+    best = scored.orderBy(metric, *ties).limit(1).select(*ties, F.lit(True).alias(out))
     return metrics.join(best, ties, "left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))

@@ -14,8 +14,8 @@ from lodeworks.functions.columns import multi_hot_columns, scaled, thermometer_c
 from lodeworks.operators.counts import count_by, sort_counts, top_k
 from lodeworks.operators.indexing import dense_index
 from lodeworks.operators.reshape import explode_items
+from lodeworks.sources.scratch import materialize
 
-MAX_HOT_COLUMNS = 500  # wider plans cost more to compile than they save
 MAX_MODEL_LABELS = 10_000  # label lists up to this size may live on the driver
 
 
@@ -30,10 +30,9 @@ def multi_hot_topn(
 ) -> DataFrame:
     """Add one boolean per frequent item, named after the item or after its rank.
 
-    Only the ``n`` names come to the driver, to become column names.
+    Only the ``n`` names come to the driver, to become column names. A null array has
+    none of the items. For thousands of items ``multi_hot_vector`` gives a shorter plan.
     """
-    if n > MAX_HOT_COLUMNS:
-        raise ValueError(f"use multi_hot_vector for more than {MAX_HOT_COLUMNS} items")
     items = [row["item"] for row in top_items(df, arr, n).collect()]
     names = [f"{prefix}{i + 1 if by_rank else item}" for i, item in enumerate(items)]
     return df.withColumns(multi_hot_columns(F.col(arr), items, names))
@@ -52,28 +51,54 @@ def thermometer(df: DataFrame, col: str, levels: int = 16, prefix: str | None =
     return df.withColumns(thermometer_columns(F.col(col), levels, prefix or f"TE_{col}"))
 
 
-def string_index(df: DataFrame, col: str, out: str, max_labels: int = MAX_MODEL_LABELS) -> DataFrame:
-    """Number the values of ``col`` by falling frequency (ties in value order).
+def label_table(df: DataFrame, col: str) -> DataFrame:
+    """``label, idx``: the values of ``col`` as text, by falling frequency (ties in text order)."""
+    texts = df.select(F.col(col).cast("string").alias("label")).where(F.col("label").isNotNull())
+    numbered = dense_index(count_by(texts, "label"), [F.desc("n"), F.col("label")], "idx")
+    return materialize(numbered.select("label", F.col("idx").cast("double").alias("idx")), "labels")
 
-    Short label lists become a fitted indexer. Longer ones stay a distributed
-    table that is numbered range by range and joined back.
-    """
-    counts = count_by(df.where(F.col(col).isNotNull()), col)
-    labels = [row[col] for row in sort_counts(counts, col).limit(max_labels + 1).collect()]
-    if len(labels) <= max_labels:
-        return indexer_of(labels, col, out).transform(df)
-    numbered = dense_index(counts, [F.desc("n"), F.col(col)], out)
-    return df.join(numbered.select(col, F.col(out).cast("double").alias(out)), col)
 
+def string_index(
+    df: DataFrame, col: str, out: str, max_labels: int = MAX_MODEL_LABELS, nulls: str = "error"
+) -> DataFrame:
+    """Number the values of ``col`` by falling frequency (ties in the order of their text).
 
-def indexer_of(labels: Sequence[str], col: str, out: str) -> StringIndexerModel:
+    ``nulls`` is an ``error``, or they ``keep`` a number of their own (the number of
+    labels), or ``skip`` drops their rows. Up to ``max_labels`` labels become a fitted
+    indexer, which also leaves them in the column's metadata. More stay a distributed
+    table that is numbered range by range and joined back, with equal numbers; they
+    are turned back by ``index_to_string`` with the ``label_table``.
+    """
+    if nulls not in ("error", "keep", "skip"):
+        raise ValueError("nulls is error, keep or skip")
+    texts = df.select(F.col(col).cast("string").alias(col)).where(F.col(col).isNotNull())
+    labels = [row[col] for row in sort_counts(count_by(texts, col), col).limit(max_labels + 1).collect()]
+    if len(labels) <= max_labels:
+        text = f"{out}_text"
+        indexer = indexer_of(labels, text, out, nulls)
+        return indexer.transform(df.withColumn(text, F.col(col).cast("string"))).drop(text)
+    table = label_table(df, col)
+    if nulls == "skip":
+        df = df.where(F.col(col).isNotNull())
+    unknown = F.raise_error(F.lit(f"null in {col}")).cast("double") if nulls == "error" else F.lit(float(table.count()))
+    joined = df.join(table, F.col(col).cast("string") == F.col("label"), "left")
+    number = F.when(F.col("label").isNotNull(), F.col("idx")).otherwise(unknown)
+    return joined.select(*[df[c] for c in df.columns], number.alias(out))
+
+
+def indexer_of(labels: Sequence[str], col: str, out: str, nulls: str = "error") -> StringIndexerModel:
     return StringIndexerModel.from_labels(
-        list(labels), inputCol=col, outputCol=out, handleInvalid="error"
+        list(labels), inputCol=col, outputCol=out, handleInvalid=nulls
     )
 
 
-def index_to_string(df: DataFrame, col: str, out: str, labels: Sequence[str] | None = None) -> DataFrame:
-    """Original labels of an index column (from its metadata unless given)."""
+def index_to_string(
+    df: DataFrame, col: str, out: str, labels: Sequence[str] | DataFrame | None = None
+) -> DataFrame:
+    """Original labels of an index column, from its metadata, a list or a ``label_table``."""
+    if isinstance(labels, DataFrame):
+        named = labels.select(F.col("idx").alias("_idx"), F.col("label").alias(out))
+        return df.join(named, F.col(col) == F.col("_idx"), "left").drop("_idx")
     stage = IndexToString(inputCol=col, outputCol=out)
     if labels is not None:
         stage = stage.setLabels(list(labels))

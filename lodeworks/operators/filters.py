@@ -32,8 +32,8 @@ def select_clusters(df: DataFrame, ids: Iterable[int], cluster: str = "cluster")
 
 
 def filter_impact(df: DataFrame, predicate: Column) -> DataFrame:
-    """Rows before and after a filter and the share kept, in one pass."""
+    """Rows before and after a filter and the share kept (null without rows), in one pass."""
     counts = df.agg(
         F.count(F.lit(1)).alias("n_before"), F.count_if(predicate).alias("n_after")
     )
-    return counts.select("*", (F.col("n_after") / F.col("n_before")).alias("kept_ratio"))
+    return counts.select("*", F.try_divide("n_after", "n_before").alias("kept_ratio"))

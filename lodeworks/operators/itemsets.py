@@ -9,15 +9,19 @@ one job per candidate.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodeworks.operators.reshape import explode_items
 from lodeworks.sources.scratch import materialize
 
 MAX_INLINE_ITEMS = 5_000  # frequent items up to this many become a literal list
-MAX_BROADCAST_BYTES = 64 << 20  # frequent pairs up to this much text are sent to all tasks
+MAX_BROADCAST_BYTES = 64 << 20  # tables of following items up to this size are sent to all tasks
+SALTS = 16  # places over which a common beginning is dealt when that table is shuffled
 BLOCK = 256  # anchors per row when a long basket is cut into balanced pieces
 LONG_PER_TASK = 1_000  # long baskets whose blocks at one place share a task
 
@@ -49,21 +53,66 @@ def frequent_pairs(weighted: DataFrame, min_exclusive: int) -> DataFrame:
 
 def frequent_triples(weighted: DataFrame, min_exclusive: int) -> DataFrame:
     """``item_1, item_2, item_3, n`` in item order."""
-    anchored = _anchored(_only_frequent(weighted, min_exclusive))
-    pairs = materialize(_pairs(anchored, min_exclusive), "pairs")
-    return _grow(anchored, pairs, 3, min_exclusive)
+    return _levels(weighted, min_exclusive, 3)[3]
 
 
 def frequent_sets(weighted: DataFrame, min_exclusive: int, max_size: int = 3) -> DataFrame:
     """All frequent sets of 2 to ``max_size`` items as ``items`` (array), ``size``, ``n``."""
-    anchored = _anchored(_only_frequent(weighted, min_exclusive))
-    pairs = materialize(_pairs(anchored, min_exclusive), "pairs")
-    result = _as_sets(pairs, 2)
+    levels = _levels(weighted, min_exclusive, max_size)
+    result = _as_sets(levels[2], 2)
     for size in range(3, max_size + 1):
-        result = result.unionByName(_as_sets(_grow(anchored, pairs, size, min_exclusive), size))
+        result = result.unionByName(_as_sets(levels[size], size))
     return result
 
 
+def _levels(weighted: DataFrame, min_exclusive: int, max_size: int) -> dict[int, DataFrame]:
+    """The stored frequent sets ``item_1.., n`` of each size; a size grows from the one before."""
+    anchored = _anchored(_only_frequent(weighted, min_exclusive))
+    levels = {2: materialize(_pairs(anchored, min_exclusive), "sets")}
+    first = anchored.select("w", "tail", F.posexplode("anchors").alias("_at", "item_1"))
+    state = first.select("w", "item_1", _after("tail", F.col("_at")).alias("_open")).where(F.size("_open") > 1)
+    for size in range(3, max_size + 1):
+        state = _extend(state, levels[size - 1], size)
+        items = [f"item_{i + 1}" for i in range(size)]
+        grown = state.select("w", *items[:-1], F.explode("_open").alias(items[-1]))
+        found = grown.groupBy(*items).agg(F.sum("w").alias("n")).where(F.col("n") > min_exclusive)
+        levels[size] = materialize(found, "sets")
+        state = state.where(F.size("_open") > 1)
+    return levels
+
+
+def _after(arr: str, at: Column) -> Column:
+    """The elements of ``arr`` behind the 0-based place ``at``."""
+    return F.slice(arr, at + 2, F.size(arr))
+
+
+def _extend(state: DataFrame, sets: DataFrame, size: int) -> DataFrame:
+    """Sets of ``size - 1`` items inside baskets, with the later items that may follow, stored.
+
+    ``state`` has the sets one item shorter (``w, item_1.., _open``); ``sets`` are the
+    frequent ones of ``size - 1``. A frequent set has all its parts frequent, so only
+    items that make a frequent set with the same beginning stay open. The table of
+    these items is broadcast when it is measured and small enough. Otherwise it is
+    shuffled, and copied to ``SALTS`` places so that a beginning which a third of all
+    baskets share is dealt over as many tasks; the count then shuffles on the whole set.
+    """
+    *prefix, last = [f"item_{i + 1}" for i in range(size - 1)]
+    following = sets.groupBy(*[F.col(c).alias(f"_{c}") for c in prefix]).agg(F.collect_list(last).alias("_next"))
+    following = materialize(following, "following")
+    text = following.agg(F.sum(F.aggregate("_next", F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x) + 16))).first()[0]
+    same = reduce(and_, [F.col(c) == F.col(f"_{c}") for c in prefix])
+    if (text or 0) <= MAX_BROADCAST_BYTES:
+        joined = state.join(F.broadcast(following), same)
+    else:
+        copies = following.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = state.withColumn("_salt", F.pmod(F.xxhash64("_open"), F.lit(SALTS)).cast("int"))
+        joined = dealt.join(copies, same & (F.col("_salt") == F.col("_copy")))
+    open_items = joined.select("w", *prefix, F.array_intersect("_open", "_next").alias("_left")).where(F.size("_left") > 1)
+    steps = open_items.select("w", *prefix, "_left", F.posexplode("_left").alias("_at", last))
+    return materialize(steps.select("w", *prefix, last, _after("_left", F.col("_at")).alias("_open")).where(
+        F.size("_open") > 0), "state")
+
+
 def itemsets(baskets: DataFrame, items: str, min_exclusive: int, max_size: int | None = None) -> DataFrame:
     """Frequent sets of any size by FP-growth, ``items`` (sorted array), ``size``, ``n``.
 
@@ -100,8 +149,8 @@ def _only_frequent(weighted: DataFrame, min_exclusive: int) -> DataFrame:
             F.filter("items", lambda x: x.isin(names) if names else F.lit(False)).alias("items"), "w"
         )
     else:
-        # A set is its own key: the digest names it without carrying the array.
-        keyed = weighted.withColumn("_set", F.sha2(F.array_join("items", "\x1f"), 256))
+        # A set is its own key: the digest of its JSON names it, whatever the items contain.
+        keyed = weighted.withColumn("_set", F.sha2(F.to_json("items"), 256))
         kept = keyed.select("_set", "w", F.explode("items").alias("item")).join(
             singles.select("item"), "item", "left_semi"
         )
@@ -145,8 +194,7 @@ def _pairs(anchored: DataFrame, min_exclusive: int) -> DataFrame:
     # Two streaming generators: a row holds one anchor and the items after it,
     # never the list of all its pairs, and the partial count runs in the task.
     firsts = anchored.select("w", "tail", F.posexplode("anchors").alias("_i", "item_1"))
-    rest = F.slice("tail", F.col("_i") + 2, F.size("tail"))
-    pairs = firsts.select("w", "item_1", F.explode(rest).alias("item_2"))
+    pairs = firsts.select("w", "item_1", F.explode(_after("tail", F.col("_i"))).alias("item_2"))
     return (
         pairs.groupBy("item_1", "item_2")
         .agg(F.sum("w").alias("n"))
@@ -154,39 +202,6 @@ def _pairs(anchored: DataFrame, min_exclusive: int) -> DataFrame:
     )
 
 
-def _grow(anchored: DataFrame, pairs: DataFrame, size: int, min_exclusive: int) -> DataFrame:
-    """Sets of ``size`` items, extended only along frequent pairs.
-
-    Every pair inside a frequent set is frequent, so nothing is lost. The
-    neighbour table is broadcast when the stored pairs are measured and small
-    enough; otherwise the join shuffles and AQE splits hot items.
-    """
-    neighbours = pairs.groupBy(F.col("item_1").alias("_from")).agg(
-        F.collect_list("item_2").alias("_next")
-    )
-    text = pairs.agg(F.sum(F.octet_length("item_1") + F.octet_length("item_2"))).first()[0]
-    if (text or 0) <= MAX_BROADCAST_BYTES:
-        neighbours = F.broadcast(neighbours)
-    state = anchored.select("w", F.explode("anchors").alias("item_1"), F.col("tail").alias("_open"))
-    chosen = ["item_1"]
-    for level in range(1, size):
-        following = f"item_{level + 1}"
-        joined = state.join(neighbours, F.col(chosen[-1]) == F.col("_from"))
-        still_open = F.array_intersect("_open", "_next")
-        if level + 1 < size:
-            # The filter leaves no empty array; the outer form keeps Spark from
-            # adding its own test, which would compute the intersection again.
-            state = (
-                joined.select("w", *chosen, still_open.alias("_open"))
-                .where(F.size("_open") >= size - level)
-                .select("w", *chosen, F.explode_outer("_open").alias(following), "_open")
-            )
-        else:
-            state = joined.select("w", *chosen, F.explode(still_open).alias(following))
-        chosen.append(following)
-    return state.groupBy(*chosen).agg(F.sum("w").alias("n")).where(F.col("n") > min_exclusive)
-
-
 def _as_sets(found: DataFrame, size: int) -> DataFrame:
     items = F.array(*[F.col(f"item_{i + 1}") for i in range(size)])
     return found.select(items.alias("items"), F.lit(size).alias("size"), "n")

@@ -59,18 +59,17 @@ def fit_curve(
     block: int = 128,
     seed: int = 1,
 ) -> DataFrame:
-    """Losses and accuracies after growing iteration budgets, per architecture.
+    """Losses and accuracies of one fit per iteration budget and architecture.
 
-    Each budget continues from the weights of the one before. ``overfit`` marks
-    a validation loss above ``factor`` times the training loss.
+    Every budget is a fit of its own: L-BFGS continued from earlier weights would have
+    lost its curvature history. ``overfit`` marks a validation loss above ``factor``
+    times the training loss.
     """
     rows = []
     with cached(train, validation) as (train, validation):
         for hidden in architectures:
-            weights, done = None, 0
             for budget in sorted(budgets):
-                model = fit_mlp(train, inputs, classes, hidden, budget - done, block, seed, weights)
-                weights, done = model.weights, budget
+                model = fit_mlp(train, inputs, classes, hidden, budget, block, seed)
                 train_loss, train_acc = loss_and_accuracy(model.transform(train), "label").first()
                 val_loss, val_acc = loss_and_accuracy(model.transform(validation), "label").first()
                 rows.append((

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lodeworks.operators.evaluation import mark_best, rmse
 from lodeworks.operators.indexing import dense_index
 from lodeworks.sources.readers import rows_to_df
-from lodeworks.sources.scratch import cached, shared_dir
+from lodeworks.sources.scratch import cached, materialize, shared_dir
 
 INT_MAX = 2**31 - 1
 GRID_SCHEMA = "rank int, reg double, iters int, val_rmse double"
@@ -19,12 +19,23 @@ SETTINGS = ["rank", "reg", "iters"]
 
 
 def with_int_id(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Add an int id for ``col``: a cast where all values fit, dense numbers otherwise."""
+    """Add an int id for ``col``: a cast where all values fit, dense numbers otherwise.
+
+    Null stays null either way, and ``col`` stays beside its number.
+    """
     low, high = df.agg(F.min(col), F.max(col)).first()
     if low is None or (isinstance(low, int) and -INT_MAX <= low and high <= INT_MAX):
         return df.withColumn(out, F.col(col).cast("int"))
     ids = dense_index(df.select(col).where(F.col(col).isNotNull()).distinct(), [col], out)
-    return df.join(ids.withColumn(out, F.col(out).cast("int")), col)
+    ids = materialize(ids.select(F.col(col).alias("_known"), F.col(out).cast("int").alias(out)), "ids")
+    return df.join(ids, F.col(col) == F.col("_known"), "left").drop("_known")
+
+
+def with_original(df: DataFrame, ids: DataFrame, number: str, col: str) -> DataFrame:
+    """Replace the int id ``number`` by the value of ``col`` that ``ids`` has beside it."""
+    known = ids.where(F.col(number).isNotNull()).select(F.col(number).alias("_number"), F.col(col).alias("_value")).distinct()
+    joined = df.join(materialize(known, "ids"), F.col(number) == F.col("_number"))
+    return joined.select(*[F.col("_value").alias(col) if c == number else F.col(c) for c in df.columns])
 
 
 def fit_als(
@@ -69,7 +80,7 @@ def tune_als(
     the driver keeps one number per setting.
     """
     rows = []
-    with cached(train, validation) as (train, validation):
+    with cached(train, validation) as (train, validation):  # laid out once for all settings
         for rank, reg, iters in _settings(ranks, regs, iterations):
             model = fit_als(train, rank, reg, iters, seed, **columns)
             rows.append((rank, reg, iters, _score(model, validation, columns)))
@@ -81,7 +92,10 @@ def best_config(
 ) -> DataFrame:
     """Refit the setting with the lowest error and add ``test_rmse`` (null for the others)."""
     best = mark_best(metrics, "val_rmse", SETTINGS)
-    rank, reg, iters = best.where("is_best").select(*SETTINGS).first()
+    setting = best.where("is_best").select(*SETTINGS).first()
+    if setting is None:  # no setting has a score
+        return best.withColumn("test_rmse", F.lit(None).cast("double"))
+    rank, reg, iters = setting
     with cached(train) as (train,):
         model = fit_als(train, rank, reg, iters, seed, **columns)
         error = _score(model, test, columns)

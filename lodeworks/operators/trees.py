@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lodeworks.operators.evaluation import f1_weighted
 from lodeworks.sources.readers import rows_to_df
-from lodeworks.sources.scratch import cached, new_path
+from lodeworks.sources.scratch import cached, materialize, new_path
 from lodeworks.sources.writers import save_model
 
 
@@ -126,34 +126,44 @@ def _features(model: PipelineModel) -> list[tuple[int, str, list[str] | None]]:
     return [(i, *sources.get(column, (column, None))) for i, column in enumerate(columns)]
 
 
-def tree_rules(nodes: DataFrame, max_depth: int) -> DataFrame:
-    """``leaf, rule, prediction, stats``: the tests on the way from the root to each leaf.
+def tree_rules(nodes: DataFrame) -> DataFrame:
+    """``leaf, rule, condition, prediction, stats``: the tests on the way from the root to each leaf.
 
-    One join per tree level over a table of at most ``2 ** (depth + 1)`` nodes.
+    ``condition`` is the rule as SQL over the rows the tree was fitted on. One join per
+    tree level over a table of nodes, down to the deepest leaf.
     """
+    nodes = materialize(nodes, "nodes")
     among = F.concat(F.lit(" {"), F.array_join("categories", ", "), F.lit("}"))
 
     def test(compare: str, member: str) -> Column:
         bound = F.concat("feature", F.lit(compare), F.col("threshold").cast("string"))
         return F.coalesce(bound, F.concat("feature", F.lit(member), among))
 
+    name = F.concat(F.lit("`"), "feature", F.lit("`"))
+    quoted = F.transform("categories", lambda c: F.concat(F.lit("'"), F.replace(
+        F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("'")))
+    member = F.concat(F.lit("coalesce(cast("), name, F.lit(" as string), '') in ("), F.array_join(quoted, ", "), F.lit(")"))
+    goes_left = F.coalesce(F.concat(name, F.lit(" <= "), F.col("threshold").cast("string"), F.lit("d")), member)
+
     is_left, is_right = test(" <= ", " in"), test(" > ", " not in")
     steps = nodes.where(~F.col("is_leaf")).select(
         F.col("id").alias("_from"),
         F.inline(
             F.array(
-                F.struct(F.col("left").alias("_to"), is_left.alias("_test")),
-                F.struct(F.col("right").alias("_to"), is_right.alias("_test")),
+                F.struct(F.col("left").alias("_to"), is_left.alias("_test"), goes_left.alias("_sql")),
+                F.struct(F.col("right").alias("_to"), is_right.alias("_test"),
+                         F.concat(F.lit("not ("), goes_left, F.lit(")")).alias("_sql")),
             )
         ),
     )
-    frontier = nodes.where(F.col("id") == 0).select("id", F.lit("").alias("rule"))
+    frontier = nodes.where(F.col("id") == 0).select("id", F.lit("").alias("rule"), F.lit("true").alias("condition"))
     paths = frontier
-    for _ in range(max_depth):
-        frontier = frontier.join(steps, F.col("id") == F.col("_from")).select(
+    while not frontier.isEmpty():
+        frontier = materialize(frontier.join(steps, F.col("id") == F.col("_from")).select(
             F.col("_to").alias("id"),
             F.concat_ws(" and ", F.nullif(F.col("rule"), F.lit("")), F.col("_test")).alias("rule"),
-        )
+            F.concat_ws(" and ", "condition", "_sql").alias("condition"),
+        ), "rules")
         paths = paths.unionByName(frontier)
     leaves = nodes.where("is_leaf").select("id", "prediction", "stats")
-    return paths.join(leaves, "id").select(F.col("id").alias("leaf"), "rule", "prediction", "stats")
+    return paths.join(leaves, "id").select(F.col("id").alias("leaf"), "rule", "condition", "prediction", "stats")

@@ -41,6 +41,16 @@ def csv_roundtrip(spark, sf):
     return read_table(spark, path, "csv", schema=part.schema)
 
 
+@query
+def csv_inferred(spark, sf):
+    """A CSV whose types are inferred."""
+    path = new_path(spark, "csv")
+    write_table(inputs.table(spark, sf, "part"), path, "csv")
+    read = read_table(spark, path, "csv", infer=True)
+    kinds = [F.lit(dict(read.dtypes)[c]).alias(f"{c}_type") for c in ("p_partkey", "p_name", "p_retailprice")]
+    return read.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_name", "p_retailprice", *kinds)
+
+
 @query
 def text_lines(spark, sf):
     path = new_path(spark, "lines")
@@ -214,8 +224,9 @@ def two_period_trend(spark, sf):
 @query
 def rating_error_join(spark, sf):
     actual = materialize(inputs.interactions(spark, sf), "interactions")
-    item_means = actual.groupBy("ItemID").agg(F.avg("Rating").alias("prediction"))
-    predicted = actual.select("UserID", "ItemID").join(item_means, "ItemID")
+    item_means = materialize(actual.groupBy("ItemID").agg(F.avg("Rating").alias("prediction")), "means")
+    # Stored before the join, as the predictions of a job would be: both sides have their real sizes.
+    predicted = materialize(actual.select("UserID", "ItemID").join(item_means, "ItemID"), "predictions")
     joined = joins.join_on(actual, predicted, ["UserID", "ItemID"])
     return evaluation.squared_errors(joined, "Rating", "prediction").select(
         "UserID", "ItemID", *[F.round(c, 6).alias(c) for c in ("Rating", "prediction", "sq_error")]
@@ -451,7 +462,9 @@ def fpgrowth_itemsets(spark, sf):
 @query
 def rmse_metric(spark, sf):
     rated = inputs.movie_ratings(spark, sf)
-    predicted = joins.join_on(rated, ratings.rating_stats(rated), "MovieID")
+    # Stored, so that AQE can split a movie with a large share of the ratings.
+    stats = materialize(ratings.rating_stats(rated), "stats")
+    predicted = joins.join_on(rated, stats, "MovieID")
     return evaluation.rmse(predicted, "Rating", "AvgRating").select(F.round("rmse", 6).alias("rmse"))
 
 
@@ -472,7 +485,8 @@ def grid_select_best(spark, sf):
     )
     marked = sampling.assign_split(lines, LINE_KEY, [3, 1, 1], 137)
     train = marked.where(F.col("split") == 0)
-    stats = train.groupBy("MovieID").agg(F.sum("Rating").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    stats = materialize(
+        train.groupBy("MovieID").agg(F.sum("Rating").alias("_s"), F.count(F.lit(1)).alias("_n")), "stats")
     level = stats.agg((F.sum("_s") / F.sum("_n"))).scalar()
     held_out = marked.where(F.col("split") > 0).join(stats, "MovieID")
     errors = held_out.groupBy("split").agg(*[
@@ -550,37 +564,58 @@ PAIR_KEY = ["UserID", "ItemID"]
 
 
 def _als_frames(spark, sf, weights, seed):
-    """Interactions, stored once, with int ids and split by their key."""
+    """Interactions, stored once, with int ids beside the original ones and split by their key."""
     pairs = materialize(inputs.interactions(spark, sf), "interactions")
     for key in PAIR_KEY:
         pairs = recommend.with_int_id(pairs, key, f"{key}_int")
-    numbered = pairs.select(*[F.col(f"{key}_int").alias(key) for key in PAIR_KEY], "Rating")
-    return sampling.split_frames(numbered, PAIR_KEY, weights, seed)
+    return sampling.split_frames(pairs, PAIR_KEY, weights, seed)
+
+
+INT_KEY = {"user": "UserID_int", "item": "ItemID_int"}
 
 
 @query
 def als_predict(spark, sf):
     train, test = _als_frames(spark, sf, [4, 1], 137)
-    return recommend.predict_pairs(recommend.fit_als(train, rank=4, iters=5), test)
+    predicted = recommend.predict_pairs(recommend.fit_als(train, rank=4, iters=5, **INT_KEY), test)
+    return predicted.select(*PAIR_KEY, "Rating", "prediction")
+
+
+@query
+def als_predict_keys(spark, sf):
+    """The pairs that get a prediction: those whose user and item are both rated in training."""
+    return als_predict(spark, sf).where(F.col("prediction").between(-1000, 1000)).select(*PAIR_KEY, F.round("Rating", 6).alias("Rating"))
 
 
 @query
 def als_grid(spark, sf):
     train, validation, _ = _als_frames(spark, sf, [3, 1, 1], 137)
-    return recommend.tune_als(train, validation, ranks=[4, 8], regs=[0.1], iterations=[5])
+    return recommend.tune_als(train, validation, ranks=[4, 8], regs=[0.1], iterations=[5], **INT_KEY)
 
 
 @query
 def als_best(spark, sf):
     train, validation, test = _als_frames(spark, sf, [3, 1, 1], 137)
-    grid = recommend.tune_als(train, validation, ranks=[4], regs=[0.05, 0.1], iterations=[5])
-    return recommend.best_config(grid, train, test)
+    grid = recommend.tune_als(train, validation, ranks=[4], regs=[0.05, 0.1], iterations=[5], **INT_KEY)
+    return recommend.best_config(grid, train, test, **INT_KEY)
 
 
 @query
 def als_recommend(spark, sf):
     (everything,) = _als_frames(spark, sf, [1], 137)
-    return recommend.recommend(recommend.fit_als(everything, rank=4, iters=5), 3)
+    found = recommend.recommend(recommend.fit_als(everything, rank=4, iters=5, **INT_KEY), 3)
+    for key in PAIR_KEY:
+        found = recommend.with_original(found, everything, f"{key}_int", key)
+    return found
+
+
+@query
+def als_recommend_users(spark, sf):
+    """Per user: recommended items, distinct ones, and those that are items of the data."""
+    items = materialize(inputs.interactions(spark, sf).select("ItemID").distinct(), "items").withColumn("known", F.lit(1))
+    found = als_recommend(spark, sf).join(items, "ItemID", "left")
+    return found.groupBy("UserID").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("ItemID").alias("n_items"), F.count("known").alias("n_known"))
 
 
 CELL_FIT = {"label": "class", "numeric": ["clump", "cell_size", "mitoses"], "categorical": ["bare_nuclei"]}
@@ -611,7 +646,30 @@ def tree_nodes(spark, sf):
 
 @query
 def tree_rules(spark, sf):
-    return trees.tree_rules(tree_nodes(spark, sf), 4)
+    return trees.tree_rules(tree_nodes(spark, sf))
+
+
+@query
+def tree_predict_classes(spark, sf):
+    """Test rows with their true class, and whether the named class is the predicted number's."""
+    found = tree_predict(spark, sf)
+    named = found.groupBy("prediction").agg(F.count_distinct("predicted_class").alias("n"), F.min("predicted_class").alias("name"))
+    return found.join(materialize(named, "named"), "prediction").select(
+        "id", "line", "class", ((F.col("n") == 1) & (F.col("name") == F.col("predicted_class"))).alias("one_name"))
+
+
+@query
+def tree_rules_cover(spark, sf):
+    """Rows, rows that exactly one rule holds for, and those where it predicts what the tree predicts."""
+    train, test = _cells(spark, sf)
+    model = trees.fit_tree(train, max_depth=4, **CELL_FIT)
+    rules = trees.tree_rules(trees.tree_nodes(spark, model)).select("condition", "prediction").collect()  # 16 leaves at most
+    rows = model.transform(train.unionByName(test))
+    held = F.array(*[F.when(F.expr(rule["condition"]), F.lit(rule["prediction"])) for rule in rules])
+    said = rows.select("prediction", F.array_compact(held).alias("said"))
+    one = F.size("said") == 1
+    return said.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(one).alias("n_one_rule"),
+                    F.count_if(one & (F.get("said", F.lit(0)) == F.col("prediction"))).alias("n_same"))
 
 
 @query
@@ -620,6 +678,30 @@ def kmeans_assign(spark, sf):
     return clusters.fit_vectors(points, 10).transform(points).select("vec_id", "cluster")
 
 
+@query
+def kmeans_nearest(spark, sf):
+    """Points, points that another fitted centre is nearer to, and rows in the table of sizes."""
+    points = inputs.digits(spark, sf).select("vec_id", "embedding", array_to_vector("embedding").alias("features"))
+    model = clusters.fit_vectors(points, 10)
+    assigned = model.transform(points).select("vec_id", "embedding", F.col("cluster").alias("given"))
+    near = clusters.nearest_centroid(assigned, "embedding", clusters.cluster_centers(points, model))
+    sizes = clusters.cluster_sizes(model.transform(points)).agg(F.sum("size").alias("n_sized"))
+    wrong = near.agg(F.count(F.lit(1)).alias("n_points"), F.count_if(F.col("given") != F.col("cluster")).alias("n_other_nearer"))
+    return wrong.crossJoin(sizes)  # one row each
+
+
+@query
+def kmeans_centers_shape(spark, sf):
+    """The fitted centres: clusters, dimensions, and the sum over all points of their distance to their centre's mean."""
+    points = inputs.digits(spark, sf).select("embedding", array_to_vector("embedding").alias("features"))
+    model = clusters.fit_vectors(points, 10)
+    centers = clusters.cluster_centers(points, model)
+    sizes = clusters.cluster_sizes(model.transform(points))
+    weighted = centers.join(sizes, "cluster").groupBy("dim").agg(F.sum(F.col("value") * F.col("size")).alias("total"))
+    return centers.groupBy("dim").agg(F.count_distinct("cluster").alias("n_clusters")).join(weighted, "dim").select(
+        F.col("dim").cast("bigint").alias("dim"), "n_clusters", F.round("total", 2).alias("total"))
+
+
 def _encoded(spark, sf):
     """Stored scanner profiles with top-port and port-count indicators."""
     profiles = materialize(inputs.scanners(spark, sf), "scanners")
@@ -646,6 +728,30 @@ def kmeans_thermo_profile(spark, sf):
     return clusters.cluster_profile(assigned, inputs.SCANNER_FLAGS, model=model)
 
 
+@query
+def kmeans_mixed_sizes(spark, sf):
+    """Rows and distinct scanners with a cluster, and clusters out of range."""
+    return kmeans_mixed_features(spark, sf).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("scanner").alias("n_scanners"),
+        F.count_if(~F.col("cluster").between(0, 19)).alias("n_out_of_range"))
+
+
+@query
+def kmeans_thermo_totals(spark, sf):
+    """Sizes and flagged rows summed over the profile of the fitted clusters."""
+    profile = kmeans_thermo_profile(spark, sf)
+    flagged = [F.round(F.sum(F.col("size") * F.col(f"{flag}_ratio"))).cast("bigint").alias(flag) for flag in inputs.SCANNER_FLAGS]
+    return profile.agg(F.sum("size").alias("n_rows"), *flagged)
+
+
+@query
+def malware_cluster_ports(spark, sf):
+    """Fit, profile, choose clusters by their share of a flag, and count the ports of the rows in them."""
+    encoded, cols = _encoded(spark, sf), [*HOT, *THERMO]
+    model = clusters.fit_kmeans(encoded, cols, 20, collapse=True)
+    return clusters.investigate(clusters.assign_clusters(model, encoded, cols), inputs.SCANNER_FLAGS, "zmap", 0.2, "Ports_Array")
+
+
 @query
 def kmeans_k_compare(spark, sf):
     return clusters.compare_k(_encoded(spark, sf), [*HOT, *THERMO], [10, 20, 40], collapse=True)
@@ -663,6 +769,13 @@ def mlp_predict(spark, sf):
     return model.transform(test).select("vec_id", "label", "prediction")
 
 
+@query
+def mlp_predict_keys(spark, sf):
+    """Test rows with their label; the prediction has to be one of the classes."""
+    found = mlp_predict(spark, sf)
+    return found.select("vec_id", F.col("label").cast("bigint").alias("label"), F.col("prediction").between(0, 9).alias("in_range"))
+
+
 @query
 def mlp_fit_curve(spark, sf):
     train, test = _digit_frames(spark, sf)
@@ -675,8 +788,8 @@ def mlp_fit_curve(spark, sf):
 @query
 def stream_prefix_counts(spark, sf):
     events = inputs.table(spark, sf, "events")
-    # The pattern matches the table as one file or as a folder of files.
-    stream = spark.readStream.schema(events.schema).parquet(f"{sf}/events.parquet*")
+    # A pattern of this one name: the stream takes the table as one file or as a folder of files.
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf}/events.parque[t]")
     out, checkpoint = new_path(spark, "stream"), new_path(spark, "stream-state")
     running = start_prefix_counts(inputs.tweet_texts(stream), "#", out, checkpoint, field_sep=",")
     running.awaitTermination()

@@ -6,6 +6,7 @@ Each job returns a DataFrame; ``python -m lodeworks <job> ... --out <path>`` wri
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from lodeworks.operators import (
 from lodeworks.sources import cached, materialize, read_csv_columns, read_lines, read_table
 
 MOVIES = "MovieID int, MovieTitle string, Genres string"
-RATINGS = "UserID int, MovieID int, Rating double"
+RATINGS = "UserID bigint, MovieID bigint, Rating double"
 SCANNERS = (
     "ports_scanned_str string, numports long, lifetime double, Packets double, "
     "mirai boolean, zmap boolean, masscan boolean"
@@ -76,19 +77,33 @@ def tune_recommender(
     regs: Sequence[float] = (0.01, 0.05, 0.1), iterations: Sequence[int] = (10, 15, 20), seed: int = 37,
 ) -> DataFrame:
     """Validation error per setting and the test error of the best one."""
+    train, validation, test = sampling.split_frames(_numbered(spark, rated), ["UserID", "MovieID"], [3, 1, 1], 137)
+    grid = recommend.tune_als(train, validation, ranks, regs, iterations, seed, **NUMBERS)
+    return recommend.best_config(grid, train, test, seed, **NUMBERS)
+
+
+NUMBERS = {"user": "UserID_int", "item": "MovieID_int"}
+
+
+def _numbered(spark: SparkSession, rated: str) -> DataFrame:
+    """Ratings with int ids beside the original ones, which may be any 64-bit number."""
     stored = materialize(read_csv_columns(spark, rated, RATINGS), "ratings")
-    train, validation, test = sampling.split_frames(stored, ["UserID", "MovieID"], [3, 1, 1], 137)
-    grid = recommend.tune_als(train, validation, ranks, regs, iterations, seed, item="MovieID")
-    return recommend.best_config(grid, train, test, seed, item="MovieID")
+    for key in ("UserID", "MovieID"):
+        stored = recommend.with_int_id(stored, key, f"{key}_int")
+    return stored
 
 
 def recommend_movies(
     spark: SparkSession, rated: str, n: int = 10, rank: int = 4, reg: float = 0.1, iters: int = 20, seed: int = 37,
 ) -> DataFrame:
     """The ``n`` movies with the highest predicted rating for every user."""
-    with cached(read_csv_columns(spark, rated, RATINGS)) as (known,):
-        model = recommend.fit_als(known, rank, reg, iters, seed, item="MovieID")
-    return recommend.recommend(model, n)
+    numbered = _numbered(spark, rated)
+    with cached(numbered) as (known,):
+        model = recommend.fit_als(known, rank, reg, iters, seed, **NUMBERS)
+    found = recommend.recommend(model, n)
+    for key in ("UserID", "MovieID"):
+        found = recommend.with_original(found, numbered, f"{key}_int", key)
+    return found
 
 
 def _port_arrays(spark: SparkSession, scanners: str, schema: str) -> DataFrame:
@@ -131,6 +146,20 @@ def cluster_profiles(
     return profile.join(common.withColumnRenamed("n", "feature_n"), "cluster", "left").orderBy("cluster")
 
 
+def malware_ports(
+    spark: SparkSession, scanners: str, k: int = 50, top_ports: int = 30, min_ratio: float = 0.8,
+    flag: str = "mirai", seed: int = 123,
+) -> DataFrame:
+    """Ports of the scanners in clusters whose share of a malware flag reaches ``min_ratio``, most common first."""
+    hot, ports = _encoded(spark, scanners, top_ports)
+    encoded = features.thermometer(hot, "numports")
+    cols = ports + [c for c in encoded.columns if c not in hot.columns]
+    model = clusters.fit_kmeans(encoded, cols, k, seed, collapse=True)
+    assigned = clusters.assign_clusters(model, encoded, cols)
+    found = clusters.investigate(assigned, FLAGS, flag, min_ratio, "Ports_Array")
+    return found.orderBy("cluster", F.desc("n"), "item")
+
+
 def compare_cluster_counts(
     spark: SparkSession, scanners: str, ks: Sequence[int] = (50, 120), top_ports: int = 30, seed: int = 123,
 ) -> DataFrame:
@@ -151,7 +180,7 @@ def diagnosis_rules(spark: SparkSession, biopsies: str, max_depth: int = 3) -> D
     """The fitted tree as one rule per leaf."""
     train, _ = _biopsy_frames(spark, biopsies)
     model = trees.fit_tree(train, "class", CELLS, ["bare_nuclei"], max_depth)
-    rules = trees.tree_rules(trees.tree_nodes(spark, model), max_depth)
+    rules = trees.tree_rules(trees.tree_nodes(spark, model))
     return rules.withColumn("stats", F.to_json("stats")).orderBy("leaf")
 
 
@@ -163,22 +192,30 @@ def _biopsy_frames(spark: SparkSession, biopsies: str) -> list[DataFrame]:
 
 def digit_curve(
     spark: SparkSession, train: str, test: str, hidden: Sequence[int] = (512, 512, 512),
-    budgets: Sequence[int] = (5, 10, 20, 30), block: int = 128, pixels: str = "pixels", label: str = "label",
+    budgets: Sequence[int] = (5, 10, 20, 30), blocks: Sequence[int] = (128,), layers: Sequence[int] = (),
+    classes: int = 10, pixels: str = "pixels", label: str = "label",
 ) -> DataFrame:
-    """Losses of a digit classifier over growing training, from tables of pixel arrays."""
+    """Losses of a digit classifier over growing training, from tables of pixel arrays.
+
+    ``layers`` compares networks of the first so many hidden layers (all, if empty);
+    ``blocks`` compares block sizes, with a row per size, network and budget.
+    """
     frames = [
         neural.vector_input(features.scale_array(read_table(spark, path), pixels, 255), pixels, label)
         for path in (train, test)
     ]
     inputs = read_table(spark, train).select(F.size(pixels)).first()[0]
-    return neural.fit_curve(*frames, inputs, 10, [list(hidden)], budgets, block=block)
+    networks = [list(hidden[:n]) for n in layers] or [list(hidden)]
+    curves = [neural.fit_curve(*frames, inputs, classes, networks, budgets, block=block).withColumn(
+        "block", F.lit(block)) for block in blocks]
+    return reduce(DataFrame.unionByName, curves)
 
 
 JOBS = {
     fn.__name__.replace("_", "-"): fn
     for fn in (
         word_counts, hashtag_counts, hashtag_trend, genre_totals, top_movies, tune_recommender,
-        recommend_movies, frequent_port_sets, cluster_profiles, compare_cluster_counts, diagnosis_depths,
+        recommend_movies, frequent_port_sets, cluster_profiles, malware_ports, compare_cluster_counts, diagnosis_depths,
         diagnosis_rules, digit_curve,
     )
 }

@@ -110,6 +110,9 @@ _THERMO_COLUMNS = ",\n".join(
 ORACLE: dict[str, str] = {
     # sources and sinks
     "csv_roundtrip": "select * from part",
+    "csv_inferred": """
+        select p_partkey, p_name, p_retailprice, 'int' as p_partkey_type, 'string' as p_name_type,
+            'double' as p_retailprice_type from part""",
     "text_lines": "select unnest(string_split(text, chr(10))) as value from documents",
     "sink_roundtrip": _with(["v_genres"], "select genre, count(*) as n from v_genres group by genre"),
     "typed_projection": """
@@ -315,6 +318,34 @@ ORACLE: dict[str, str] = {
         , s as (select vec_id, max(total / (n - 1)) filter (own = other and n > 1) as a,
             min(total / n) filter (own <> other) as b from p group by vec_id)
         select round(avg(case when a is null then 0 else (b - a) / greatest(a, b) end), 6) as silhouette from s""",
+    # what the tables alone say about fitted models
+    "als_predict_keys": """
+        with i as (select o_custkey as UserID, l_suppkey as ItemID, sum(l_quantity) / count(*) as Rating
+            from lineitem join orders on l_orderkey = o_orderkey group by all)
+        , b as (select *, ('0x' || substr(md5(concat_ws(':', UserID, ItemID, '137')), 1, 8))::bigint % 5 < 4 as train from i)
+        select UserID, ItemID, round(Rating, 6) as Rating from b
+        where not train and UserID in (select UserID from b where train) and ItemID in (select ItemID from b where train)""",
+    "als_recommend_users": """
+        with u as (select distinct o_custkey as UserID from lineitem join orders on l_orderkey = o_orderkey)
+        , m as (select least(3, count(distinct l_suppkey)) as n from lineitem)
+        select UserID, n, n as n_items, n as n_known from u, m""",
+    "tree_predict_classes": _with(["v_biopsies"], """
+        select id, line, class, true as one_name from v_biopsies
+        where ('0x' || substr(md5(concat_ws(':', id, line, '1234')), 1, 8))::bigint % 10 >= 7"""),
+    "tree_rules_cover": "select count(*) as n_rows, count(*) as n_one_rule, count(*) as n_same from lineitem",
+    "kmeans_nearest": """
+        select count(*) as n_points, 0::bigint as n_other_nearer, count(*) as n_sized from embeddings""",
+    "kmeans_centers_shape": """
+        with d as (select unnest(embedding) as x, unnest(range(len(embedding))) as dim from embeddings)
+        select cast(dim as bigint) as dim, 10::bigint as n_clusters, round(sum(x::double), 2) as total from d group by dim""",
+    "kmeans_mixed_sizes": _with(["v_scanners"], """
+        select count(*) as n_rows, count(distinct scanner) as n_scanners, 0::bigint as n_out_of_range from v_scanners"""),
+    "kmeans_thermo_totals": _with(["v_scanners"], """
+        select count(*) as n_rows, count(*) filter (mirai) as mirai, count(*) filter (zmap) as zmap,
+            count(*) filter (masscan) as masscan from v_scanners"""),
+    "mlp_predict_keys": """
+        select vec_id, cast(label as bigint) as label, true as in_range from embeddings
+        where ('0x' || substr(md5(concat_ws(':', vec_id, '1')), 1, 8))::bigint % 5 >= 4""",
     # streaming: the same counts as over the whole table
     "stream_prefix_counts": _with(["v_tags"], "select token, count(*) as n from v_tags group by token"),
 }

@@ -9,6 +9,9 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+FIT_PARTITIONS = 32  # partitions of the input of an iterative fit; raise it with the data
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -59,35 +62,40 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A cached frame's rows over all cores, if it has fewer partitions than cores.
+@contextmanager
+def step(df: DataFrame, name: str = "step") -> Iterator[DataFrame]:
+    """``materialize`` for the length of a block: the table is removed when its consumers have run."""
+    stored = materialize(df, name)
+    paths = {file.rsplit("/", 1)[0] for file in stored.inputFiles()}
+    try:
+        yield stored
+    finally:
+        sc = df.sparkSession.sparkContext
+        for path in paths:
+            folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def lay_out(df: DataFrame, parts: int = FIT_PARTITIONS) -> DataFrame:
+    """Rows dealt by a hash of their content and sorted by it.
 
-    Few files, a gzip file or one large row group would leave cores idle in every
-    pass of a fit. Larger inputs are returned as they are.
+    The seeds of an iterative fit depend on which rows share a partition and in which
+    order. Laid out like this they depend on the rows and ``parts`` alone, not on the
+    input's files or the number of cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    content = F.xxhash64(*df.columns)
+    return df.repartition(parts, content).sortWithinPartitions(content)
 
 
 @contextmanager
-def cached(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
-    """Keep the inputs of an iterative fit in memory (spilling), spread over the cores."""
+def cached(*frames: DataFrame, parts: int = FIT_PARTITIONS) -> Iterator[tuple[DataFrame, ...]]:
+    """Keep the inputs of an iterative fit in memory (spilling), laid out the same way each time."""
     kept: list[DataFrame] = []
     try:
         for frame in frames:
-            kept.append(_keep(frame))
+            kept.append(lay_out(frame, parts).persist(StorageLevel.MEMORY_AND_DISK))
+            kept[-1].count()
         yield tuple(kept)
     finally:
         for frame in kept:
             frame.unpersist()
-
-
-def _keep(df: DataFrame) -> DataFrame:
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    kept.count()
-    wide = spread(kept)
-    if wide is not kept:
-        wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
-        wide.count()
-        kept.unpersist()
-    return wide

@@ -109,7 +109,7 @@ def test_depths(cells):
 def test_rules_reproduce_the_predictions(spark, cells, tree):
     nodes = materialize(trees.tree_nodes(spark, tree))
     assert nodes.count() == trees.tree_of(tree).numNodes
-    rules = trees.tree_rules(nodes, 4).collect()
+    rules = trees.tree_rules(nodes).collect()
     assert len(rules) == nodes.where("is_leaf").count()
     scored = tree.transform(cells[1])
     total = 0
@@ -126,7 +126,7 @@ def test_categories_go_by_their_names(spark):
         F.element_at(F.array(F.lit("red"), F.lit("green"), F.lit("blue")), (F.col("id") % 3 + 1).cast("int")).alias("c"),
         F.lit(1.0).alias("x"), F.when(F.col("id") % 3 == 1, "yes").otherwise("no").alias("y"),
     )
-    rules = trees.tree_rules(trees.tree_nodes(spark, trees.fit_tree(df, "y", ["x"], ["c"])), 5).collect()
+    rules = trees.tree_rules(trees.tree_nodes(spark, trees.fit_tree(df, "y", ["x"], ["c"]))).collect()
     assert {r["rule"] for r in rules} <= {f"c{n} in {{{s}}}" for n in ("", " not") for s in ("green", "blue, red", "green, <other>", "blue, red, <other>")}
     assert len(rules) == 2
 
