@@ -106,7 +106,7 @@ def remove_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """``docs`` without the contaminated ones; rows without an id stay."""
     gone = contamination(docs, items, id_col, **names).where(contaminated(share)).select(F.col(id_col).alias("gone_id"))
     gone = materialize(gone.distinct(), "contaminated")
-    return docs.join(gone, docs[id_col] == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
@@ -114,11 +114,11 @@ def remove_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     found = contamination(docs, items, id_col, text_col, **names).where("n_hit > 0").groupBy(
         F.col(id_col).alias("hit_id")).agg(F.max("spans").alias("hit_spans"))
     found = materialize(found, "spans")
-    whole = F.col(text_col)
+    whole, spans = docs[text_col], found["hit_spans"]
     gap = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
     pieces = F.regexp_extract_all(whole, F.lit(gap + RAW_WORD), F.lit(0))
     tail = F.regexp_extract(whole, f"({gap})$", 1)
-    left = F.filter(pieces, lambda p, i: ~F.exists("hit_spans", lambda s: (i >= s["start"]) & (i < s["stop"])))
-    cut = F.when(F.col("hit_spans").isNull(), whole).otherwise(F.concat(F.array_join(left, ""), tail))
-    joined = docs.join(found, docs[id_col] == F.col("hit_id"), "left")
-    return joined.withColumn(text_col, cut).drop("hit_id", "hit_spans")
+    left = F.filter(pieces, lambda p, i: ~F.exists(spans, lambda s: (i >= s["start"]) & (i < s["stop"])))
+    cut = F.when(spans.isNull(), whole).otherwise(F.concat(F.array_join(left, ""), tail))
+    joined = docs.join(found, docs[id_col] == found["hit_id"], "left")
+    return joined.select(*[cut.alias(c) if c == text_col else docs[c] for c in docs.columns])

@@ -1,10 +1,10 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 The markup is stripped and each block-level element becomes a line. Lengths of text are
-summed over windows of ``WINDOW`` lines. Reading starts where the sums surge over the
-threshold and ends where they dive under it; surges in one container belong together,
-and the text between the first surge and the last dive is kept, whole, short lines
-included. Lines that are mostly link text count nothing.
+summed over windows of ``WINDOW`` lines. The text between the first surge of the sums
+over the threshold and the last dive under it is kept, whole, short lines included; the
+lines around it that stand in the same container as its first or last line belong to it.
+Lines that are mostly link text count nothing and are left out.
 
 What is never article is left out before lines are counted: scripts, styles, forms,
 menus, page headers and footers, sidebars, adverts, notices and reader comments, by
@@ -43,6 +43,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea iframe svg math object canvas".split())
 NEVER = frozenset("head title nav aside footer form menu button select option dialog label fieldset audio video map".split())
 MARKED = frozenset("article main".split())
+CONTAINERS = frozenset("article body center div html main section".split())
 CLOSES_PARAGRAPH = BLOCKS - frozenset("html head body title td th tr caption tbody thead tfoot li dd dt legend summary".split())
 OWN_KIND = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
             "th": ("tr", "table"), "option": ("select",)}
@@ -66,6 +67,7 @@ class Line:
     text: list[str] = field(default_factory=list)
     link: int = 0
     marked: bool = False
+    container: int = -1
 
 
 def _unwanted(name: str, rest: str, inside_article: bool) -> bool:
@@ -84,8 +86,8 @@ def _unwanted(name: str, rest: str, inside_article: bool) -> bool:
 def lines_of(html: str) -> list[Line]:
     """The page's lines in order: text of each block without what is never article."""
     lines, now = [], Line()
-    stack: list[tuple[str, bool, bool]] = []  # element, left out, in the marked part
-    at = links = 0
+    stack: list[tuple[str, bool, bool, int]] = []  # element, left out, in the marked part, its container's number
+    at = links = opened = 0
 
     def close() -> None:
         nonlocal now
@@ -97,6 +99,7 @@ def lines_of(html: str) -> list[Line]:
         if part and not (stack and stack[-1][1]):
             now.text.append(part)
             now.marked |= bool(stack and stack[-1][2])
+            now.container = stack[-1][3] if stack and part.strip() else now.container
             if links:
                 now.link += len(part.strip())
 
@@ -151,8 +154,10 @@ def lines_of(html: str) -> list[Line]:
             close()
         if name in VOID or token["rest"].rstrip().endswith("/") and name not in BLOCKS:
             continue
-        out, marked = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        stack.append((name, out or _unwanted(name, token["rest"], marked), marked or name in MARKED))
+        out, marked, container = stack[-1][1:] if stack else (False, False, -1)
+        opened += 1
+        stack.append((name, out or _unwanted(name, token["rest"], marked), marked or name in MARKED,
+                      opened if name in CONTAINERS else container))
         links += name == "a"
     close()
     return lines
@@ -170,12 +175,18 @@ def main_text(html: str | None) -> str:
         return "\n\n".join(found[i][0] for i in marked)
     sizes = [0 if line.link >= LINKS * len(text) else len(text) for text, line in found]
     sums = [sum(sizes[i:i + WINDOW]) for i in range(len(sizes))]
-    surge = next((i for i, s in enumerate(sums) if s >= SURGE and sizes[i]), None)
-    if surge is None:  # no window is long enough: all lines that are not links
+    high = [i for i, s in enumerate(sums) if s >= SURGE]
+    if not high:  # no window is long enough: all lines that are not links
         return "\n\n".join(text for (text, _), size in zip(found, sizes, strict=True) if size)
-    dive = max(i for i, s in enumerate(sums) if s >= SURGE)
-    last = max(i for i in range(dive, min(dive + WINDOW, len(sizes))) if sizes[i])
-    return "\n\n".join(text for (text, _), size in list(zip(found, sizes, strict=True))[surge:last + 1] if size)
+    # A window surges because of its long lines: the first of the first window, the last of the last one.
+    long = [i for h in (high[0], high[-1]) for i in range(h, min(h + WINDOW, len(sizes))) if sizes[i] * WINDOW >= SURGE]
+    surge, dive = min(long), max(long)
+    inside = {found[i][1].container for i in (surge, dive)}
+    while surge and found[surge - 1][1].container in inside:
+        surge -= 1
+    while dive + 1 < len(found) and found[dive + 1][1].container in inside:
+        dive += 1
+    return "\n\n".join(text for (text, _), size in list(zip(found, sizes, strict=True))[surge:dive + 1] if size)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

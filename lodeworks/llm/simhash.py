@@ -192,4 +192,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """``docs`` with one document of each component, the one of the smallest id; rows without an id stay."""
     groups = near_duplicates(docs, id_col, text_col, **options)
     gone = groups.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias("gone_id")).distinct()
-    return docs.join(materialize(gone, "copies"), docs[id_col] == F.col("gone_id"), "left_anti")
+    gone = materialize(gone, "copies")
+    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
