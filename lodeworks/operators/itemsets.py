@@ -118,24 +118,28 @@ def itemsets(baskets: DataFrame, items: str, min_exclusive: int, max_size: int |
 
     FP-growth keeps counts of at least ``ceil(support * N)``; half a count above
     the bound makes that exactly "more than ``min_exclusive``", safe from float
-    rounding. It mines all sizes; for a low bound and a small ``max_size``
-    ``frequent_sets`` does less work.
+    rounding. It mines all sizes, so with a ``max_size`` the sets are grown level by
+    level instead (``frequent_sets``), with the same rows.
     """
-    sets = baskets.select(F.array_distinct(F.col(items)).alias("items"))
-    total = baskets.count()
+    if max_size is not None:
+        weighted = weigh_baskets(baskets, items)
+        single = frequent_items(weighted, min_exclusive).withColumnRenamed("item", "item_1")
+        found = _as_sets(single, 1)
+        return found.unionByName(frequent_sets(weighted, min_exclusive, max_size)) if max_size > 1 else found
+    sets = materialize(baskets.select(F.array_distinct(F.col(items)).alias("items")), "sets")
+    total = sets.count()
     if total <= min_exclusive:
-        return _fp_result(sets.withColumn("freq", F.lit(0).cast("bigint")).limit(0), None)
+        return _fp_result(sets.withColumn("freq", F.lit(0).cast("bigint")).limit(0))
     model = FPGrowth(itemsCol="items", minSupport=(min_exclusive + 0.5) / total).fit(sets)
-    return _fp_result(model.freqItemsets, max_size)
+    return _fp_result(model.freqItemsets)
 
 
-def _fp_result(found: DataFrame, max_size: int | None) -> DataFrame:
-    result = found.select(
+def _fp_result(found: DataFrame) -> DataFrame:
+    return found.select(
         F.array_sort("items").alias("items"),
         F.size("items").alias("size"),
         F.col("freq").alias("n"),
     )
-    return result if max_size is None else result.where(F.col("size") <= max_size)
 
 
 def _only_frequent(weighted: DataFrame, min_exclusive: int) -> DataFrame:

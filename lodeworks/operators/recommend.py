@@ -102,8 +102,36 @@ def best_config(
     return best.withColumn("test_rmse", F.when(F.col("is_best"), F.lit(error)))
 
 
+def tune_and_test(
+    train: DataFrame,
+    validation: DataFrame,
+    test: DataFrame,
+    ranks: Sequence[int] = (4, 8, 12),
+    regs: Sequence[float] = (0.01, 0.05, 0.1),
+    iterations: Sequence[int] = (10, 15, 20),
+    seed: int = 37,
+    **columns: str,
+) -> DataFrame:
+    """``tune_als`` and ``best_config`` in one: the best model so far is kept, so nothing is fitted twice."""
+    rows, best = [], None
+    with cached(train, validation) as (train, validation):
+        for setting in _settings(ranks, regs, iterations):
+            model = fit_als(train, *setting, seed, **columns)
+            error = _score(model, validation, columns)
+            rows.append((*setting, error))
+            if error is not None and error == error and (best is None or (error, setting) < best[0]):
+                best = (error, setting), model
+        tested = _score(best[1], test, columns) if best else None
+    marked = mark_best(rows_to_df(test.sparkSession, rows, GRID_SCHEMA), "val_rmse", SETTINGS)
+    return marked.withColumn("test_rmse", F.when(F.col("is_best"), F.lit(tested).cast("double")))
+
+
 def recommend(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFrame:
-    """The ``n`` items with the highest predicted rating per user: ``user, rank, item, score``."""
+    """The ``n`` items with the highest predicted rating per user: ``user, rank, item, score``.
+
+    Every user asked for is compared with every item. Without ``users`` that is the
+    product of all users and all items: name the users wherever there are many.
+    """
     user, item = model.getUserCol(), model.getItemCol()
     lists = model.recommendForAllUsers(n) if users is None else model.recommendForUserSubset(users, n)
     ranked = lists.select(user, F.posexplode("recommendations").alias("_pos", "_rec"))

@@ -451,9 +451,9 @@ def frequent_sets_of_four(spark, sf):
 
 @query
 def fpgrowth_itemsets(spark, sf):
-    baskets = materialize(inputs.port_arrays(spark, sf).select("Ports_Array"), "ports")
+    baskets = materialize(inputs.port_arrays(spark, sf).select("Ports_Array"), "baskets")
     bound = baskets.count() * 33 // 10_000
-    return _as_text(itemsets.itemsets(baskets, "Ports_Array", bound, max_size=3))
+    return _as_text(itemsets.itemsets(baskets, "Ports_Array", bound).where("size <= 3"))
 
 
 # --- evaluation under given predictions and clusters -------------------------
@@ -596,8 +596,8 @@ def als_grid(spark, sf):
 @query
 def als_best(spark, sf):
     train, validation, test = _als_frames(spark, sf, [3, 1, 1], 137)
-    grid = recommend.tune_als(train, validation, ranks=[4], regs=[0.05, 0.1], iterations=[5], **INT_KEY)
-    return recommend.best_config(grid, train, test, **INT_KEY)
+    return recommend.tune_and_test(
+        train, validation, test, ranks=[4], regs=[0.05, 0.1], iterations=[5], **INT_KEY)
 
 
 @query

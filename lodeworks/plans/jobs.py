@@ -78,8 +78,7 @@ def tune_recommender(
 ) -> DataFrame:
     """Validation error per setting and the test error of the best one."""
     train, validation, test = sampling.split_frames(_numbered(spark, rated), ["UserID", "MovieID"], [3, 1, 1], 137)
-    grid = recommend.tune_als(train, validation, ranks, regs, iterations, seed, **NUMBERS)
-    return recommend.best_config(grid, train, test, seed, **NUMBERS)
+    return recommend.tune_and_test(train, validation, test, ranks, regs, iterations, seed, **NUMBERS)
 
 
 NUMBERS = {"user": "UserID_int", "item": "MovieID_int"}
@@ -95,12 +94,20 @@ def _numbered(spark: SparkSession, rated: str) -> DataFrame:
 
 def recommend_movies(
     spark: SparkSession, rated: str, n: int = 10, rank: int = 4, reg: float = 0.1, iters: int = 20, seed: int = 37,
+    users: str | None = None,
 ) -> DataFrame:
-    """The ``n`` movies with the highest predicted rating for every user."""
+    """The ``n`` movies with the highest predicted rating for the users listed in a CSV, or for every user.
+
+    Each of these users is compared with all movies, so a large site names its users.
+    """
     numbered = _numbered(spark, rated)
     with cached(numbered) as (known,):
         model = recommend.fit_als(known, rank, reg, iters, seed, **NUMBERS)
-    found = recommend.recommend(model, n)
+    asked = None
+    if users is not None:
+        listed = read_csv_columns(spark, users, "UserID bigint")
+        asked = numbered.join(listed, "UserID", "left_semi").select("UserID_int").distinct()
+    found = recommend.recommend(model, n, asked)
     for key in ("UserID", "MovieID"):
         found = recommend.with_original(found, numbered, f"{key}_int", key)
     return found

@@ -263,3 +263,29 @@ def test_investigation_end_to_end(frame):
     df = frame("cluster int, mirai boolean, p array<string>", (1, True, ["23", "80"]), (1, True, ["23", "23"]), (2, False, ["80"]))
     got = clusters.investigate(df, ["mirai"], "mirai", 0.8, "p")
     assert rows(got.select("cluster", "item", "n", "size")) == [(1, "23", 2, 2), (1, "80", 1, 2)]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_limited_sets_equal_mined_ones(tricky, size):
+    grown = itemsets.itemsets(tricky, "items", 5, size).select(F.to_json("items"), "size", "n")
+    mined = itemsets.itemsets(tricky, "items", 5).where(F.col("size") <= size).select(F.to_json("items"), "size", "n")
+    assert rows(grown) == rows(mined)
+
+
+def test_tuning_keeps_the_model_that_a_refit_gives(spark):
+    pairs = spark.range(400).select((F.col("id") % 20).cast("int").alias("UserID"), (F.col("id") % 17).cast("int").alias("ItemID"),
+                                    (F.col("id") % 5 + 1.0).alias("Rating"), "id")
+    train, validation, test = sampling.split_frames(pairs, ["id"], [3, 1, 1], 7)
+    grid = dict(ranks=[2], regs=[0.1, 0.5], iterations=[3])
+    one = recommend.tune_and_test(train, validation, test, **grid).orderBy("reg").collect()
+    two = recommend.best_config(recommend.tune_als(train, validation, **grid), train, test).orderBy("reg").collect()
+    for a, b in zip(one, two, strict=True):
+        assert a["is_best"] == b["is_best"] and a["val_rmse"] == pytest.approx(b["val_rmse"])
+        assert a["test_rmse"] == (pytest.approx(b["test_rmse"]) if b["test_rmse"] is not None else None)
+
+
+def test_recommendations_for_listed_users(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("UserID,MovieID,Rating\n" + "".join(f"{u},{m},{1 + (u * m) % 5}\n" for u in range(12) for m in range(8)))
+    (tmp_path / "u.csv").write_text("UserID\n3\n99\n7\n")
+    got = jobs.recommend_movies(spark, str(tmp_path / "r.csv"), n=2, iters=2, users=str(tmp_path / "u.csv"))
+    assert rows(got.groupBy("UserID").count()) == [(3, 2), (7, 2)]
