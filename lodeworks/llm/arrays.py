@@ -109,6 +109,13 @@ def gather(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     lengths = ends - starts
     places = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(lengths, out=places[1:])
-    index = np.repeat(starts - places[:-1], lengths) + np.arange(places[-1])
-    return data[index], places
+    out = np.empty(places[-1], np.uint8)
+    first = 0
+    while first < len(starts):  # about a million bytes at a time: the index is much larger than they are
+        last = max(first + 1, int(np.searchsorted(places, places[first] + (1 << 20), "right")) - 1)
+        index = np.repeat(starts[first:last] - places[first:last], lengths[first:last])
+        index += np.arange(places[first], places[last])
+        out[places[first]:places[last]] = data[index]
+        first = last
+    return out, places
 

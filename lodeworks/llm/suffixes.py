@@ -47,6 +47,10 @@ LENGTH = 50
 GRAM = 24
 SPAN = LENGTH - GRAM + 1  # grams in a window
 SLICE_BYTES = 2 << 20
+STRETCH = 1 << 18  # places whose hashes are computed together
+PLACE_BITS = np.uint64(19)  # of the ordering key; the same everywhere, so that equal windows choose equally
+SORTED_AT_ONCE = 1 << 18  # windows
+REPORTED = ("n_bytes", "n_removed", "n_spans", "kept")
 LAST_ID = np.iinfo(np.int64).max  # stands for a null id
 
 _VALUES = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64)  # a fixed random value per byte
@@ -90,13 +94,16 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
         return none.astype(np.uint64), none, none, none
-    hashes = gram_hashes(data)
     n = len(data) - LENGTH + 1
-    # The low bits of the ordering key are the place: one sliding minimum finds hash and place, the first of equals.
-    bits = np.uint64(len(data).bit_length())
-    keys = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
-    place = (_slide(keys, SPAN, np.minimum)[:n] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    rows = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    place, hashes = np.zeros(n, np.int64), np.zeros(n, np.uint64)
+    for start in range(0, n, STRETCH):
+        here = gram_hashes(data[start:start + STRETCH + LENGTH - 1])
+        # The low bits of the ordering key are the place: one sliding minimum finds hash and place, the first of equals.
+        keys = (here >> PLACE_BITS << PLACE_BITS) | np.arange(len(here), dtype=np.uint64)
+        found = (_slide(keys, SPAN, np.minimum) & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
+        place[start:start + len(found)] = found + start
+        hashes[start:start + len(found)] = here[found]
+    rows = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     windows = np.flatnonzero(rows[:n] == rows[LENGTH - 1:])
     if not len(windows):
         return none.astype(np.uint64), none, none, none
@@ -104,7 +111,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     new[1:] = (place[windows[1:]] != place[windows[:-1]]) | (np.diff(windows) > 1)
     heads = np.flatnonzero(new)
     first = windows[heads]
-    return hashes[place[first]], rows[first], first, np.diff(np.append(heads, len(windows)))
+    return hashes[first], rows[first].astype(np.int64), first, np.diff(np.append(heads, len(windows)))
 
 
 def _distinct(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -252,33 +259,50 @@ def _cut_contexts(bits: int):
     return run
 
 
+def _digit(data: np.ndarray, windows: np.ndarray, depth: int) -> np.ndarray:
+    """The (up to) eight bytes of each window at ``depth``, as one number."""
+    width = min(8, LENGTH - depth)
+    found = np.zeros((len(windows), 8), np.uint8)
+    for i in range(width):
+        found[:, 8 - width + i] = data[windows + (depth + i)]
+    return found.view(">u8").ravel().astype(np.uint64)
+
+
 def repeated_windows(data: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places (of ``windows``) that start a window occurring twice or more, and the group of each.
 
     Most-significant-digit passes of eight bytes: a pass orders what is left by its
-    group so far and its next digit; what is alone then is dropped.
+    group so far and its next digit; what is alone then is dropped. Many windows are
+    first dealt into heaps by their first digit, and each heap is ordered by itself.
     """
-    padded = np.append(data, np.zeros(8, np.uint8))
-    digits = np.zeros(len(data), np.uint64)
-    for i in range(8):
-        digits = (digits << np.uint64(8)) | padded[i:i + len(data)]
-    left, groups = np.arange(len(windows)), np.zeros(len(windows), np.int64)
-    for depth in range(0, LENGTH, 8):
-        if not len(left):
-            break
-        digit = digits[windows[left] + depth]
-        if depth + 8 > LENGTH:
-            digit = digit >> np.uint64(8 * (depth + 8 - LENGTH))
-        order = np.lexsort((digit, groups)) if depth else np.argsort(digit, kind="stable")
-        left, groups, digit = left[order], groups[order], digit[order]
-        new = np.ones(len(left), bool)
-        new[1:] = (groups[1:] != groups[:-1]) | (digit[1:] != digit[:-1])
-        heads = np.flatnonzero(new)
-        sizes = np.diff(np.append(heads, len(left)))
-        groups = np.repeat(np.arange(len(heads)), sizes)
-        several = np.repeat(sizes > 1, sizes)
-        left, groups = left[several], groups[several]
-    return left, groups
+    heaps = -(-len(windows) // SORTED_AT_ONCE)
+    heap = np.zeros(len(windows), np.int32)
+    for start in range(0, len(windows), SORTED_AT_ONCE):
+        first = _digit(data, windows[start:start + SORTED_AT_ONCE], 0)
+        heap[start:start + SORTED_AT_ONCE] = ((first * _BASE) >> np.uint64(40)) % np.uint64(heaps)
+    every, names, used = [], [], 0
+    for h in range(heaps):
+        left = np.flatnonzero(heap == h)
+        groups = np.zeros(len(left), np.int64)
+        for depth in range(0, LENGTH, 8):
+            if not len(left):
+                break
+            digit = _digit(data, windows[left], depth)
+            order = np.lexsort((digit, groups)) if depth else np.argsort(digit, kind="stable")
+            left, groups, digit = left[order], groups[order], digit[order]
+            new = np.ones(len(left), bool)
+            new[1:] = (groups[1:] != groups[:-1]) | (digit[1:] != digit[:-1])
+            heads = np.flatnonzero(new)
+            sizes = np.diff(np.append(heads, len(left)))
+            groups = np.repeat(np.arange(len(heads)), sizes)
+            several = np.repeat(sizes > 1, sizes)
+            left, groups = left[several], groups[several]
+        if len(left):
+            every.append(left)
+            names.append(groups + used)
+            used += int(groups[-1]) + 1
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(every), np.concatenate(names)) if every else (none, none)
 
 
 def _radix(group: pa.Table) -> pa.Table:
@@ -292,15 +316,16 @@ def _radix(group: pa.Table) -> pa.Table:
         values.append(np.frombuffer(raw, np.uint8, offset=12 * n))
     counts = [len(x) for x in lengths]
     every = np.concatenate(lengths)
-    places = np.cumsum(every) - every
-    encoded = tiles(np.concatenate(values), places).dictionary_encode()
-    which = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    encoded = tiles(np.concatenate(values), np.cumsum(every) - every).dictionary_encode()
+    which = encoded.indices.to_numpy(zero_copy_only=False)
     least = _least(np.concatenate(ids), which, len(encoded.dictionary))
     data, offsets = flat(encoded.dictionary)
+    del lengths, ids, values, every, raw
     sizes = np.diff(offsets) - LENGTH + 1  # windows of each distinct context
     ends = np.cumsum(sizes)
     begins = ends - sizes
-    windows = np.repeat(offsets[:-1] - begins, sizes) + np.arange(ends[-1])
+    windows = np.repeat((offsets[:-1] - begins).astype(np.int32), sizes)
+    windows += np.arange(ends[-1], dtype=np.int32)
     smallest = np.repeat(least, sizes)
     left, groups = repeated_windows(data, windows)
     if len(left):
@@ -319,7 +344,7 @@ def _radix(group: pa.Table) -> pa.Table:
 
 def _covered(part: Slice, bits: int, digits: list[int], blobs: list[bytes], answered: list[int], answers: list[bytes]) -> np.ndarray:
     """Bytes of the slice covered by a window that starts in a document of smaller id."""
-    change = np.zeros(len(part.data) + 1, np.int64)
+    change = np.zeros(len(part.data) + 1, np.int32)
     runs, contexts, which, hashes = part.contexts(_shared_of(part, bits, digits, blobs))
     if len(runs):
         _, offsets = flat(contexts)
@@ -362,7 +387,8 @@ def _cut(bits: int, schema: pa.Schema):
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digits: int | None = None) -> DataFrame:
-    """``docs`` with repeated bytes cut from the text, and ``n_bytes, n_removed, n_spans, kept``.
+    """``docs`` with repeated bytes cut from the text, and ``n_bytes, n_removed, n_spans, kept``,
+    which replace columns of these names.
 
     ``kept`` holds the bytes that stay; the text is these bytes without the parts of
     characters that were cut through. ``digits`` (a power of two) is the number of radix
@@ -393,11 +419,12 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = StructType([*source.schema.fields, StructField("n_bytes", LongType()), StructField("n_removed", LongType()),
                       StructField("n_spans", LongType()), StructField("kept", BinaryType())])
     result = map_arrow(packed.join(lists, "slice", "left"), _cut(bits, to_arrow_schema(out)), out)
-    back = {new: c for c, new in inner.items()} | {"id": id_col, "text": text_col}
-    return result.select(*[F.col(next(k for k, v in back.items() if v == c)).alias(c) for c in docs.columns],
-                         "n_bytes", "n_removed", "n_spans", "kept")
+    back = {c: new for c, new in inner.items() if c not in REPORTED} | {id_col: "id", text_col: "text"}
+    return result.select(*[F.col(back[c]).alias(c) for c in docs.columns if c in back], *REPORTED)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The columns of ``docs``, with repeated passages cut from the text."""
-    return deduplicate(docs, id_col, text_col).select(*[F.col(f"`{c}`") for c in docs.columns])
+    hidden = {c: f"own_{c}" for c in REPORTED if c in docs.columns}
+    found = deduplicate(docs.withColumnsRenamed(hidden), id_col, text_col)
+    return found.select(*[F.col(f"`{hidden.get(c, c)}`").alias(c) for c in docs.columns])
