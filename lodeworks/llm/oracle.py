@@ -41,7 +41,56 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM part LEFT JOIN (SELECT * FROM fit WHERE k = 1) USING (page_id)
 """
 
+# The rules of policy v2, on the same measurements.
+QUALITY_RULES = r"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+line AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines
+         FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM doc)
+         WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+win AS (SELECT doc_id, p, w[p:p + 7] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM doc)),
+rep AS (SELECT doc_id, g FROM win GROUP BY doc_id, g HAVING count(*) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i) AS n_repeat_words
+            FROM (SELECT doc_id, unnest(range(p, p + 8)) AS i FROM win JOIN rep USING (doc_id, g)) GROUP BY doc_id),
+again AS (SELECT doc_id, count(*) AS n_adjacent
+          FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS p FROM doc) WHERE w[p] = w[p + 1] GROUP BY doc_id),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+             coalesce(n_adjacent, 0) AS n_adjacent, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper,
+             length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS n_letters, length(regexp_replace(t, '[^0-9]', '', 'g')) AS n_digits
+      FROM doc LEFT JOIN line USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN again USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR n_symbols * 10 > n_words
+            OR n_letters >= 20 AND n_upper * 2 > n_letters OR n_adjacent * 5 > n_words
+            OR n_lines >= 3 AND n_dup_lines * 2 > n_lines
+            OR word_chars < n_words * 2 OR word_chars > n_words * 20 OR n_digits * 2 > word_chars) AS kept
+FROM m
+"""
+
+# Texts as hexadecimal digits, two to a byte.
+SUFFIX_DEDUP = """
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS g
+        FROM (SELECT doc_id, h, unnest(range(0, greatest(0, length(h) // 2 - 49))) AS p FROM doc)),
+least_of AS (SELECT g, min(doc_id) AS least FROM win GROUP BY g HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS i FROM win JOIN least_of USING (g) WHERE least < doc_id),
+span AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (i > before + 1 OR before IS NULL) AS n_spans
+         FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM gone) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * i + 1, 2), '' ORDER BY i) AS left_over
+         FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM doc WHERE doc_id IN (SELECT doc_id FROM span))
+         ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN n_removed IS NULL THEN h ELSE coalesce(left_over, '') END)) AS kept_sha256
+FROM doc LEFT JOIN span USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION,
+    "op2_quality_rules": QUALITY_RULES,
     "op5_url_filters": URL_FILTERS,
+    "op7_suffix_dedup": SUFFIX_DEDUP,
 }
