@@ -74,9 +74,13 @@ def gram_hashes(data: np.ndarray, length: int = GRAM) -> np.ndarray:
             n = max(0, len(data) - have - part + 1)
             total = total[:n] * _power(part) + known[part][have:have + n]
             have += part
-    # Mixed, so that the smallest hash is no property of the text.
-    total = (total ^ (total >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return total ^ (total >> np.uint64(32))
+    return _mix(total)  # so that the smallest hash is no property of the text
+
+
+def _mix(values: np.ndarray) -> np.ndarray:
+    """Spread over all 64 bits; different values stay different."""
+    values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return values ^ (values >> np.uint64(32))
 
 
 def _slide(values: np.ndarray, span: int, choose) -> np.ndarray:
@@ -111,7 +115,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     new[1:] = (place[windows[1:]] != place[windows[:-1]]) | (np.diff(windows) > 1)
     heads = np.flatnonzero(new)
     first = windows[heads]
-    return hashes[first], rows[first].astype(np.int64), first, np.diff(np.append(heads, len(windows)))
+    # Anchors are small hashes; mixed again, their top bits deal them out evenly.
+    return _mix(hashes[first]), rows[first].astype(np.int64), first, np.diff(np.append(heads, len(windows)))
 
 
 def _distinct(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
