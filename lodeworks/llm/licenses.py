@@ -21,7 +21,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.llm.words import count_char, word_line, words_in
+from lodeworks.llm.words import word_line, words_in
 
 # Fixed values of the contract: phrase and label.
 BASE_PHRASES = {
