@@ -31,8 +31,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document left, and the text that they stand for."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.decode(bpe.encode(docs, path), path)
+    return bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [

@@ -14,13 +14,24 @@ from pyspark.sql.types import StructType
 SLICE = 4 << 20  # bytes of text a task looks at together; a longer text is a slice of its own
 
 
+# Workers give large arrays back to the system at once; by default the C library keeps up to 64 MB of them.
+MALLOC = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(8 << 20), "MALLOC_ARENA_MAX": "2"}
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 HOME = str(Path(__file__).resolve().parents[2])
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: StructType | str) -> DataFrame:
-    """``df.mapInArrow``; a local session's workers find this package where the driver has it."""
-    sc = df.sparkSession.sparkContext
+    """``df.mapInArrow``; a local session's workers find this package where the driver has it.
+
+    Rows are texts here: Spark's default of 10,000 rows a batch would hold tens of
+    megabytes twice, in the JVM and in Python, so it is lowered. Another setting stays.
+    """
+    sc, conf = df.sparkSession.sparkContext, df.sparkSession.conf
+    if conf.get(BATCH_ROWS) == "10000":
+        conf.set(BATCH_ROWS, "1000")
+    for name, value in MALLOC.items():
+        sc.environment.setdefault(name, value)
     known = sc.environment.get("PYTHONPATH", "")
     if sc.master.startswith("local") and HOME not in known.split(os.pathsep):
         sc.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, HOME]))

@@ -9,12 +9,14 @@ first, shows every pair that ever met at the border. Following the stored last
 tokens back from the end emits the ids. No merge loop is run.
 
 The work per piece is linear in its length. Ids of pieces are kept in a bounded memory
-per Python worker. Defined results: null and empty texts have no ids; strings of added
-tokens are these tokens; rows are treated one by one, equal rows alike.
+per Python worker for the length of a task. Defined results: null and empty texts have
+no ids; strings of added tokens are these tokens; rows are treated one by one, equal
+rows alike.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,9 +30,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lodeworks.llm.arrays import map_arrow, slices
-from lodeworks.llm.pieces import Cutter, Memo, encode_texts, id_lists, vocabulary
+from lodeworks.llm.pieces import Cutter, Memo, encode_texts, id_lists, tokenizer, vocabulary
 
-PAIRS = 1_000_000  # answers of the pair test that a worker keeps
+PAIRS = 200_000  # answers of the pair test that a worker keeps
+PIECES = 150_000  # pieces whose ids a worker keeps, twice
 
 
 class PrefixEncoder:
@@ -120,7 +123,14 @@ class PrefixEncoder:
 
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> tuple[Cutter, Memo]:
-    return Cutter(path), Memo(PrefixEncoder(path).encode_all)
+    return Cutter(path), Memo(PrefixEncoder(path).encode_all, PIECES)
+
+
+def _release() -> None:
+    """Called at the end of a task: a worker that goes on to another stage keeps nothing of this one."""
+    for kept in (_encoder, _token_bytes, vocabulary, tokenizer):
+        kept.cache_clear()
+    gc.collect()
 
 
 @lru_cache(maxsize=1)
@@ -138,6 +148,7 @@ def encode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
             ids, places = encode_texts(cutter, memo, data, offsets)
             yield pa.RecordBatch.from_arrays([rows.column("id"), pa.array(np.diff(places)), id_lists(ids, places)],
                                              names=["id", "n_tokens", "tokens"])
+        _release()
 
     kind = source.schema["id"].dataType.simpleString()
     return map_arrow(source, run, f"id {kind}, n_tokens bigint, tokens array<int>").withColumnRenamed("id", id_col)
@@ -163,6 +174,25 @@ def decode(encoded: DataFrame, vocabulary_path: str, tokens_col: str = "tokens",
     return map_arrow(encoded, run, schema)
 
 
+def encode_and_decode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col, n_tokens, tokens, decoded`` of every row: both steps in one pass over the texts."""
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter, memo = _encoder(vocabulary_path)
+        for rows, data, offsets in slices(batches, "text"):
+            ids, places = encode_texts(cutter, memo, data, offsets)
+            texts = [decode_ids(ids[a:b].tolist(), vocabulary_path)
+                     for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("id"), pa.array(np.diff(places)), id_lists(ids, places), pa.array(texts, pa.string())],
+                names=["id", "n_tokens", "tokens", "decoded"])
+        _release()
+
+    kind = source.schema["id"].dataType.simpleString()
+    return map_arrow(source, run, f"id {kind}, n_tokens bigint, tokens array<int>, decoded string").withColumnRenamed("id", id_col)
+
+
 def digests(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_tokens, ids_sha256, decoded_sha256``: texts encoded and decoded, without storing either."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -181,6 +211,7 @@ def digests(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays(
                 [rows.column("id").cast(kind), pa.array(np.diff(places)), pa.array(of_ids, pa.string()),
                  pa.array(of_text, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        _release()
 
     named = f"id {source.schema['id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     return map_arrow(source, run, named).withColumnRenamed("id", id_col)

@@ -141,7 +141,9 @@ def test_bpe_columns(docs, empty):
     assert encoded.columns == ["doc_id", "n_tokens", "tokens"] and encoded.count() == docs.count()
     back = {(r["doc_id"], r["decoded"]) for r in bpe.decode(encoded, PATH).collect()}
     assert back == {(r["doc_id"], r["text"] or "") for r in docs.collect()}
-    assert bpe.encode(empty, PATH).count() == bpe.digests(empty, PATH).count() == 0
+    assert sorted(collected(bpe.encode_and_decode(docs, PATH)), key=str) == sorted(collected(bpe.decode(encoded, PATH)), key=str)
+    for made in (bpe.encode, bpe.digests, bpe.encode_and_decode):
+        assert made(empty, PATH).count() == 0
 
 
 def test_memory_of_pieces_is_bounded(awkward):
