@@ -8,9 +8,12 @@ Lines that are mostly link text count nothing and are left out.
 
 What is never article is left out before lines are counted: scripts, styles, forms,
 menus, page headers and footers, sidebars, adverts, notices and reader comments, by
-element, role, class or id. If a page marks its article (``article``, ``main``), the
-surge is looked for inside, and the marked part is kept from end to end, since its edges
-are the surge and the dive.
+element, role, class or id. If a page marks its article (``article``, ``main``), surge
+and dive are looked for inside, and widened to the ends of the marked elements that hold
+them; other ``article`` elements beyond them, such as teasers, stay out. Several marked
+elements that hold less than half of the page's text are teasers themselves: surge and
+dive are looked for on the whole page then. A single marked element is always believed.
+Marked text without a surge is kept whole.
 
 Defined results: null and empty html have no text; unclosed elements end where HTML ends
 them (a block closes an open paragraph, a closing tag closes what is open inside); tags
@@ -66,7 +69,8 @@ WHITE = re.compile(r"\s+")
 class Line:
     text: list[str] = field(default_factory=list)
     link: int = 0
-    marked: bool = False
+    mark: int = 0  # the outermost marked element's number
+    article: int = 0  # the outermost article's number
     container: int = -1
 
 
@@ -86,7 +90,7 @@ def _unwanted(name: str, rest: str, inside_article: bool) -> bool:
 def lines_of(html: str) -> list[Line]:
     """The page's lines in order: text of each block without what is never article."""
     lines, now = [], Line()
-    stack: list[tuple[str, bool, bool, int]] = []  # element, left out, in the marked part, its container's number
+    stack: list[tuple[str, bool, int, int, int]] = []  # element, left out, numbers of its mark, article and container
     at = links = opened = 0
 
     def close() -> None:
@@ -98,8 +102,8 @@ def lines_of(html: str) -> list[Line]:
     def text(part: str) -> None:
         if part and not (stack and stack[-1][1]):
             now.text.append(part)
-            now.marked |= bool(stack and stack[-1][2])
-            now.container = stack[-1][3] if stack and part.strip() else now.container
+            if stack and part.strip():
+                now.mark, now.article, now.container = stack[-1][2:]
             if links:
                 now.link += len(part.strip())
 
@@ -154,10 +158,10 @@ def lines_of(html: str) -> list[Line]:
             close()
         if name in VOID or token["rest"].rstrip().endswith("/") and name not in BLOCKS:
             continue
-        out, marked, container = stack[-1][1:] if stack else (False, False, -1)
+        out, mark, article, container = stack[-1][1:] if stack else (False, 0, 0, -1)
         opened += 1
-        stack.append((name, out or _unwanted(name, token["rest"], marked), marked or name in MARKED,
-                      opened if name in CONTAINERS else container))
+        stack.append((name, out or _unwanted(name, token["rest"], mark > 0), mark or opened * (name in MARKED),
+                      article or opened * (name == "article"), opened if name in CONTAINERS else container))
         links += name == "a"
     close()
     return lines
@@ -170,23 +174,34 @@ def main_text(html: str | None) -> str:
         text = WHITE.sub(" ", unescape("".join(line.text))).strip()
         if text:
             found.append((text, line))
-    marked = [i for i, (_, line) in enumerate(found) if line.marked]
-    if marked:
-        return "\n\n".join(found[i][0] for i in marked)
     sizes = [0 if line.link >= LINKS * len(text) else len(text) for text, line in found]
+    marks = {line.mark for _, line in found} - {0}
+    of_marks = sum(size for (_, line), size in zip(found, sizes, strict=True) if line.mark)
+    if marks and (len(marks) == 1 or 2 * of_marks >= sum(sizes)):
+        inner = [i for i, (_, line) in enumerate(found) if line.mark]
+        found, sizes = [found[i] for i in inner], [sizes[i] for i in inner]
+    else:
+        marks = set()
     sums = [sum(sizes[i:i + WINDOW]) for i in range(len(sizes))]
     high = [i for i, s in enumerate(sums) if s >= SURGE]
-    if not high:  # no window is long enough: all lines that are not links
-        return "\n\n".join(text for (text, _), size in zip(found, sizes, strict=True) if size)
+    if not high:  # no window is long enough: all that is marked, or all lines that are not links
+        return "\n\n".join(text for (text, _), size in zip(found, sizes, strict=True) if size or marks)
     # A window surges because of its long lines: the first of the first window, the last of the last one.
     long = [i for h in (high[0], high[-1]) for i in range(h, min(h + WINDOW, len(sizes))) if sizes[i] * WINDOW >= SURGE]
     surge, dive = min(long), max(long)
-    inside = {found[i][1].container for i in (surge, dive)}
-    while surge and found[surge - 1][1].container in inside:
-        surge -= 1
-    while dive + 1 < len(found) and found[dive + 1][1].container in inside:
-        dive += 1
-    return "\n\n".join(text for (text, _), size in list(zip(found, sizes, strict=True))[surge:dive + 1] if size)
+    ends = [found[i][1] for i in (surge, dive)]
+    if marks:
+        held, articles = {e.mark for e in ends}, {e.article for e in ends}
+        kept = [i for i, (_, line) in enumerate(found) if surge <= i <= dive or line.mark in held and (
+            not line.article or line.article in articles)]
+    else:
+        inside = {e.container for e in ends}
+        while surge and found[surge - 1][1].container in inside:
+            surge -= 1
+        while dive + 1 < len(found) and found[dive + 1][1].container in inside:
+            dive += 1
+        kept = range(surge, dive + 1)
+    return "\n\n".join(found[i][0] for i in kept if sizes[i] or marks and found[i][1].article)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -255,6 +255,28 @@ def test_pages_query(spark, sf_dir):
     assert lineblocks.extract(odd).columns == ["page_id", "url", "text", "n_chars"] and lineblocks.extract(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("html,text", [
+    # Teaser cards are marked, the article is not; and a card beside a marked article.
+    (f"<div><p>{LONG}<p>End.</div><article><p>Card one</article><article><p>Card two</article>", f"{LONG.strip()}\n\nEnd."),
+    (f"<article><h1>T</h1><div><p>{LONG}</div><p>End.</article><p>Off<article><p>Card</article>", f"T\n\n{LONG.strip()}\n\nEnd."),
+    # A main part that wraps a listing, a card and the article.
+    (f"<main><ul><li><a href=x>{LONG}</a></ul><article><p>Card</article><h1>T</h1><article><p>{LONG}<p>End.</article><p>Last</main>",
+     f"T\n\n{LONG.strip()}\n\nEnd.\n\nLast"),
+    (f"<article><div>Start.</div><p>{LONG}<div>x</div><div>y</div><div>z</div></article>", f"Start.\n\n{LONG.strip()}\n\nx\n\ny\n\nz"),
+])
+def test_surge_and_dive_with_marks(html, text):
+    assert lineblocks.main_text(html) == text
+
+
+@pytest.mark.parametrize("other", ["", "<div>", "<section>"])
+def test_pages_without_their_marks(spark, sf_dir, other):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    bare = pages.withColumn("html", F.replace(F.replace("html", F.lit("<article>"), F.lit(other)),
+                                              F.lit("</article>"), F.lit(other.replace("<", "</"))))
+    assert bare.where("html like '%article>%'").count() == 0
+    assert sorted(collected(lineblocks.extract(bare))) == sorted(collected(lineblocks.extract(pages)))
+
+
 # --- classifier ----------------------------------------------------------------
 
 
