@@ -4,11 +4,15 @@ The markup is stripped and each block-level element becomes a line. Lengths of t
 summed over windows of ``WINDOW`` lines. The text between the first surge of the sums
 over the threshold and the last dive under it is kept, whole, short lines included; the
 lines around it that stand in the same container as its first or last line belong to it.
-Lines that are mostly link text count nothing and are left out.
+Lines that are mostly link text count nothing and are left out before the surge and
+after the dive; between them, and in a marked article, nothing is.
 
 What is never article is left out before lines are counted: scripts, styles, forms,
 menus, page headers and footers, sidebars, adverts, notices and reader comments, by
-element, role, class or id. If a page marks its article (``article``, ``main``), surge
+element, role, class or id. A class or id counts if it is such a name as a whole, alone
+or with words of layout (``ad-slot``, ``left-sidebar2``, not ``ad-hoc``), and on block
+elements only; inline elements of marked parts go by their element alone. Formulas are
+text, without their annotations; so is what browsers show without scripts. If a page marks its article (``article``, ``main``), surge
 and dive are looked for inside, and widened to the ends of the marked elements that hold
 them; other ``article`` elements beyond them, such as teasers, stay out. Several marked
 elements that hold less than half of the page's text are teasers themselves: surge and
@@ -43,7 +47,7 @@ BLOCKS = frozenset(
     "form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table "
     "tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg math object canvas".split())
+RAW = frozenset("script style template textarea iframe svg annotation annotation-xml object canvas".split())
 NEVER = frozenset("head title nav aside footer form menu button select option dialog label fieldset audio video map".split())
 MARKED = frozenset("article main".split())
 CONTAINERS = frozenset("article body center div html main section".split())
@@ -51,12 +55,17 @@ CLOSES_PARAGRAPH = BLOCKS - frozenset("html head body title td th tr caption tbo
 OWN_KIND = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
             "th": ("tr", "table"), "option": ("select",)}
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|banner|nav|navbar|navigation|"
-    r"menu|breadcrumb|breadcrumbs|sidebar|side-bar|aside|footer|masthead|cookie|cookies|consent|gdpr|notice|notification|alert|"
-    r"popup|modal|newsletter|subscribe|share|sharing|social|related|comment|comments|disqus|respond|replies|pagination|pager|"
-    r"widget|widgets|toolbar|search|login|signup)(?:$|[\s_-]|\d)", re.I)
-HEADER_NAMES = re.compile(r"(?:^|[\s_-])(?:site|page|top|main|global)[\s_-]?header(?:$|[\s_-])", re.I)
+LAYOUT = (
+    r"(?:(?:main|site|page|top|bottom|left|right|primary|secondary|header|footer|global|mobile|sticky|user|reader|post|google)[_-]?)?",
+    r"(?:[_-]?(?:box|container|wrapper|wrap|area|list|section|block|slot|unit|bar|banner|panel|holder|inner|outer|items|links))?"
+    r"(?:[_-]?\d+)?")
+NAMES = re.compile(LAYOUT[0] + (
+    r"(?:ads?|adv|adverts?|advertisements?|advertising|adsbygoogle|sponsored|promo|nav|navbar|navigation|menu|menubar|breadcrumbs?|"
+    r"pagination|pager|toolbar|side-?bar|aside|footer|notices?|notifications?|alerts?|comments?|disqus|respond|replies|"
+    r"(?:cookies?|consent|gdpr)[_-]?(?:notice|consent|banner|bar|popup|modal|overlay|alert))") + LAYOUT[1])
+# Names of page headers and notices that may name a part of an article: not inside a marked one.
+PAGE_NAMES = re.compile(
+    r"(?:(?:site|page|top|main|global)[_-]?header|masthead|banner|cookies?|consent|gdpr|popup|modal)" + LAYOUT[1])
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
@@ -78,13 +87,15 @@ def _unwanted(name: str, rest: str, inside_article: bool) -> bool:
     """Whether an element is never article."""
     if name in NEVER or name == "header" and not inside_article:
         return True
-    if "=" not in rest or name in ("html", "body"):
+    if "=" not in rest or name in ("html", "body") or inside_article and name not in BLOCKS:
         return False
     found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(rest)}
-    if found.get("role", "").lower() in ROLES or found.get("aria-hidden", "").lower() == "true":
+    if found.get("role", "").lower() in ROLES:
         return True
-    named = f"{found.get('class', '')} {found.get('id', '')}"
-    return name not in MARKED and bool(NAMES.search(named) or HEADER_NAMES.search(named))
+    if name in MARKED or name not in BLOCKS:
+        return False
+    named = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
+    return any(NAMES.fullmatch(n) or not inside_article and PAGE_NAMES.fullmatch(n) for n in named)
 
 
 def lines_of(html: str) -> list[Line]:
@@ -196,12 +207,13 @@ def main_text(html: str | None) -> str:
             not line.article or line.article in articles)]
     else:
         inside = {e.container for e in ends}
-        while surge and found[surge - 1][1].container in inside:
-            surge -= 1
-        while dive + 1 < len(found) and found[dive + 1][1].container in inside:
-            dive += 1
-        kept = range(surge, dive + 1)
-    return "\n\n".join(found[i][0] for i in kept if sizes[i] or marks and found[i][1].article)
+        first, last = surge, dive
+        while first and found[first - 1][1].container in inside:
+            first -= 1
+        while last + 1 < len(found) and found[last + 1][1].container in inside:
+            last += 1
+        kept = range(first, last + 1)
+    return "\n\n".join(found[i][0] for i in kept if sizes[i] or surge <= i <= dive or marks and found[i][1].article)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -268,6 +268,33 @@ def test_surge_and_dive_with_marks(html, text):
     assert lineblocks.main_text(html) == text
 
 
+INSIDE = ["<p class='social-history'>a</p>", "<section id='related-work'><p>a</section>", "<p>a <span class='share-price'>b</span> c</p>",
+          "<div class='ad-hoc'>a</div>", "<div id='search-methods'>a</div>", "<p>a <b class=alert>b</b> <span aria-hidden=true>c</span></p>",
+          "<div class='page-header'>a</div>", "<section id=consent>a</section>", "<p><math><mi>x</mi><mo>=</mo><mn>1</mn></math></p>",
+          "<p>a <noscript>b</noscript></p>", f"<p><a href=x>{LONG}</a></p>"]
+WANT = ["a", "a", "a b c", "a", "a", "a b c", "a", "a", "x=1", "a b", LONG.strip()]
+
+
+@pytest.mark.parametrize("part,want", list(zip(INSIDE, WANT, strict=True)))
+def test_article_text_is_whole(part, want):
+    whole = "\n\n".join([LONG.strip(), want, LONG.strip()])
+    assert lineblocks.main_text(f"<nav>x</nav><article><p>{LONG}</p>{part}<p>{LONG}</article>") == whole
+    if not re.search("page-header|consent", part):
+        assert lineblocks.main_text(f"<nav>x</nav><div><p>{LONG}</p>{part}<p>{LONG}</div>") == whole
+
+
+@pytest.mark.parametrize("name", ["ad", "x ad-slot", "ads2", "left-sidebar", "cookie-banner", "cookie_notice", "comments-section", "main-nav",
+                                  "site-footer", "Breadcrumbs", "notice", "reader-comments"])
+def test_what_is_never_article(name):
+    for attribute in ("class", "id"):
+        assert lineblocks.main_text(f"<article><p>{LONG}<div {attribute}='{name}'>{LONG}</div></article>") == LONG.strip()
+
+
+def test_annotations_of_formulas_are_not_text():
+    page = "<article><p>Let <math><semantics><mi>x</mi><annotation encoding=tex>x</annotation></semantics></math>.</article>"
+    assert lineblocks.main_text(page) == "Let x."
+
+
 @pytest.mark.parametrize("other", ["", "<div>", "<section>"])
 def test_pages_without_their_marks(spark, sf_dir, other):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
