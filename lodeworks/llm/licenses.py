@@ -50,12 +50,12 @@ FAMILIES = [
     ("epl-2", r"(?:the )?(?:epl|eclipse public license)(?: version)? 2(?: 0)?", ("epl", "eclipse")),
     ("cddl-1", r"(?:the )?(?:cddl|common development and distribution license)(?: version)?(?: 1(?: 0)?)?", ("cddl", "common development")),
     ("cc0-1", r"(?:the )?(?:cc0|creative commons zero)(?: 1 0)?", ("cc0", "commons zero")),
-    ("cc-by-nc-nd", r"(?:the )?(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial) (?:nd|noderivatives|no derivatives|noderivs)", ("cc by", "creative commons")),
-    ("cc-by-nc-sa", r"(?:the )?(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial) (?:sa|sharealike|share alike)", ("cc by", "creative commons")),
-    ("cc-by-nc", r"(?:the )?(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial)", ("cc by", "creative commons")),
-    ("cc-by-nd", r"(?:the )?(?:cc|creative commons) (?:by|attribution) (?:nd|noderivatives|no derivatives|noderivs)", ("cc by", "creative commons")),
-    ("cc-by-sa", r"(?:the )?(?:cc|creative commons) (?:by|attribution) (?:sa|sharealike|share alike)", ("cc by", "creative commons")),
-    ("cc-by", r"(?:the )?(?:cc by|creative commons attribution)", ("cc by", "creative commons")),
+    ("cc-by-nc-nd", r"(?:the )?(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial) (?:nd|noderivatives|no derivatives|noderivs)", ("cc by", "cc attribution", "creative commons")),
+    ("cc-by-nc-sa", r"(?:the )?(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial) (?:sa|sharealike|share alike)", ("cc by", "cc attribution", "creative commons")),
+    ("cc-by-nc", r"(?:the )?(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial)", ("cc by", "cc attribution", "creative commons")),
+    ("cc-by-nd", r"(?:the )?(?:cc|creative commons) (?:by|attribution) (?:nd|noderivatives|no derivatives|noderivs)", ("cc by", "cc attribution", "creative commons")),
+    ("cc-by-sa", r"(?:the )?(?:cc|creative commons) (?:by|attribution) (?:sa|sharealike|share alike)", ("cc by", "cc attribution", "creative commons")),
+    ("cc-by", r"(?:the )?(?:cc by|creative commons attribution)", ("cc by", "cc attribution", "creative commons")),
     ("unlicense", r"(?:the )?unlicense", ("unlicense",)),
     ("wtfpl", r"(?:the )?(?:wtfpl|do what the fuck you want to public license)", ("wtfpl", "do what the")),
     ("zlib", r"(?:the )?zlib(?: libpng)?", ("zlib",)),
@@ -77,7 +77,7 @@ FAMILIES = [
 # How a licence is named: priority, confidence, text before and after the name, a word every match contains.
 FORMS = [
     (50, 1.0, r"spdx license identifier ", r"(?: only| or later)?", "spdx"),
-    (45, 0.95, r"licen[sc]ed (?:to \w+ )?under(?: the terms of)?(?: the)? ", r"(?: public)?(?: licen[sc]e)?", "ed under"),
+    (45, 0.95, r"licen[sc]ed (?:to [^ ]+ )?under(?: the terms of)?(?: the)? ", r"(?: public)?(?: licen[sc]e)?", "licen"),
     (40, 0.95, r"(?:distributed|released|published|provided) under(?: the terms of)?(?: the)? ", r"(?: licen[sc]e)?", "ed under"),
     (35, 0.9, r"subject to(?: the terms of)?(?: the)? ", r"(?: licen[sc]e)?", "subject to"),
     (35, 0.9, r"governed by(?: the terms of)?(?: the)? ", r"(?: licen[sc]e)?", "governed by"),

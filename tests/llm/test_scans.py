@@ -151,6 +151,45 @@ def test_detections(spark, docs, texts, empty):
     assert licenses.scan(df).count() == df.count() and licenses.scan(empty).count() == 0
 
 
+def matches(pattern):
+    """Texts that the parsed pattern matches: every choice and every optional part, once for each."""
+    made = [""]
+    for op, value in pattern:
+        name = str(op)
+        if name in ("ASSERT", "ASSERT_NOT"):
+            parts = [""]
+        elif name == "LITERAL":
+            parts = [chr(value)]
+        elif name == "SUBPATTERN":
+            parts = matches(value[3])
+        elif name == "BRANCH":
+            parts = [m for choice in value[1] for m in matches(choice)]
+        elif name == "IN":
+            literal = [chr(v) for kind, v in value if str(kind) == "LITERAL"]
+            parts = ["you"] if str(value[0][0]) == "NEGATE" else literal or ["1"]
+        elif name == "NOT_LITERAL":
+            parts = ["you"]
+        else:
+            assert name == "MAX_REPEAT"
+            parts = matches(value[2]) + [""] * (value[0] == 0)
+        made = [m + part for m in made for part in parts]
+    return made
+
+
+def test_matches_pass_the_gate():
+    for s in licenses.signatures():
+        for text in matches(re._parser.parse(s.pattern)):
+            assert re.fullmatch(s.pattern, text) and s.marker in text and any(name in text for name in s.names), (s, text)
+
+
+def test_optional_parts_are_detected(spark):
+    texts = ["This software is licensed to you under GPL 3", "licensed to Müller under ISC",
+             "released under CC Attribution NonCommercial"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(df).collect()}
+    assert got == {0: (["gpl-3"], 0.95), 1: (["isc"], 0.95), 2: (["cc-by-nc"], 0.95)}
+
+
 # --- registered queries --------------------------------------------------------
 
 
