@@ -86,6 +86,58 @@ FORMS = [
     (10, 0.8, r"", r" licen[sc]e(?: version)?", "licen"),
 ]
 
+# Standard notices of versioned licences: label, name, version, a word every match contains.
+VERSIONED = [
+    ("gpl-1", r"(?:gnu )?(?:gpl|general public license)", r"1(?: 0)?", ("gpl", "general public")),
+    ("gpl-2", r"(?:gnu )?(?:gpl|general public license)", r"2(?: 0)?", ("gpl", "general public")),
+    ("gpl-3", r"(?:gnu )?(?:gpl|general public license)", r"3(?: 0)?", ("gpl", "general public")),
+    ("lgpl-2", r"(?:gnu )?(?:lgpl|(?:lesser|library) general public license)", r"2(?: 0)?(?! 1(?![^ ]))", ("lgpl", "general public")),
+    ("lgpl-2.1", r"(?:gnu )?(?:lgpl|(?:lesser|library) general public license)", r"2 1", ("lgpl", "general public")),
+    ("lgpl-3", r"(?:gnu )?(?:lgpl|lesser general public license)", r"3(?: 0)?", ("lgpl", "lesser general")),
+    ("agpl-3", r"(?:gnu )?(?:agpl|affero general public license)", r"3(?: 0)?", ("agpl", "affero")),
+    ("mpl-1.1", r"(?:mpl|mozilla public license)", r"1 1", ("mpl", "mozilla")),
+    ("mpl-2", r"(?:mpl|mozilla public license)", r"2(?: 0)?", ("mpl", "mozilla")),
+    ("epl-1", r"(?:epl|eclipse public license)", r"1(?: 0)?", ("epl", "eclipse")),
+    ("epl-2", r"(?:epl|eclipse public license)", r"2(?: 0)?", ("epl", "eclipse")),
+]
+AS_PUBLISHED = r"(?: as published by the free software foundation(?: inc)?)?"
+CREATIVE_COMMONS = [
+    ("cc-by-nc-nd", r"non ?commercial no ?deriv(?:atives|ative works|s)"), ("cc-by-nc-sa", r"non ?commercial share ?alike"),
+    ("cc-by-nc", r"non ?commercial"), ("cc-by-nd", r"no ?deriv(?:atives|ative works|s)"), ("cc-by-sa", r"share ?alike"), ("cc-by", r""),
+]
+MIT_GRANT = "permission is hereby granted free of charge to any person obtaining a copy of"
+BSD_GRANT = "redistribution and use in source and binary forms"
+ISC_GRANT = "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"
+GAP = r"(?s:.{0,1000}?) "  # what may stand between the first and the last words of a grant
+# Wordings of licence texts and notices: label, priority, confidence, pattern, keyword, a second one every match contains.
+WORDINGS = [
+    ("mit", 60, 1.0, f"{MIT_GRANT} this software and associated documentation files(?: the software to deal in the software)?",
+     "granted free of charge", "documentation files"),
+    ("ncsa", 60, 1.0, f"{MIT_GRANT} this software and associated documentation files the software to deal with the software",
+     "granted free of charge", "to deal with the software"),
+    ("ofl-1.1", 60, 1.0, f"{MIT_GRANT} the font software", "granted free of charge", "font software"),
+    ("boost-1", 60, 1.0, "permission is hereby granted free of charge to any person or organization obtaining a copy of the software "
+     "and accompanying documentation", "granted free of charge", "or organization"),
+    ("mit", 15, 0.8, "permission is hereby granted free of charge", "granted free of charge", "permission"),
+    ("bsd-4-clause", 62, 1.0, f"{BSD_GRANT}{GAP}all advertising materials mentioning{GAP}neither the name", "redistribution and use",
+     "advertising materials"),
+    ("bsd-3-clause", 60, 1.0, f"{BSD_GRANT}{GAP}neither the name", "redistribution and use", "neither the name"),
+    ("bsd-2-clause", 60, 1.0, f"{BSD_GRANT}{GAP}provided with the distribution this software is provided", "redistribution and use",
+     "distribution this software"),
+    ("apache-1.1", 62, 1.0, f"{BSD_GRANT}{GAP}the end user documentation included with the redistribution", "redistribution and use",
+     "end user documentation"),
+    ("bsd", 15, 0.8, BSD_GRANT, "redistribution and use", "binary forms"),
+    ("bsd", 5, 0.8, r"(?:under (?:the |a )?)?bsd(?: style| type| like)? licen[sc]e", "bsd", "licen"),
+    ("isc", 60, 1.0, f"{ISC_GRANT} provided that", "with or without fee", "provided that"),
+    ("0bsd", 60, 1.0, f"{ISC_GRANT} the software is provided", "with or without fee", "the software is provided"),
+    ("zlib", 60, 1.0, "this software is provided as is without any express or implied warranty in no event will the authors? be held "
+     "liable", "without any express or implied warranty", "be held liable"),
+    ("unlicense", 60, 1.0, "this is free and unencumbered software released into the public domain", "unencumbered", "public domain"),
+    ("wtfpl", 60, 1.0, "everyone is permitted to copy and distribute verbatim or modified copies of this license document",
+     "verbatim or modified", "license document"),
+    ("cc0-1", 60, 1.0, "waived all copyright and related or neighboring rights", "waived all copyright", "neighboring rights"),
+]
+
 
 @dataclass(frozen=True)
 class Signature:
@@ -99,10 +151,34 @@ class Signature:
     names: tuple[str, ...]
 
 
+def _whole(pattern: str) -> str:
+    return f"(?<![^ ]){pattern}(?![^ ])"
+
+
+def _notices() -> list[Signature]:
+    """Wordings of licence texts and notices, and versions that do not directly follow the name."""
+    made = [Signature(label, _whole(pattern), priority, confidence, keyword, (second,))
+            for label, priority, confidence, pattern, keyword, second in WORDINGS]
+    for label, name, number, words in VERSIONED:
+        terms = r"(?: the terms(?: and conditions)? of)?(?: the)? "
+        version = r"(?: either)? (?:version |v ?)?"
+        made += [
+            Signature(label, _whole(f"under{terms}{name}{AS_PUBLISHED}{version}{number}"), 42, 0.95, "under", words),
+            Signature(label, _whole(f"subject to{terms}{name}{AS_PUBLISHED}{version}{number}"), 42, 0.95, "subject to", words),
+            Signature(label, _whole(f"version {number} of the {name}"), 42, 0.95, "version", words),
+            Signature(label, _whole(f"{name} version {number} (?:[12]9 )?(?:june|february|november) (?:1991|1999|2007)"), 60, 1.0,
+                      "version", words)]
+    for label, kind in CREATIVE_COMMONS:
+        kind = f" {kind}" if kind else ""
+        made.append(Signature(label, _whole(
+            rf"creative commons attribution{kind}(?: [1-4] \d(?: [^ ]+){{0,2}})?(?: public)? licen[sc]e"), 48, 0.95, "creative commons", ("licen",)))
+    return made
+
+
 def signatures() -> list[Signature]:
-    """Every family in every form, strongest forms first."""
-    return [Signature(label, f"(?<![^ ]){before}{name}{after}(?![^ ])", priority, confidence, marker, names)
-            for priority, confidence, before, after, marker in FORMS for label, name, names in FAMILIES]
+    """Wordings of texts and notices, then every family in every form, strongest forms first."""
+    return _notices() + [Signature(label, _whole(f"{before}{name}{after}"), priority, confidence, marker, names)
+                         for priority, confidence, before, after, marker in FORMS for label, name, names in FAMILIES]
 
 
 DETECTION = "struct<start:int,stop:int,priority:int,rank:int,label:string,confidence:double>"

@@ -167,10 +167,10 @@ def matches(pattern):
         elif name == "IN":
             literal = [chr(v) for kind, v in value if str(kind) == "LITERAL"]
             parts = ["you"] if str(value[0][0]) == "NEGATE" else literal or ["1"]
-        elif name == "NOT_LITERAL":
+        elif name in ("NOT_LITERAL", "ANY"):
             parts = ["you"]
         else:
-            assert name == "MAX_REPEAT"
+            assert name in ("MAX_REPEAT", "MIN_REPEAT")
             parts = matches(value[2]) + [""] * (value[0] == 0)
         made = [m + part for m in made for part in parts]
     return made
@@ -190,6 +190,53 @@ def test_optional_parts_are_detected(spark):
     assert got == {0: (["gpl-3"], 0.95), 1: (["isc"], 0.95), 2: (["cc-by-nc"], 0.95)}
 
 
+GPL = "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation{} of the License"
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS"""
+NEITHER = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products. "
+ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+OFFICIAL = [
+    (GPL.format("General Public License", "; either version 3"), "gpl-3"), (GPL.format("General Public License", "; version 2"), "gpl-2"),
+    (GPL.format("Lesser General Public License", ", either version 3"), "lgpl-3"),
+    (GPL.format("Lesser General Public License", "; either version 2.1"), "lgpl-2.1"),
+    (GPL.format("Library General Public License", "; either version 2"), "lgpl-2"),
+    (GPL.format("Affero General Public License", ", either version 3"), "agpl-3"),
+    ("under the terms of version 2 of the GNU General Public License", "gpl-2"),
+    ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "gpl-3"), ("GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", "lgpl-2.1"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy", "mpl-2"),
+    ("are made available under the terms of the Eclipse Public License v1.0 which accompanies this", "epl-1"),
+    (MIT + 'this software and associated documentation files (the "Software"), to deal in the Software without restriction', "mit"),
+    (MIT + 'this software and associated documentation files (the "Software"), to deal with the Software without', "ncsa"),
+    (MIT + "the Font Software, to use, study, copy", "ofl-1.1"), ("Permission is hereby granted, free of charge.", "mit"),
+    ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+     "documentation covered by this license", "boost-1"),
+    (BSD.format(""), "bsd-2-clause"), (BSD.format("3. " + NEITHER), "bsd-3-clause"),
+    (BSD.format("3. All advertising materials mentioning features or use of this software must display. 4. " + NEITHER), "bsd-4-clause"),
+    (BSD.format("3. The end-user documentation included with the redistribution, if any, must include"), "apache-1.1"),
+    ("Redistribution and use in source and binary forms are permitted", "bsd"), ("Use is governed by a BSD-style license", "bsd"),
+    ("This is under the BSD license.", "bsd"), ("Licensed under the 3-clause BSD license", "bsd-3-clause"),
+    (ISC + ", provided that the above copyright notice", "isc"), (ISC + '. THE SOFTWARE IS PROVIDED "AS IS"', "0bsd"),
+    ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable", "zlib"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it", "wtfpl"),
+    ("has waived all copyright and related or neighboring rights to this work", "cc0-1"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"),
+    ("a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License", "cc-by-nc-sa"),
+    ("the Creative Commons Attribution-NoDerivs 2.5 License", "cc-by-nd"),
+]
+
+
+def test_official_wordings(spark):
+    rules = licenses.signatures()
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(OFFICIAL)], "doc_id bigint, text string")
+    got = {r["doc_id"]: tuple(r)[1:8] for r in licenses.scan(df).collect()}
+    assert {i: found[5] for i, found in got.items()} == {i: [label] for i, (_, label) in enumerate(OFFICIAL)}
+    assert all(found[6] >= 0.8 and found == plain_scan(OFFICIAL[i][0], rules) for i, found in got.items())
+
+
 # --- registered queries --------------------------------------------------------
 
 
