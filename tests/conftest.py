@@ -30,7 +30,3 @@ def sf_dir():
 def frame(spark):
     """Small literal frames: ``frame("a string, b int", ("x", 1), ...)``."""
     return lambda schema, *rows: spark.createDataFrame(list(rows), schema)
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

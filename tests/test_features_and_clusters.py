@@ -6,7 +6,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from lodeworks.operators import clusters, features, indexing
 from lodeworks.sources import materialize
 

@@ -4,7 +4,7 @@ from itertools import combinations
 
 import pytest
 
-from conftest import rows
+from support import rows
 from lodeworks.operators import itemsets
 
 

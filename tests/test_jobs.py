@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from lodeworks.__main__ import main, parameters
 from lodeworks.plans import jobs
 

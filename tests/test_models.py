@@ -5,7 +5,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from conftest import rows
+from support import rows
 from lodeworks.operators import neural, recommend, sampling, trees
 from lodeworks.plans import inputs
 from lodeworks.sources import materialize, save_model

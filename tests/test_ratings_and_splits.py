@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from lodeworks.operators import evaluation, joins, ratings, sampling
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from lodeworks.operators import clusters, evaluation, features, filters, itemsets, joins, neural, ratings, recommend, sampling
 from lodeworks.plans import catalog, inputs, jobs
 from lodeworks.sources import cached, lay_out, materialize, step

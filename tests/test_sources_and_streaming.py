@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from lodeworks.operators.counts import count_by
 from lodeworks.operators.filters import filter_prefix
 from lodeworks.operators.reshape import tokenize

@@ -2,7 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from lodeworks.functions.text import collapse_ws, split_literal, strip_ws
 from lodeworks.operators import counts, filters, joins, reshape
 from lodeworks.operators.counts import count_by
