@@ -88,9 +88,26 @@ SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remove
 FROM doc LEFT JOIN span USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+HARD_NEGATIVES = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, e.vec_id AS other_id, a.label = e.label AS same,
+             CAST(list_inner_product(a.v, e.v) AS BIGINT) AS score
+      FROM e AS a JOIN e ON a.vec_id <> e.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS k FROM s WHERE same) WHERE k <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, other_id AS negative_id, score AS negative_score,
+             row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS k
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION,
     "op2_quality_rules": QUALITY_RULES,
     "op5_url_filters": URL_FILTERS,
     "op7_suffix_dedup": SUFFIX_DEDUP,
+    "op11_hard_negatives": HARD_NEGATIVES,
 }

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import bpe, decontamination, licenses, lineblocks, nbsvm, rules, simhash, simple8b, suffixes, urls
+from lodeworks.llm import (
+    bpe, decontamination, licenses, lineblocks, nbsvm, negatives, rules, simhash, simple8b, suffixes, urls,
+)
 from lodeworks.sources.scratch import new_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -79,6 +81,12 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineblocks.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
@@ -90,4 +98,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scans": op8_license_scans,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_html_extraction": op10_html_extraction,
+    "op11_hard_negatives": op11_hard_negatives,
 }
