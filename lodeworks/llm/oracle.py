@@ -104,10 +104,35 @@ n AS (SELECT anchor_id, positive_id, positive_score, other_id AS negative_id, sc
 SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 10
 """
 
+COLLOCATIONS = rf"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                 translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS s FROM documents),
+word AS (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM word GROUP BY lang),
+gram AS (SELECT lang, w[p:p + k - 1] AS g FROM (
+           SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM word, (SELECT unnest(range(1, 6)) AS k))),
+often AS (SELECT lang, g, count(*) AS f FROM gram GROUP BY lang, g HAVING count(*) >= 100),
+phrase AS (SELECT lang, g, f AS a FROM often WHERE len(g) > 1),
+halves AS (SELECT *, unnest(range(1, len(g))) AS k FROM phrase),
+cut AS (SELECT h.lang, h.g, h.a, k, l.f AS l, r.f AS r, n, (1000::HUGEINT * h.a * n) // (l.f::HUGEINT * r.f) AS score
+        FROM halves h JOIN often l ON l.lang = h.lang AND l.g = h.g[1:k]
+        JOIN often r ON r.lang = h.lang AND r.g = h.g[k + 1:] JOIN total ON total.lang = h.lang),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS i FROM cut),
+part AS (SELECT lang, a, g[p:p + m - 1] AS s FROM (
+           SELECT lang, a, g, m, unnest(range(1, len(g) - m + 2)) AS p FROM (SELECT *, unnest(range(2, len(g))) AS m FROM phrase))),
+inside AS (SELECT DISTINCT part.lang, phrase.g FROM part JOIN phrase ON phrase.lang = part.lang AND phrase.g = s
+           WHERE 100 * part.a >= 100 * phrase.a),
+ranked AS (SELECT *, array_to_string(g, ' ') AS phrase, row_number() OVER (
+             PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS k2
+           FROM lowest ANTI JOIN inside USING (lang, g) WHERE i = 1)
+SELECT lang, k2 AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE k2 <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION,
     "op2_quality_rules": QUALITY_RULES,
     "op5_url_filters": URL_FILTERS,
     "op7_suffix_dedup": SUFFIX_DEDUP,
     "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_collocations": COLLOCATIONS,
 }

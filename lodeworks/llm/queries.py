@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeworks.llm import (
-    bpe, decontamination, licenses, lineblocks, nbsvm, negatives, rules, simhash, simple8b, suffixes, urls,
+    bpe, collocations, decontamination, harmonic, licenses, lineblocks, nbsvm, negatives, rules, simhash, simple8b, suffixes, urls,
 )
 from lodeworks.sources.scratch import new_path
 
@@ -87,6 +87,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harmonic.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), 1024, with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
@@ -99,4 +107,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_html_extraction": op10_html_extraction,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_collocations": op12_collocations,
+    "op13_packing": op13_packing,
 }
