@@ -255,15 +255,21 @@ def nearest_centroid(
 ) -> DataFrame:
     """Add ``cluster`` and squared ``distance`` of the nearest centre (ties: lowest cluster).
 
+    Both are null where the vector is null, has nulls or another length, and everywhere without a centre.
     ``centers`` is ``cluster, dim, value``. They come to the driver in blocks of about
     ``block_values`` numbers; distances are matrix work on Arrow batches.
     """
     whole = centers.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("_d")).select(
         "cluster", F.transform("_d", lambda d: d["value"].cast("double")).alias("_v"))
-    blocks = _blocks(materialize(whole, "centres"), "cluster", "_v", block_values)
+    stored = materialize(whole, "centres")
+    if stored.isEmpty():
+        return df.withColumns({"cluster": F.lit(None).cast("int"), "distance": F.lit(None).cast("double")})
+    blocks = _blocks(stored, "cluster", "_v", block_values)
     found = [_nearest(block)(F.col(vector)) for block in blocks]
     best = F.least(*found) if len(found) > 1 else found[0]
-    near = df.withColumn("_near", best)
+    width = len(blocks[0]["_v"].iloc[0])
+    whole_vector = (F.size(vector) == width) & ~F.exists(vector, lambda x: x.isNull())
+    near = df.withColumn("_near", F.when(whole_vector, best))
     return near.select(*df.columns, "_near.cluster", "_near.distance")
 
 
@@ -273,9 +279,12 @@ def _nearest(centers: pd.DataFrame):
 
     @F.pandas_udf("distance double, cluster int")
     def nearest(vectors: pd.Series) -> pd.DataFrame:
-        points = np.stack(vectors.to_numpy()).astype("float64")
+        fits = np.array([v is not None and len(v) == matrix.shape[1] for v in vectors], bool)
+        points = np.zeros((len(vectors), matrix.shape[1]))
+        if fits.any():
+            points[fits] = np.stack(vectors[fits].to_numpy()).astype("float64")
         distances = np.stack([((points - c) ** 2).sum(axis=1) for c in matrix], axis=1)
         best = distances.argmin(axis=1)
-        return pd.DataFrame({"distance": distances.min(axis=1), "cluster": ids[best]})
+        return pd.DataFrame({"distance": np.where(fits, distances.min(axis=1), np.nan), "cluster": ids[best]})
 
     return nearest

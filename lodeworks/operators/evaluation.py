@@ -21,9 +21,12 @@ def f1_weighted(df: DataFrame, label: str, predicted: str, out: str = "f1") -> D
     The rows collapse to the confusion counts first; the rest works on at most
     one row per pair of classes.
     """
-    confusion = df.groupBy(F.col(label).alias("_l"), F.col(predicted).alias("_p")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    return f1_of_counts(df.groupBy(label, predicted).agg(F.count(F.lit(1)).alias("_n")), label, predicted, "_n", out)
+
+
+def f1_of_counts(counts: DataFrame, label: str, predicted: str, n: str, out: str = "f1") -> DataFrame:
+    """The same from the confusion counts: how many rows ``n`` have each label and prediction."""
+    confusion = counts.select(F.col(label).alias("_l"), F.col(predicted).alias("_p"), F.col(n).alias("_n"))
     # Each confusion cell adds to its true class and to its predicted class.
     sides = F.array(
         F.struct(
@@ -33,7 +36,7 @@ def f1_weighted(df: DataFrame, label: str, predicted: str, out: str = "f1") -> D
             F.when(F.col("_l") == F.col("_p"), F.col("_n")).otherwise(0).cast("bigint").alias("hit"),
         ),
         F.struct(
-            F.col("_p").cast(df.schema[label].dataType).cast("string").alias("cls"),
+            F.col("_p").cast(counts.schema[label].dataType).cast("string").alias("cls"),
             F.lit(0).cast("bigint").alias("support"),
             F.col("_n").alias("predicted"),
             F.lit(0).cast("bigint").alias("hit"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lodeworks.operators.evaluation import mark_best, rmse
 from lodeworks.operators.indexing import dense_index
+from lodeworks.operators.topn import top_items
 from lodeworks.sources.readers import rows_to_df
 from lodeworks.sources.scratch import cached, materialize, shared_dir
 
@@ -129,18 +130,15 @@ def tune_and_test(
 def recommend(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFrame:
     """The ``n`` items with the highest predicted rating per user: ``user, rank, item, score``.
 
-    Every user asked for is compared with every item. Without ``users`` that is the
-    product of all users and all items: name the users wherever there are many.
+    All users, or those of ``users`` that the model knows. Items that cannot be among the
+    best of a user are not scored (``topn.py``).
     """
     user, item = model.getUserCol(), model.getItemCol()
-    lists = model.recommendForAllUsers(n) if users is None else model.recommendForUserSubset(users, n)
-    ranked = lists.select(user, F.posexplode("recommendations").alias("_pos", "_rec"))
-    return ranked.select(
-        user,
-        (F.col("_pos") + 1).alias("rank"),
-        F.col(f"_rec.{item}").alias(item),
-        F.col("_rec.rating").alias("score"),
-    )
+    known = model.userFactors.select(F.col("id").alias(user), F.col("features").alias("f"))
+    if users is not None:
+        known = known.join(users.select(F.col(user).alias("_asked")).distinct(), F.col(user) == F.col("_asked"), "left_semi")
+    items = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("f"))
+    return top_items(known, items, n, user, item)[0]
 
 
 def _settings(

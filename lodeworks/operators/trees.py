@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.operators.evaluation import f1_weighted
+from lodeworks.operators.evaluation import f1_of_counts, f1_weighted
 from lodeworks.sources.readers import rows_to_df
 from lodeworks.sources.scratch import cached, materialize, new_path
+from lodeworks.sources.workers import importable
 from lodeworks.sources.writers import save_model
 
 
@@ -92,6 +97,115 @@ def compare_depths(
     return rows_to_df(train.sparkSession, rows, "max_depth int, depth int, n_nodes int, f1 double")
 
 
+@dataclass(frozen=True)
+class Flat:
+    """A fitted tree as arrays over its nodes, in the order of their ids; the root is node 0."""
+
+    feature: np.ndarray  # -1 for a leaf
+    threshold: np.ndarray  # goes left up to it; not a number where categories decide
+    categories: np.ndarray  # node by category: goes left
+    left: np.ndarray
+    right: np.ndarray
+    prediction: np.ndarray
+
+    def route(self, x: np.ndarray, depths: int) -> np.ndarray:
+        """The prediction of each row's node at depth 0, 1, ... ``depths``; a leaf's goes on below it."""
+        at = np.zeros(len(x), np.int64)
+        out = [self.prediction[at]]
+        for _ in range(depths):
+            feature = self.feature[at]
+            inner = np.flatnonzero(feature >= 0)
+            node, value = at[inner], x[inner, feature[inner]]
+            threshold = self.threshold[node]
+            category = np.clip(np.nan_to_num(value), 0, self.categories.shape[1] - 1).astype(np.int64)
+            goes_left = np.where(np.isnan(threshold), self.categories[node, category], value <= threshold)
+            at[inner] = np.where(goes_left, self.left[node], self.right[node])
+            out.append(self.prediction[at])
+        return np.stack(out, axis=1)
+
+    def cut(self, depth: int) -> tuple[int, int]:
+        """Depth and number of nodes of the tree that stops at ``depth``: leaves of one parent and one class are merged."""
+
+        def size(node: int, level: int) -> tuple[int, int, float | None]:
+            """Depth and nodes below, and the class if the node ends as a leaf."""
+            if level == depth or self.feature[node] < 0:
+                return 0, 1, self.prediction[node]
+            below = [size(child, level + 1) for child in (self.left[node], self.right[node])]
+            if below[0][2] is not None and below[0][2] == below[1][2]:
+                return 0, 1, below[0][2]
+            return 1 + max(b[0] for b in below), 1 + below[0][1] + below[1][1], None
+
+        return size(0, 0)[:2]
+
+
+def flatten(spark: SparkSession, tree: DecisionTreeClassificationModel) -> Flat:
+    """The nodes of a fitted tree, by way of its saved form. The driver holds a model's nodes as it is."""
+    path = new_path(spark, "tree")
+    save_model(tree, path)
+    nodes = spark.read.parquet(f"{path}/data").orderBy("id").select(
+        "id", "prediction", "leftChild", "rightChild", "split.featureIndex", "split.leftCategoriesOrThreshold", "split.numCategories").collect()
+    n = len(nodes)
+    widest = max([1, *[r["numCategories"] for r in nodes]])
+    flat = Flat(np.full(n, -1), np.full(n, np.nan), np.zeros((n, widest), bool), np.zeros(n, np.int64), np.zeros(n, np.int64),
+                np.array([r["prediction"] for r in nodes]))
+    place = {r["id"]: i for i, r in enumerate(nodes)}
+    for i, r in enumerate(nodes):
+        if r["leftChild"] < 0:
+            continue
+        flat.feature[i], flat.left[i], flat.right[i] = r["featureIndex"], place[r["leftChild"]], place[r["rightChild"]]
+        if r["numCategories"] < 0:
+            flat.threshold[i] = r["leftCategoriesOrThreshold"][0]
+        else:
+            flat.categories[i, np.array(r["leftCategoriesOrThreshold"], int)] = True
+    return flat
+
+
+def score_depths(
+    train: DataFrame,
+    test: DataFrame,
+    label: str,
+    numeric: Sequence[str],
+    categorical: Sequence[str] = (),
+    depths: Sequence[int] = (2, 3, 4, 5, 6, 7),
+    min_per_node: int = 2,
+    max_bins: int = 32,
+) -> DataFrame:
+    """The rows of ``compare_depths`` from one fit: ``max_depth, depth, n_nodes, f1``.
+
+    A tree is grown from the top, so the tree of a smaller limit is the top of the
+    deepest one. Each test row goes down that tree once and is scored at every depth; one
+    aggregate has the confusion counts of all depths.
+    """
+    spark = train.sparkSession
+    importable(spark)
+    prepared = fit_features(train, label, numeric, categorical)
+    with cached(prepared.transform(train).select("features", "label_index")) as (vectors,):
+        deepest = classifier(max(depths), min_per_node, max_bins).fit(vectors)
+    flat = flatten(spark, deepest)
+    held, most = spark.sparkContext.broadcast(flat), max(depths)
+
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            found = held.value.route(x, most)
+            places = pa.array(np.arange(0, found.size + 1, most + 1, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column("label_index"), pa.ListArray.from_arrays(places, pa.array(found.ravel()))],
+                                             names=["label_index", "at_depth"])
+
+    scored = prepared.transform(test).select("label_index", vector_to_array("features").alias("x")).mapInArrow(
+        routed, "label_index double, at_depth array<double>")
+    confusion = materialize(scored.select("label_index", F.posexplode("at_depth").alias("depth", "prediction")).groupBy(
+        "depth", "label_index", "prediction").agg(F.count(F.lit(1)).alias("n")), "confusion")
+    rows = []
+    for depth in depths:
+        cells = confusion.where(F.col("depth") == depth)
+        rows.append((depth, *flat.cut(depth), f1_of_counts(cells, "label_index", "prediction", "n").first()[0]))
+    held.destroy()
+    return rows_to_df(spark, rows, "max_depth int, depth int, n_nodes int, f1 double")
+
+
 def tree_nodes(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """The node table of the fitted tree, read from the saved model's data files.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,8 @@ from pyspark.sql import types as T
 
 from lodeworks.functions.text import collapse_ws, split_literal
 from lodeworks.operators import (
-    clusters, counts, evaluation, features, filters, itemsets, joins, neural, ratings, recommend,
-    reshape, sampling, trees,
+    clusters, counts, evaluation, factors, features, filters, itemsets, joins, lloyd, networks, neural, ratings,
+    recommend, reshape, sampling, trees,
 )
 from lodeworks.plans import inputs
 from lodeworks.sources import (
@@ -589,15 +590,24 @@ def als_predict_keys(spark, sf):
 
 @query
 def als_grid(spark, sf):
-    train, validation, _ = _als_frames(spark, sf, [3, 1, 1], 137)
-    return recommend.tune_als(train, validation, ranks=[4, 8], regs=[0.1], iterations=[5], **INT_KEY)
+    """All 27 settings, from one run."""
+    train, validation = sampling.split_frames(inputs.interactions(spark, sf), PAIR_KEY, [4, 1], 137)
+    return factors.tune(train, validation)
 
 
 @query
 def als_best(spark, sf):
-    train, validation, test = _als_frames(spark, sf, [3, 1, 1], 137)
-    return recommend.tune_and_test(
-        train, validation, test, ranks=[4], regs=[0.05, 0.1], iterations=[5], **INT_KEY)
+    """All 27 settings, and the test error of the best."""
+    return factors.tune(*sampling.split_frames(inputs.interactions(spark, sf), PAIR_KEY, [3, 1, 1], 137))
+
+
+@query
+def als_equations(spark, sf):
+    """Two iterations of rank two, with the predictions of the held-out pairs."""
+    train, test = sampling.split_frames(inputs.interactions(spark, sf), PAIR_KEY, [4, 1], 137)
+    users, items = factors.fit(train, rank=2, reg=0.1, iters=2)
+    found = factors.predict(test, users, items)
+    return found.select(*PAIR_KEY, F.round("prediction", 3).alias("prediction"))
 
 
 @query
@@ -635,7 +645,17 @@ def tree_predict(spark, sf):
 @query
 def tree_depth_compare(spark, sf):
     train, test = _cells(spark, sf)
-    return trees.compare_depths(train, test, **CELL_FIT)
+    return trees.score_depths(train, test, **CELL_FIT)
+
+
+@query
+def tree_first_split(spark, sf):
+    """The root of a tree whose bins hold every value: the best of all possible splits."""
+    train, _ = _cells(spark, sf)
+    model = trees.fit_tree(train, "class", CELL_FIT["numeric"], max_depth=1, max_bins=256)
+    root = trees.tree_nodes(spark, model).where("id = 0")
+    return root.select("feature", F.round("threshold", 6).alias("threshold"), F.round("gain", 6).alias("gain"),
+                       F.round("impurity", 6).alias("impurity"))
 
 
 @query
@@ -757,6 +777,14 @@ def kmeans_k_compare(spark, sf):
     return clusters.compare_k(_encoded(spark, sf), [*HOT, *THERMO], [10, 20, 40], collapse=True)
 
 
+@query
+def kmeans_lloyd(spark, sf):
+    """Five rounds from the first ten rows."""
+    vectors = inputs.digits(spark, sf)
+    found = lloyd.lloyd(vectors, "embedding", lloyd.first_rows(vectors, "vec_id", "embedding", 10), rounds=5)
+    return found.assigned.select("vec_id", F.col("cluster").cast("bigint").alias("cluster"), F.round("distance", 5).alias("distance"))
+
+
 def _digit_frames(spark, sf):
     vectors = neural.vector_input(inputs.digits(spark, sf), "embedding", "label", keep=["vec_id"])
     return sampling.split_frames(vectors, ["vec_id"], [4, 1], 1)
@@ -782,6 +810,34 @@ def mlp_fit_curve(spark, sf):
     return neural.fit_curve(train, test, 64, 10, [[64, 64, 64], [64, 64]], [5, 10, 20])
 
 
+NETWORKS = [((512, 512, 512), 128), ((512, 512, 512), 1000), ((512, 512), 1000)]
+
+
+@query
+def mlp_epochs(spark, sf):
+    """Networks of three and two layers of 512 units, two batch sizes, to the epoch that the stop rule names or the 30th."""
+    train, test = sampling.split_frames(inputs.digits(spark, sf), ["vec_id"], [4, 1], 1)
+    curves = []
+    for hidden, batch in NETWORKS:
+        fitted = networks.fit_network(train, test, ["vec_id"], "embedding", "label", 64, 10, hidden, batch, stop=True)
+        named = {"layers": F.lit("-".join(map(str, hidden))), "batch": F.lit(batch)}
+        curves.append(fitted.epochs.withColumns(named))
+    return reduce(DataFrame.unionByName, curves)
+
+
+@query
+def mlp_reloaded(spark, sf):
+    """A network saved, loaded and applied to the test rows: a class and the same as before for each."""
+    train, test = sampling.split_frames(inputs.digits(spark, sf), ["vec_id"], [4, 1], 1)
+    fitted = networks.fit_network(train, test, ["vec_id"], "embedding", "label", 64, 10, (512, 512), 1000, epochs=2)
+    path = new_path(spark, "network")
+    networks.save_network(fitted.network, spark, path)
+    before = networks.predict(fitted.network, test, "embedding")
+    after = networks.predict(networks.load_network(spark, path), before, "embedding", "again", "probability_again")
+    return after.select("vec_id", F.col("label").cast("bigint").alias("label"), F.col("again").between(0, 9).alias("in_range"),
+                        ((F.col("again") == F.col("prediction")) & (F.col("probability") == F.col("probability_again"))).alias("same"))
+
+
 # --- streaming ---------------------------------------------------------------
 
 

@@ -107,6 +107,46 @@ _THERMO_COLUMNS = ",\n".join(
     [f"Packets > {bound} as TE_{i}" for i, bound in enumerate([0] + [2**j for j in range(16)])]
 )
 
+def _als_sql(seed: int, reg: float, iters: int) -> str:
+    """Alternating least squares of rank two: each half-step sums the equations and solves them by Cramer's rule."""
+    def start(place: int) -> str:
+        return f"('0x' || substr(md5(concat_ws(':', u, '{place}', '{seed}')), 1, 8))::bigint / 4294967296.0 / sqrt(2.0)"
+
+    steps, users = [], "u0"
+    for n in range(1, iters + 1):
+        for side, known, other, name in (("i", users, "u", f"i{n}"), ("u", f"i{n}", "i", f"u{n}")):
+            steps.append(f"""
+        , {name}_sums as (select {side}, sum(f1 * f1) + {reg} * count(*) as a, sum(f1 * f2) as b,
+            sum(f2 * f2) + {reg} * count(*) as c, sum(f1 * x) as p, sum(f2 * x) as q from r join {known} using ({other}) group by {side})
+        , {name} as (select {side}, (c * p - b * q) / (a * c - b * b) as f1, (a * q - b * p) / (a * c - b * b) as f2 from {name}_sums)""")
+        users = f"u{n}"
+    return f"""
+        with m as (select o_custkey as u, l_suppkey as i, sum(l_quantity) / count(*) as x
+            from lineitem join orders on l_orderkey = o_orderkey group by all)
+        , s as (select *, ('0x' || substr(md5(concat_ws(':', u, i, '137')), 1, 8))::bigint % 5 < 4 as train from m)
+        , r as (select u, i, x from s where train)
+        , u0 as (select u, {start(0)} as f1, {start(1)} as f2 from (select distinct u from r)){"".join(steps)}
+        select s.u as UserID, s.i as ItemID, round(a.f1 * b.f1 + a.f2 * b.f2, 3) as prediction
+        from s join {users} a on a.u = s.u join i{iters} b on b.i = s.i where not train"""
+
+
+def _lloyd_sql(k: int, rounds: int) -> str:
+    """Plain rounds of k-means: nearest centre by row, mean by centre and dimension."""
+    steps = []
+    for n in range(1, rounds + 1):
+        steps.append(f"""
+        , a{n} as (select vec_id, any_value(v) as v, arg_min(cluster, list_distance(v, c)) as cluster, min(list_distance(v, c)) as distance
+            from p, c{n - 1} group by vec_id)
+        , m{n} as (select cluster, dim, avg(x) as x from (
+            select cluster, unnest(v) as x, unnest(range(len(v))) as dim from a{n}) group by cluster, dim)
+        , c{n} as (select o.cluster, coalesce(any_value(l.c), any_value(o.c)) as c from c{n - 1} o left join (
+            select cluster, list(x order by dim) as c from m{n} group by cluster) l on l.cluster = o.cluster group by o.cluster)""")
+    return f"""
+        with p as (select vec_id, embedding::double[] as v from embeddings)
+        , c0 as (select row_number() over (order by vec_id) - 1 as cluster, v as c from p qualify cluster < {k}){"".join(steps)}
+        select vec_id, cluster, round(distance, 5) as distance from a{rounds}"""
+
+
 ORACLE: dict[str, str] = {
     # sources and sinks
     "csv_roundtrip": "select * from part",
@@ -318,6 +358,24 @@ ORACLE: dict[str, str] = {
         , s as (select vec_id, max(total / (n - 1)) filter (own = other and n > 1) as a,
             min(total / n) filter (own <> other) as b from p group by vec_id)
         select round(avg(case when a is null then 0 else (b - a) / greatest(a, b) end), 6) as silhouette from s""",
+    # models whose arithmetic SQL can write out
+    "als_equations": _als_sql(seed=37, reg=0.1, iters=2),
+    "kmeans_lloyd": _lloyd_sql(k=10, rounds=5),
+    "tree_first_split": _with(["v_biopsies"], """
+        , t as (select * from v_biopsies where ('0x' || substr(md5(concat_ws(':', id, line, '1234')), 1, 8))::bigint % 10 < 7)
+        , v as (unpivot (select class, clump::double as clump, cell_size::double as cell_size, mitoses::double as mitoses from t)
+            on clump, cell_size, mitoses into name feature value x)
+        , c as (select feature, x, count(*) as n, count(*) filter (class = 4) as n4 from v group by all)
+        , s as (select feature, (x + lead(x) over w) / 2 as threshold, sum(n) over w as ln, sum(n4) over w as l4,
+                sum(n) over (partition by feature) as n, sum(n4) over (partition by feature) as n4
+            from c window w as (partition by feature order by x))
+        , g as (select feature, threshold, 1 - (n4 / n) ** 2 - (1 - n4 / n) ** 2 as impurity, ln / n as share,
+                1 - (l4 / ln) ** 2 - (1 - l4 / ln) ** 2 as left_gini,
+                1 - ((n4 - l4) / (n - ln)) ** 2 - (1 - (n4 - l4) / (n - ln)) ** 2 as right_gini
+            from s where threshold is not null and ln >= 2 and n - ln >= 2)
+        select feature, round(threshold, 6) as threshold,
+            round(impurity - share * left_gini - (1 - share) * right_gini, 6) as gain, round(impurity, 6) as impurity
+        from g order by impurity - share * left_gini - (1 - share) * right_gini desc limit 1"""),
     # what the tables alone say about fitted models
     "als_predict_keys": """
         with i as (select o_custkey as UserID, l_suppkey as ItemID, sum(l_quantity) / count(*) as Rating
@@ -346,6 +404,9 @@ ORACLE: dict[str, str] = {
     "mlp_predict_keys": """
         select vec_id, cast(label as bigint) as label, true as in_range from embeddings
         where ('0x' || substr(md5(concat_ws(':', vec_id, '1')), 1, 8))::bigint % 5 >= 4""",
+    "mlp_reloaded": """
+        select vec_id, cast(label as bigint) as label, true as in_range, true as same from embeddings
+        where ('0x' || substr(md5(concat_ws(':', vec_id, '1')), 1, 8))::bigint % 5 >= 4""",
     # streaming: the same counts as over the whole table
     "stream_prefix_counts": _with(["v_tags"], "select token, count(*) as n from v_tags group by token"),
 }

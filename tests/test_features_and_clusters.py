@@ -178,3 +178,12 @@ def test_fewer_points_than_clusters(frame):
     assert row["k_asked"] == 5 and row["k_found"] == 2 and row["largest"] == 2
     one = clusters.compare_k(frame("x double", (1.0,), (1.0,)), ["x"], [3]).first()
     assert one["k_found"] == 1 and one["silhouette"] is None
+
+
+def test_nearest_centre_of_odd_vectors_and_without_centres(spark):
+    df = spark.createDataFrame([(1, [0.0, 1.0]), (2, None), (3, [None, 1.0]), (4, [5.0]), (5, [9.0, 9.0])], "id int, v array<double>")
+    centers = spark.createDataFrame([(7, 0, 0.0), (7, 1, 0.0), (8, 0, 9.0), (8, 1, 8.0)], "cluster int, dim int, value double")
+    found = clusters.nearest_centroid(df, "v", centers)
+    assert rows(found.select("id", "cluster", "distance")) == [(1, 7, 1.0), (2, None, None), (3, None, None), (4, None, None), (5, 8, 1.0)]
+    none = clusters.nearest_centroid(df, "v", centers.limit(0))
+    assert rows(none.select("id", "cluster", "distance")) == [(i, None, None) for i in range(1, 6)]

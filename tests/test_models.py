@@ -106,6 +106,14 @@ def test_depths(cells):
     assert got[0]["n_nodes"] <= got[1]["n_nodes"]
 
 
+def test_one_fit_scores_all_depths(cells):
+    depths = [0, 1, 2, 3, 5, 7]
+    one = trees.score_depths(*cells, depths=depths, **FIT).collect()
+    each = trees.compare_depths(*cells, depths=depths, **FIT).collect()
+    assert [tuple(r)[:3] for r in one] == [tuple(r)[:3] for r in each]
+    assert [r["f1"] for r in one] == pytest.approx([r["f1"] for r in each], rel=1e-12)
+
+
 def test_rules_reproduce_the_predictions(spark, cells, tree):
     nodes = materialize(trees.tree_nodes(spark, tree))
     assert nodes.count() == trees.tree_of(tree).numNodes

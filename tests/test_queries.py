@@ -35,7 +35,8 @@ def test_query_equals_sql(spark, con, sf_dir, name):
 def test_only_models_lack_sql():
     assert MODELS == [
         "als_best", "als_grid", "als_predict", "als_recommend", "kmeans_assign", "kmeans_k_compare",
-        "kmeans_mixed_features", "kmeans_thermo_profile", "malware_cluster_ports", "mlp_fit_curve", "mlp_predict",
+        "kmeans_mixed_features", "kmeans_thermo_profile", "malware_cluster_ports", "mlp_epochs",
+        "mlp_fit_curve", "mlp_predict",
         "tree_depth_compare", "tree_nodes", "tree_predict", "tree_rules",
     ]
     assert set(oracle_sql()) <= set(queries())
