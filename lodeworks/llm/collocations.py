@@ -1,8 +1,8 @@
 """Phrases whose words occur together more often than their parts suggest, with exact counts.
 
 Texts become shards: rows of word numbers of about ``SHARD`` bytes of text, 0 between
-pieces, with the shard's own words beside them. Words are counted over all shards and
-the frequent ones numbered. Then the phrases grow by a word at a time: a phrase of k
+pieces, with the shard's own words beside them. The words of all shards are merged by
+segments of their hash, which counts them and numbers the frequent ones. Then the phrases grow by a word at a time: a phrase of k
 words is the pair of the frequent phrases of k - 1 words it starts and ends with, packed
 into one whole number, so that no phrase is counted whose parts are too rare. Each shard
 counts its pairs in a counting quotient filter (``quotient.py``) cut into segments by the
@@ -10,7 +10,8 @@ highest bits; segments of all shards are merged, which gives exact counts of all
 What is frequent gets its number there, and goes back to the shards that hold it, as the
 words of the next round.
 
-Nothing is broadcast or gathered but one row of totals a round. Shards, segments and the
+Shards are stored in buckets: only answers are shuffled to them, their texts stay where
+they are. Nothing is broadcast or gathered but one row of totals a round. Shards, segments and the
 answers to a shard are bounded by the size of a shard or of a segment (segments grow in
 number with the words), whatever phrase, source or language is common.
 
@@ -21,6 +22,7 @@ no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lodeworks.llm import quotient
 from lodeworks.llm.arrays import gather, map_arrow, row_starts, slices
-from lodeworks.operators.indexing import dense_index
+from lodeworks.llm.buckets import Buckets
 from lodeworks.sources.scratch import materialize
 
 SHARD = 16 << 20  # bytes of text after which a shard ends
@@ -82,7 +84,7 @@ def _places(coded: pa.DictionaryArray) -> np.ndarray:
 
 
 def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``shard, codes, langs, words, counts``: codes are places in the shard's own list of words, from 1."""
+    """``shard, codes, langs, words, counts, n``: codes are places in the shard's own list of ``n`` words, from 1."""
     source = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +102,7 @@ def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
             return pa.RecordBatch.from_arrays([
                 pa.array([name]), pa.array([codes.astype("<u4").tobytes()], pa.binary()), pa.array(langs, pa.list_(pa.string())),
                 pa.array(words, pa.list_(pa.binary())).cast(pa.list_(pa.string())), pa.array([counts.tolist()], pa.list_(pa.int64())),
-            ], names=["shard", "codes", "langs", "words", "counts"])
+                pa.array([len(counts)], pa.int64())], names=["shard", "codes", "langs", "words", "counts", "n"])
 
         for rows, data, offsets in slices(batches, "text"):
             words, of_row, follows = words_of(data, offsets)
@@ -121,7 +123,7 @@ def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
         if parts:
             yield row()
 
-    return map_arrow(source, run, "shard bigint, codes binary, langs array<string>, words array<string>, counts array<bigint>")
+    return map_arrow(source, run, "shard bigint, codes binary, langs array<string>, words array<string>, counts array<bigint>, n bigint")
 
 
 def pairs_of(state: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,24 +133,85 @@ def pairs_of(state: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return at, quotient.mix(packed, 2 * width)
 
 
+def _vocabulary(cut: DataFrame, digit: int, min_count: int) -> DataFrame:
+    """The shards' words, merged by segments: one row for each segment and one for each shard in it.
+
+    The former has the frequent words (``langs, words, numbers, counts``) and the number
+    of all words of each language (``all_langs, all_counts``), the latter the codes of
+    the shard's words that are frequent, and their numbers.
+    """
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, langs, words, counts in zip(*batch.columns, strict=True):
+                langs, words = langs.values, words.values
+                places = np.array([zlib.crc32(w.encode()) & ((1 << digit) - 1) for w in words.to_pylist()], np.int64)
+                order = np.argsort(places, kind="stable")
+                names, starts = np.unique(places[order], return_index=True)
+                bounds = pa.array(np.append(starts, len(order)).astype(np.int32))
+                picked = pa.array(order)
+                lists = [pa.ListArray.from_arrays(bounds, column) for column in (
+                    langs.take(picked), words.take(picked), counts.values.take(picked), pa.array(order + 1))]
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.full(len(names), name.as_py(), np.int64)), *lists],
+                                                 names=["segment", "shard", "langs", "words", "counts", "codes"])
+
+    def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment, owners, parts = key[0].as_py(), [], []
+        for batch in batches:
+            owners += batch.column("shard").to_pylist()
+            parts += list(zip(*[[x.values for x in batch.column(c)] for c in ("langs", "words", "counts", "codes")], strict=True))
+        langs, words = (pa.concat_arrays([p[i] for p in parts]).dictionary_encode() for i in (0, 1))
+        counts = np.concatenate([p[2].to_numpy() for p in parts])
+        n_langs = len(langs.dictionary)
+        distinct, place = np.unique(_places(words) * n_langs + _places(langs), return_inverse=True)
+        totals = np.zeros(len(distinct), np.int64)
+        np.add.at(totals, place, counts)
+        often = totals >= min_count
+        numbers = np.zeros(len(distinct), np.int64)
+        numbers[often] = np.arange(int(often.sum())) * (1 << digit) + segment + 1
+        kept = distinct[often]
+        per_lang = np.zeros(n_langs, np.int64)
+        np.add.at(per_lang, _places(langs), counts)
+        lists = [langs.dictionary.take(pa.array(kept % n_langs)), words.dictionary.take(pa.array(kept // n_langs)),
+                 pa.array(numbers[often]), pa.array(totals[often]), langs.dictionary, pa.array(per_lang)]
+        nothing = pa.nulls(1, pa.binary())
+        yield pa.RecordBatch.from_arrays([
+            pa.array([segment], pa.int64()), pa.nulls(1, pa.int64()), nothing, nothing,
+            *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]], names=columns)
+        ends = np.cumsum([len(p[2]) for p in parts]).tolist()
+        for owner, part, a, b in zip(owners, parts, [0, *ends], ends, strict=False):
+            own = often[place[a:b]]
+            if own.any():
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([segment], pa.int64()), pa.array([owner], pa.int64()),
+                    pa.array([part[3].to_numpy()[own].astype("<u4").tobytes()], pa.binary()),
+                    pa.array([numbers[place[a:b][own]].astype("<u4").tobytes()], pa.binary()),
+                    *[pa.nulls(1, pa.list_(pa.string() if "string" in kind else pa.int64())) for _, kind in listed]], names=columns)
+
+    listed = [("langs", "array<string>"), ("words", "array<string>"), ("numbers", "array<bigint>"), ("counts", "array<bigint>"),
+              ("all_langs", "array<string>"), ("all_counts", "array<bigint>")]
+    columns = ["segment", "shard", "codes", "ids", *[c for c, _ in listed]]
+    schema = "segment bigint, shard bigint, codes binary, ids binary, " + ", ".join(f"{c} {kind}" for c, kind in listed)
+    apart = map_arrow(cut.select("shard", "langs", "words", "counts"), dealt, "segment bigint, shard bigint, langs array<string>, "
+                      "words array<string>, counts array<bigint>, codes array<bigint>")
+    return apart.groupBy("segment").applyInArrow(merge, schema)
+
+
 def _first_state(cut: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``shard, state``: the shards' words by their numbers in the vocabulary, others as gaps."""
-    own = cut.select("shard", F.posexplode(F.arrays_zip("langs", "words")).alias("place", "w")).select(
-        "shard", (F.col("place") + 1).alias("code"), F.col("w.langs").alias("lang"), F.col("w.words").alias("word"))
-    named = own.join(vocabulary.select("lang", "word", "id"), ["lang", "word"])
-    answers = named.groupBy(F.col("shard").alias("of_shard")).agg(
-        F.collect_list("code").alias("codes_known"), F.collect_list("id").alias("ids"))
+    answers = vocabulary.where("shard is not null").groupBy(F.col("shard").alias("of_shard")).agg(
+        F.collect_list(F.struct("codes", "ids")).alias("answers"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, codes, known, ids in zip(*batch.columns, strict=True):
+            for name, codes, answers in zip(*batch.columns, strict=True):
                 codes = np.frombuffer(codes.as_buffer(), "<u4")
+                known, ids = (np.frombuffer(b"".join(answers.values.field(c).to_pylist()), "<u4") for c in ("codes", "ids"))
                 table = np.zeros(int(codes.max(initial=0)) + 1, np.uint32)
-                table[known.values.to_numpy()] = ids.values.to_numpy()
+                table[known] = ids
                 yield _state(name, table[codes])
 
     joined = cut.select("shard", "codes").join(answers, F.col("shard") == F.col("of_shard"))
-    return map_arrow(joined.select("shard", "codes", "codes_known", "ids"), run, "shard bigint, state binary")
+    return map_arrow(joined.select("shard", "codes", "answers"), run, "shard bigint, state binary")
 
 
 def _state(name: pa.Scalar, state: np.ndarray) -> pa.RecordBatch:
@@ -270,30 +333,34 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     """
     if max_words < 2:
         raise ValueError("a phrase has at least two words")
-    cut = materialize(shards(docs, text_col, lang_col), "shards")
-    spelled = cut.select(F.inline(F.arrays_zip("langs", "words", "counts"))).toDF("lang", "word", "n")
-    totals = materialize(spelled.groupBy("lang").agg(F.sum("n").alias("n")), "words-in-all")
-    n_words = totals.agg(F.sum("n")).first()[0] or 0
-    frequent = spelled.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= min_count)
-    vocabulary = materialize(dense_index(frequent, ["lang", "word"], "id").withColumn("id", F.col("id") + 1), "vocabulary")
-    level = vocabulary.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last_word"), "a",
-                              F.array("a").alias("heads"), F.array("a").alias("tails"))
-    digit = max(LEAST_DIGIT, (n_words // SEGMENT).bit_length())
-    state = materialize(_first_state(cut, vocabulary), "state")
-    found = []
-    for words in range(2, max_words + 1):
-        largest = level.agg(F.max("id")).first()[0]
-        if largest is None:  # nothing to put together
-            break
-        if largest >= 1 << 32:
-            raise OverflowError("more frequent words or phrases than 32 bits number")
-        width = int(largest).bit_length()
-        merged = materialize(_merged(state, width, digit, min_count), "merged")
-        longer = materialize(_longer(level, merged), "phrases")
-        found.append((words, longer))
-        if words < max_words:
-            state = materialize(_next_state(state, merged, width), "state")
-        level = longer
+    spark = docs.sparkSession
+    with Buckets(spark) as buckets:
+        cut = buckets.store(shards(docs, text_col, lang_col), "shards")
+        n_entries = cut.agg(F.sum("n")).first()[0] or 0
+        digit = max(LEAST_DIGIT, (n_entries // SEGMENT).bit_length())
+        vocabulary = materialize(_vocabulary(cut, digit, min_count), "vocabulary")
+        merged_words = vocabulary.where("shard is null")
+        totals = materialize(merged_words.select(F.inline(F.arrays_zip("all_langs", "all_counts"))).toDF("lang", "n").groupBy(
+            "lang").agg(F.sum("n").alias("n")), "words-in-all")
+        n_words = totals.agg(F.sum("n")).first()[0] or 0
+        level = merged_words.select(F.inline(F.arrays_zip("langs", "words", "numbers", "counts"))).toDF("lang", "phrase", "id", "a").select(
+            "id", "lang", "phrase", F.col("phrase").alias("last_word"), "a", F.array("a").alias("heads"), F.array("a").alias("tails"))
+        digit = max(LEAST_DIGIT, (n_words // SEGMENT).bit_length())
+        state = buckets.store(_first_state(cut, vocabulary), "state")
+        found = []
+        for words in range(2, max_words + 1):
+            largest = level.agg(F.max("id")).first()[0]
+            if largest is None:  # nothing to put together
+                break
+            if largest >= 1 << 32:
+                raise OverflowError("more frequent words or phrases than 32 bits number")
+            width = int(largest).bit_length()
+            merged = materialize(_merged(state, width, digit, min_count), "merged")
+            longer = materialize(_longer(level, merged), "phrases")
+            found.append((words, longer))
+            if words < max_words:
+                state = buckets.store(_next_state(state, merged, width), "state")
+            level = longer
     scored = []
     for i, (words, phrases) in enumerate(found):
         open_ones = phrases
