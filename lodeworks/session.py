@@ -15,6 +15,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows of long texts: a batch is held by the JVM and by a Python worker.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.ui.enabled": "false",
     # State of long-running streams outside the heap.
     "spark.sql.streaming.stateStore.providerClass":
