@@ -36,7 +36,7 @@ from lodeworks.llm.arrays import gather, map_arrow, row_starts, slices
 from lodeworks.llm.buckets import Buckets
 from lodeworks.sources.scratch import materialize
 
-SHARD = 16 << 20  # bytes of text after which a shard ends
+SHARD = 8 << 20  # bytes of text after which a shard ends
 SEGMENT = 1 << 19  # words of the corpus to a segment of the filters
 LEAST_DIGIT = 8  # bits of a segment's number, at least
 # What ends a piece, and what separates words inside one.
@@ -84,25 +84,31 @@ def _places(coded: pa.DictionaryArray) -> np.ndarray:
 
 
 def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``shard, codes, langs, words, counts, n``: codes are places in the shard's own list of ``n`` words, from 1."""
+    """``shard, state, langs, words, counts, codes, n``: the text as codes of the shard's own ``n`` words, and these words."""
     source = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made, size = TaskContext.get().partitionId(), 0, 0
-        known: dict[tuple[str, bytes], int] = {}
+        known: dict[str, dict[bytes, int]] = {}  # codes of words by language
         parts: list[np.ndarray] = []
+        n = 0
 
         def row() -> pa.RecordBatch:
-            nonlocal made, size, known, parts
+            nonlocal made, size, known, parts, n
             codes = np.concatenate(parts)
-            counts = np.bincount(codes, minlength=len(known) + 1)[1:]
-            langs, words = ([list(x)] for x in zip(*known, strict=True)) if known else ([[]], [[]])
-            name = (part << 32) + made
-            made, size, known, parts = made + 1, 0, {}, []
-            return pa.RecordBatch.from_arrays([
-                pa.array([name]), pa.array([codes.astype("<u4").tobytes()], pa.binary()), pa.array(langs, pa.list_(pa.string())),
-                pa.array(words, pa.list_(pa.binary())).cast(pa.list_(pa.string())), pa.array([counts.tolist()], pa.list_(pa.int64())),
-                pa.array([len(counts)], pa.int64())], names=["shard", "codes", "langs", "words", "counts", "n"])
+            # By language, not in the order of the codes: the counts follow, and the codes stand beside them.
+            own = np.concatenate([np.fromiter(words.values(), np.int64, len(words)) for words in known.values()] or [np.zeros(0, np.int64)])
+            counts = np.bincount(codes, minlength=n + 1)[own]
+            langs = pa.DictionaryArray.from_arrays(
+                np.repeat(np.arange(len(known)), [len(words) for words in known.values()]).astype(np.int32), pa.array(list(known), pa.string()))
+            lists = [langs.cast(pa.string()), pa.array([w for words in known.values() for w in words], pa.binary()).cast(pa.string()),
+                     pa.array(counts, pa.int64()), pa.array(own)]
+            columns = [pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), x) for x in lists]
+            row = pa.RecordBatch.from_arrays([
+                pa.array([(part << 32) + made]), pa.array([codes.astype("<u4").tobytes()], pa.binary()), *columns,
+                pa.array([n], pa.int64())], names=["shard", "state", "langs", "words", "counts", "codes", "n"])
+            made, size, known, parts, n = made + 1, 0, {}, [], 0
+            return row
 
         for rows, data, offsets in slices(batches, "text"):
             words, of_row, follows = words_of(data, offsets)
@@ -115,7 +121,12 @@ def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
             spelled, named = distinct.dictionary.to_pylist(), langs.dictionary.to_pylist()
             own = np.zeros(len(used), np.uint32)
             for at in np.flatnonzero(used).tolist():
-                own[at] = known.setdefault((named[at % n_langs], spelled[at // n_langs]), len(known) + 1)
+                of_lang, word = known.setdefault(named[at % n_langs], {}), spelled[at // n_langs]
+                code = of_lang.get(word)
+                if code is None:
+                    n += 1
+                    code = of_lang[word] = n
+                own[at] = code
             parts.append(spaced(own[both], follows))
             size += len(data)
             if size >= SHARD:
@@ -123,7 +134,8 @@ def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
         if parts:
             yield row()
 
-    return map_arrow(source, run, "shard bigint, codes binary, langs array<string>, words array<string>, counts array<bigint>, n bigint")
+    return map_arrow(source, run, "shard bigint, state binary, langs array<string>, words array<string>, counts array<bigint>, "
+                     "codes array<bigint>, n bigint")
 
 
 def pairs_of(state: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +154,7 @@ def _vocabulary(cut: DataFrame, digit: int, min_count: int) -> DataFrame:
     """
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, langs, words, counts in zip(*batch.columns, strict=True):
+            for name, langs, words, counts, codes in zip(*batch.columns, strict=True):
                 langs, words = langs.values, words.values
                 places = np.array([zlib.crc32(w.encode()) & ((1 << digit) - 1) for w in words.to_pylist()], np.int64)
                 order = np.argsort(places, kind="stable")
@@ -150,7 +162,7 @@ def _vocabulary(cut: DataFrame, digit: int, min_count: int) -> DataFrame:
                 bounds = pa.array(np.append(starts, len(order)).astype(np.int32))
                 picked = pa.array(order)
                 lists = [pa.ListArray.from_arrays(bounds, column) for column in (
-                    langs.take(picked), words.take(picked), counts.values.take(picked), pa.array(order + 1))]
+                    langs.take(picked), words.take(picked), counts.values.take(picked), codes.values.take(picked))]
                 yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.full(len(names), name.as_py(), np.int64)), *lists],
                                                  names=["segment", "shard", "langs", "words", "counts", "codes"])
 
@@ -191,7 +203,7 @@ def _vocabulary(cut: DataFrame, digit: int, min_count: int) -> DataFrame:
               ("all_langs", "array<string>"), ("all_counts", "array<bigint>")]
     columns = ["segment", "shard", "codes", "ids", *[c for c, _ in listed]]
     schema = "segment bigint, shard bigint, codes binary, ids binary, " + ", ".join(f"{c} {kind}" for c, kind in listed)
-    apart = map_arrow(cut.select("shard", "langs", "words", "counts"), dealt, "segment bigint, shard bigint, langs array<string>, "
+    apart = map_arrow(cut.select("shard", "langs", "words", "counts", "codes"), dealt, "segment bigint, shard bigint, langs array<string>, "
                       "words array<string>, counts array<bigint>, codes array<bigint>")
     return apart.groupBy("segment").applyInArrow(merge, schema)
 
@@ -203,15 +215,15 @@ def _first_state(cut: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, codes, answers in zip(*batch.columns, strict=True):
-                codes = np.frombuffer(codes.as_buffer(), "<u4")
+            for name, state, answers in zip(*batch.columns, strict=True):
+                state = np.frombuffer(state.as_buffer(), "<u4")
                 known, ids = (np.frombuffer(b"".join(answers.values.field(c).to_pylist()), "<u4") for c in ("codes", "ids"))
-                table = np.zeros(int(codes.max(initial=0)) + 1, np.uint32)
+                table = np.zeros(int(state.max(initial=0)) + 1, np.uint32)
                 table[known] = ids
-                yield _state(name, table[codes])
+                yield _state(name, table[state])
 
-    joined = cut.select("shard", "codes").join(answers, F.col("shard") == F.col("of_shard"))
-    return map_arrow(joined.select("shard", "codes", "answers"), run, "shard bigint, state binary")
+    joined = cut.select("shard", "state").join(answers, F.col("shard") == F.col("of_shard"))
+    return map_arrow(joined.select("shard", "state", "answers"), run, "shard bigint, state binary")
 
 
 def _state(name: pa.Scalar, state: np.ndarray) -> pa.RecordBatch:
