@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from lodeworks.session import RECOMMENDED
+from lodeworks.sources.workers import importable
+
 SLICE = 4 << 20  # bytes of text a task looks at together; a longer text is a slice of its own
 
 
 # Workers give large arrays back to the system at once; by default the C library keeps up to 64 MB of them.
 MALLOC = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(8 << 20), "MALLOC_ARENA_MAX": "2"}
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-HOME = str(Path(__file__).resolve().parents[2])
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
@@ -25,16 +25,15 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     """``df.mapInArrow``; a local session's workers find this package where the driver has it.
 
     Rows are texts here: Spark's default of 10,000 rows a batch would hold tens of
-    megabytes twice, in the JVM and in Python, so it is lowered. Another setting stays.
+    megabytes twice, in the JVM and in Python. A session that sets no number of rows
+    itself gets that of ``lodeworks/session.py``; one that does keeps it.
     """
     sc, conf = df.sparkSession.sparkContext, df.sparkSession.conf
-    if conf.get(BATCH_ROWS) == "10000":
-        conf.set(BATCH_ROWS, "1000")
+    if conf.get(BATCH_ROWS, None) is None:
+        conf.set(BATCH_ROWS, RECOMMENDED[BATCH_ROWS])
     for name, value in MALLOC.items():
         sc.environment.setdefault(name, value)
-    known = sc.environment.get("PYTHONPATH", "")
-    if sc.master.startswith("local") and HOME not in known.split(os.pathsep):
-        sc.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, HOME]))
+    importable(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -71,6 +70,8 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE) -
 
 def tiles(data: np.ndarray, starts: np.ndarray) -> pa.BinaryArray:
     """The pieces between consecutive ``starts`` and the end, as binary values that share ``data``."""
+    if len(data) >= 1 << 31:
+        raise OverflowError("more than 2 GB of pieces in one task")
     bounds = np.append(starts, len(data)).astype(np.int32)
     return pa.BinaryArray.from_buffers(pa.binary(), len(starts), [
         None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])

@@ -20,8 +20,14 @@ place. Only anchors are dealt out, by the top bits of their hash (the digit):
 5. ``cut``: each slice removes what is covered.
 
 A passage that a third of all documents share costs an entry per slice, not per
-document, and the number of digits and slices grows with the data. Nothing is decided by
-a hash alone: hashes only choose what is looked at, and windows are compared as bytes.
+document. The number of digits grows with the bytes of the texts, so that a digit has
+the contexts of about ``DIGIT_BYTES`` of text. A digit is heavy if the contexts of its
+anchors may pass ``heavy_bytes``, as those of a gram that stands in very many places do:
+an anchor has one digit, so more digits would not part them. Its windows go row by row
+instead: the smallest document of each window is a partial aggregate, and a join that
+Spark may split brings it back. So a task holds a digit of bounded size, whatever is
+common. Nothing is decided by a hash alone: hashes only choose what is looked at, and
+windows are compared as bytes. A digit of 2 GB or more would be an error.
 
 Defined results: null text is empty; texts shorter than a window stay; a null id counts
 as greater than every other; rows of equal id do not remove from each other; no rows
@@ -50,6 +56,8 @@ SLICE_BYTES = 2 << 20
 STRETCH = 1 << 18  # places whose hashes are computed together
 PLACE_BITS = np.uint64(19)  # of the ordering key; the same everywhere, so that equal windows choose equally
 SORTED_AT_ONCE = 1 << 18  # windows
+DIGIT_BYTES = 8 << 20  # of text to a digit
+HEAVY_BYTES = 256 << 20  # of contexts in a digit, before equal ones are merged
 REPORTED = ("n_bytes", "n_removed", "n_spans", "kept")
 LAST_ID = np.iinfo(np.int64).max  # stands for a null id
 
@@ -129,10 +137,10 @@ def _distinct(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return hashes[heads], np.minimum.reduceat(ids, heads) != np.maximum.reduceat(ids, heads)
 
 
-def _by_digit(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Bounds of the digits among sorted hashes: 2^bits + 1 places."""
-    digits = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-    return np.searchsorted(digits, np.arange((1 << bits) + 1))
+def _by_digit(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The digits that occur among sorted hashes, and the places between them."""
+    digits, starts = np.unique((hashes >> np.uint64(64 - bits)).astype(np.int64), return_index=True)
+    return digits, np.append(starts, len(hashes))
 
 
 class Slice:
@@ -167,32 +175,45 @@ def _pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, rows.schema, options=options) as stream:
             stream.write_batch(rows)
-        yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                                         names=["slice", "content"])
+        size = len(flat(rows.column("text"))[0])
+        yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                                          pa.array([size], pa.int64())], names=["slice", "content", "size"])
         number += 1
 
 
 def _first_digit(bits: int):
-    """Per slice and digit: the next 40 bits of every distinct anchor hash, and a bit for those in several documents."""
+    """Per slice and digit: the next 40 bits of every distinct anchor hash, a bit for those in several documents, bytes of contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, content in zip(*(batch.column(c).to_pylist() for c in ("slice", "content")), strict=True):
                 part = Slice(content)
                 keys = (part.distinct << np.uint64(bits)).byteswap().view(np.uint8).reshape(-1, 8)[:, :5]
-                bounds = _by_digit(part.distinct, bits)
-                some = np.flatnonzero(np.diff(bounds))
+                some, bounds = _by_digit(part.distinct, bits)
+                of_run = np.searchsorted(some, (part.hashes >> np.uint64(64 - bits)).astype(np.int64))
+                sizes = np.bincount(of_run, weights=part.windows + LENGTH - 1, minlength=len(some)).astype(np.int64)
+                spans = list(zip(bounds.tolist(), bounds[1:].tolist(), strict=False))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(some), pa.array(np.full(len(some), number)),
-                    pa.array([keys[bounds[d]:bounds[d + 1]].tobytes() for d in some], pa.binary()),
-                    pa.array([np.packbits(part.several[bounds[d]:bounds[d + 1]]).tobytes() for d in some], pa.binary()),
-                ], names=["digit", "slice", "keys", "several"])
+                    pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()),
+                    pa.array([np.packbits(part.several[a:b]).tobytes() for a, b in spans], pa.binary()), pa.array(sizes),
+                ], names=["digit", "slice", "keys", "several", "size"])
 
     return run
 
 
-def _shared_keys(group: pa.Table) -> pa.Table:
-    """Of one digit: for each slice, a bit per key that says whether two documents or more have it."""
+def _shared_keys(heavy_bytes: int):
+    """Of one digit: for each slice, a bit per key that says whether two documents or more have it; and whether it is heavy."""
+
+    def run(group: pa.Table) -> pa.Table:
+        heavy = sum(group.column("size").to_pylist()) > heavy_bytes
+        found = _shared_bits(group)
+        return found.append_column("heavy", pa.array([heavy] * len(found), pa.bool_()))
+
+    return run
+
+
+def _shared_bits(group: pa.Table) -> pa.Table:
     numbers = group.column("slice").to_pylist()
     raw = [np.frombuffer(k, np.uint8).reshape(-1, 5) for k in group.column("keys").to_pylist()]
     several = [np.unpackbits(np.frombuffer(s, np.uint8))[:len(k)] for s, k in zip(group.column("several").to_pylist(), raw, strict=True)]
@@ -214,11 +235,10 @@ def _shared_keys(group: pa.Table) -> pa.Table:
 
 
 def _shared_of(part: Slice, bits: int, digits: list[int], blobs: list[bytes]) -> np.ndarray:
-    bounds = _by_digit(part.distinct, bits)
+    known, bounds = _by_digit(part.distinct, bits)
     shared = np.zeros(len(part.distinct), bool)
-    for digit, blob in zip(digits, blobs, strict=True):
-        size = bounds[digit + 1] - bounds[digit]
-        shared[bounds[digit]:bounds[digit + 1]] = np.unpackbits(np.frombuffer(blob, np.uint8))[:size]
+    for at, blob in zip(np.searchsorted(known, digits).tolist(), blobs, strict=True):
+        shared[bounds[at]:bounds[at + 1]] = np.unpackbits(np.frombuffer(blob, np.uint8))[:bounds[at + 1] - bounds[at]]
     return shared
 
 
@@ -237,33 +257,85 @@ def _least(ids: np.ndarray, groups: np.ndarray, n: int) -> np.ndarray:
     return least
 
 
+def _shared_contexts(row: dict, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each digit of a slice: the distinct contexts of the shared anchors (bytes, lengths) and their smallest ids."""
+    part = Slice(row["content"])
+    runs, contexts, which, hashes = part.contexts(_shared_of(part, bits, row["digits"], row["blobs"]))
+    least = _least(part.ids[part.owner[runs]], which, len(contexts))
+    data, offsets = flat(contexts)
+    order = np.argsort(hashes >> np.uint64(64 - bits), kind="stable")
+    some, bounds = _by_digit(hashes[order], bits)
+    for digit, a, b in zip(some.tolist(), bounds.tolist(), bounds[1:].tolist(), strict=False):
+        own = order[a:b]
+        values, _ = gather(data, offsets[own], offsets[own + 1])
+        yield digit, values, offsets[own + 1] - offsets[own], least[own]
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One at a time: a row is a slice."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _cut_contexts(bits: int):
-    """Per slice and digit: the distinct contexts (lengths, smallest ids, bytes) of the shared anchors."""
+    """Per slice and digit: the contexts, packed; not those of heavy digits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number, content, digits, blobs in zip(*(batch.column(c).to_pylist() for c in (
-                    "slice", "content", "digits", "blobs")), strict=True):
-                part = Slice(content)
-                runs, contexts, which, hashes = part.contexts(_shared_of(part, bits, digits, blobs))
-                least = _least(part.ids[part.owner[runs]], which, len(contexts))
-                data, offsets = flat(contexts)
-                order = np.argsort(hashes >> np.uint64(64 - bits), kind="stable")
-                bounds = _by_digit(hashes[order], bits)
-                some = np.flatnonzero(np.diff(bounds))
-                made = []
-                for d in some:
-                    own = order[bounds[d]:bounds[d + 1]]
-                    values, _ = gather(data, offsets[own], offsets[own + 1])
-                    lengths = (offsets[own + 1] - offsets[own]).astype("<u4")
-                    made.append(len(own).to_bytes(8, "little") + _squeeze(
-                        lengths.tobytes() + least[own].astype("<i8").tobytes() + values.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(np.full(len(some), number)),
-                                                  pa.array(made, pa.binary())], names=["digit", "slice", "contexts"])
+        for row in _rows(batches):
+            heavy = set(row["heavy"] or [])
+            made, some = [], []
+            for digit, values, lengths, least in _shared_contexts(row, bits):
+                if digit not in heavy:
+                    some.append(digit)
+                    made.append(len(lengths).to_bytes(8, "little") + _squeeze(
+                        lengths.astype("<u4").tobytes() + least.astype("<i8").tobytes() + values.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([row["slice"]] * len(some), pa.int64()),
+                                              pa.array(made, pa.binary())], names=["digit", "slice", "contexts"])
 
     return run
 
 
+def _cut_windows(bits: int):
+    """Of heavy digits, a row for each window of a slice's contexts, with its place among them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            for digit, values, lengths, least in _shared_contexts(row, bits):
+                if digit not in row["heavy"]:
+                    continue
+                sizes = lengths - LENGTH + 1
+                starts = np.repeat(np.cumsum(lengths) - lengths - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+                ids = np.repeat(least, sizes)
+                for a in range(0, len(starts), 1 << 16):
+                    own = starts[a:a + (1 << 16)]
+                    cut, places = gather(values, own, own + LENGTH)
+                    n = len(own)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(n, digit)), pa.array(np.full(n, row["slice"])), pa.array(np.arange(a, a + n)),
+                        tiles(cut, places[:-1]), pa.array(ids[a:a + n])], names=["digit", "slice", "place", "window", "least"])
+
+    return run
+
+
+def _heavy_answers(packed: DataFrame, bits: int) -> DataFrame:
+    """``slice, digit, blob`` of the heavy digits, like those of ``_radix``."""
+    windows = materialize(map_arrow(packed.where(F.size("heavy") > 0), _cut_windows(bits),
+                                    "digit bigint, slice bigint, place bigint, window binary, least bigint"), "windows")
+    # Stored, so that the join can split a window that is in very many slices.
+    least = materialize(windows.groupBy(F.col("window").alias("same")).agg(F.min("least").alias("smallest")), "smallest")
+    found = windows.join(least, F.col("window") == F.col("same")).groupBy("slice", "digit").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("place", "smallest"))), lambda x: x["smallest"]).alias("smallest"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blobs = [_squeeze(x.values.to_numpy().astype("<i8").tobytes()) for x in batch.column("smallest")]
+            yield pa.RecordBatch.from_arrays([batch.column("slice"), batch.column("digit"), pa.array(blobs, pa.binary())],
+                                             names=["slice", "digit", "blob"])
+
+    return map_arrow(found, run, "slice bigint, digit bigint, blob binary")
+
+
 def _digit(data: np.ndarray, windows: np.ndarray, depth: int) -> np.ndarray:
     """The (up to) eight bytes of each window at ``depth``, as one number."""
     width = min(8, LENGTH - depth)
@@ -329,6 +401,8 @@ def _radix(group: pa.Table) -> pa.Table:
     sizes = np.diff(offsets) - LENGTH + 1  # windows of each distinct context
     ends = np.cumsum(sizes)
     begins = ends - sizes
+    if len(data) >= 1 << 31:
+        raise OverflowError("more than 2 GB of contexts in one digit")
     windows = np.repeat((offsets[:-1] - begins).astype(np.int32), sizes)
     windows += np.arange(ends[-1], dtype=np.int32)
     smallest = np.repeat(least, sizes)
@@ -391,28 +465,36 @@ def _cut(bits: int, schema: pa.Schema):
     return run
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digits: int | None = None) -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digits: int | None = None,
+                heavy_bytes: int = HEAVY_BYTES) -> DataFrame:
     """``docs`` with repeated bytes cut from the text, and ``n_bytes, n_removed, n_spans, kept``,
     which replace columns of these names.
 
     ``kept`` holds the bytes that stay; the text is these bytes without the parts of
     characters that were cut through. ``digits`` (a power of two) is the number of radix
-    buckets; by default it follows the number of shuffle partitions.
+    buckets; by default it grows with the texts, from two for each shuffle partition.
     """
     spark = docs.sparkSession
-    wanted = digits or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(1, (wanted - 1).bit_length())
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     inner = {c: f"column_{i}" for i, c in enumerate(others)}
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
                          *[F.col(f"`{c}`").alias(new) for c, new in inner.items()])
-    packed = materialize(map_arrow(source, _pack_rows, "slice bigint, content binary"), "slices")
-    sent = map_arrow(packed, _first_digit(bits), "digit bigint, slice bigint, keys binary, several binary")
-    bitmaps = materialize(sent.groupBy("digit").applyInArrow(_shared_keys, "slice bigint, digit bigint, blob binary"), "bitmaps")
-    known = bitmaps.groupBy("slice").agg(F.collect_list("digit").alias("digits"), F.collect_list("blob").alias("blobs"))
-    contexts = map_arrow(packed.join(known, "slice").select("slice", "content", "digits", "blobs"), _cut_contexts(bits),
-                         "digit bigint, slice bigint, contexts binary")
+    packed = materialize(map_arrow(source, _pack_rows, "slice bigint, content binary, size bigint"), "slices")
+    wanted = digits or max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")),
+                           -(-(packed.agg(F.sum("size")).first()[0] or 0) // DIGIT_BYTES))
+    bits = max(1, (wanted - 1).bit_length())
+    packed = packed.select("slice", "content")
+    sent = map_arrow(packed, _first_digit(bits), "digit bigint, slice bigint, keys binary, several binary, size bigint")
+    bitmaps = materialize(sent.groupBy("digit").applyInArrow(
+        _shared_keys(heavy_bytes), "slice bigint, digit bigint, blob binary, heavy boolean"), "bitmaps")
+    known = bitmaps.groupBy("slice").agg(F.collect_list("digit").alias("digits"), F.collect_list("blob").alias("blobs"),
+                                         F.collect_list(F.when(F.col("heavy"), F.col("digit"))).alias("heavy"))
+    asked = packed.join(known, "slice").select("slice", "content", "digits", "blobs", "heavy")
+    contexts = map_arrow(asked, _cut_contexts(bits), "digit bigint, slice bigint, contexts binary")
     answers = materialize(contexts.groupBy("digit").applyInArrow(_radix, "slice bigint, digit bigint, blob binary"), "answers")
+    if not bitmaps.where("heavy").isEmpty():
+        answers = answers.unionByName(materialize(_heavy_answers(asked, bits), "heavy-answers"))
+    bitmaps = bitmaps.drop("heavy")
     # One list of small values per slice and kind; a slice has at most one value per digit.
     both = bitmaps.withColumn("kind", F.lit("bits")).unionByName(answers.withColumn("kind", F.lit("ids")))
     value = F.struct("digit", "blob")

@@ -164,8 +164,8 @@ def test_repeated_bytes(docs, empty):
     assert suffixes.deduplicate(empty).count() == 0
 
 
-@pytest.mark.parametrize("digits", [2, 64])
-def test_awkward_repeats(spark, monkeypatch, digits):
+@pytest.mark.parametrize(("digits", "heavy"), [(2, 1 << 28), (64, 1 << 28), (64, 0), (16, 9000)])
+def test_awkward_repeats(spark, monkeypatch, digits, heavy):
     monkeypatch.setattr(suffixes, "SLICE_BYTES", 3000)
     monkeypatch.setattr(suffixes, "STRETCH", 130)
     monkeypatch.setattr(suffixes, "SORTED_AT_ONCE", 100)
@@ -174,7 +174,18 @@ def test_awkward_repeats(spark, monkeypatch, digits):
     rows = [(i, "".join(rng.choice("ab") for _ in range(rng.randint(0, 40))) + base[rng.randint(0, 200):rng.randint(150, 400)] * rng.randint(
         0, 2) + rng.choice(["a" * 120, "ab" * 60, "", "漢字" * 30])) for i in range(60)]
     rows += [(None, base), (None, base), (70, None), (71, ""), (70, base), (70, base), (80, base[:49]), (81, base[:50])]
-    assert cut(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), digits=digits) == plain_cut(rows)
+    assert cut(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), digits=digits, heavy_bytes=heavy) == plain_cut(rows)
+
+
+def test_digits_grow_with_the_texts_and_2_gb_are_an_error(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(suffixes, "DIGIT_BYTES", 100)
+    monkeypatch.setattr(suffixes, "_first_digit", lambda bits, make=suffixes._first_digit: seen.append(bits) or make(bits))
+    rows = [(i, f"{i} " * 100) for i in range(100)]
+    assert cut(spark.createDataFrame(rows, "doc_id bigint, text string")) == plain_cut(rows)
+    assert seen == [(sum(len(t) for _, t in rows) // 100 - 1).bit_length()]
+    with pytest.raises(OverflowError):
+        suffixes.tiles(np.broadcast_to(np.uint8(0), 1 << 31), np.zeros(1, np.int64))
 
 
 def test_groups_at_full_depth_are_the_repeated_windows():
