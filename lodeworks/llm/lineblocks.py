@@ -102,6 +102,7 @@ def lines_of(html: str) -> list[Line]:
     """The page's lines in order: text of each block without what is never article."""
     lines, now = [], Line()
     stack: list[tuple[str, bool, int, int, int]] = []  # element, left out, numbers of its mark, article and container
+    places: dict[str, list[int]] = {}  # of each element that is open: its places on the stack
     at = links = opened = 0
 
     def close() -> None:
@@ -122,17 +123,18 @@ def lines_of(html: str) -> list[Line]:
         nonlocal links
         while len(stack) > depth:
             name = stack.pop()[0]
+            places[name].pop()
             if name in BLOCKS:
                 close()
             links -= name == "a"
 
+    def last_of(names: tuple[str, ...]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
     def depth_of(names: tuple[str, ...], stop: tuple[str, ...] = ()) -> int | None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                return i
-            if stack[i][0] in stop:
-                return None
-        return None
+        """Place of the last open element of the names, unless one of ``stop`` was opened in it."""
+        depth = last_of(names)
+        return None if depth < 0 or last_of(stop) > depth else depth
 
     while at < len(html):
         token = TOKEN.search(html, at)
@@ -171,6 +173,7 @@ def lines_of(html: str) -> list[Line]:
             continue
         out, mark, article, container = stack[-1][1:] if stack else (False, 0, 0, -1)
         opened += 1
+        places.setdefault(name, []).append(len(stack))
         stack.append((name, out or _unwanted(name, token["rest"], mark > 0), mark or opened * (name in MARKED),
                       article or opened * (name == "article"), opened if name in CONTAINERS else container))
         links += name == "a"

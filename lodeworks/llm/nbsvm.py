@@ -31,7 +31,7 @@ from lodeworks.llm.arrays import map_arrow, slices, word_bounds
 
 WORD_BITS, SHAPE_BITS = 17, 15
 SIZE = (1 << WORD_BITS) + (1 << SHAPE_BITS)
-BROADCAST_LABELS = 2_000_000  # rows; more are joined by a shuffle
+BROADCAST_LABELS = 32 << 20  # bytes; more are joined by a shuffle
 
 _VALUES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)  # a fixed random value per byte
 _BASE = 0x9E3779B97F4A7C15
@@ -206,11 +206,15 @@ def _sample(labelled: DataFrame, labels: DataFrame, fit_rows: int) -> list[tuple
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-        fit_rows: int = 8000) -> Model:
-    """Learn from the labelled rows that are not held out. ``fit_rows`` bounds what the descent sees."""
+        fit_rows: int = 8000, broadcast_bytes: int = BROADCAST_LABELS) -> Model:
+    """Learn from the labelled rows that are not held out. ``fit_rows`` bounds what the descent sees.
+
+    Labels of up to ``broadcast_bytes`` go to all tasks, more are joined by a shuffle.
+    """
     known = labels.where(~held_out(id_col) & F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("class"))
-    side = F.broadcast(known) if known.count() <= BROADCAST_LABELS else known
+    size = known.agg(F.sum(F.octet_length(F.col("label_id").cast("string")) + 32)).first()[0] or 0
+    side = F.broadcast(known) if size <= broadcast_bytes else known
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     labelled = texts.join(side, F.col("id") == F.col("label_id"))
     counts, totals = _class_counts(labelled)

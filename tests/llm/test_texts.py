@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -368,3 +369,26 @@ def test_classifier_query(spark):
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and r["predicted"] == (r["score"] >= 0.3)
     unseen = [r for r in joined if r["held_out"]]
     assert sum(r["predicted"] == r["quality"] for r in unseen) >= 0.97 * len(unseen)
+
+
+def test_shuffled_labels_give_the_same_scores(spark, docs):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    few, many = (sorted(collected(nbsvm.score(docs, nbsvm.fit(docs, labels, broadcast_bytes=b))), key=str) for b in (1 << 20, 0))
+    assert [r[0] for r in few] == [r[0] for r in many] and np.allclose([r[1] for r in few], [r[1] for r in many])
+
+
+@pytest.mark.parametrize(("page", "n"), [
+    ("<b>" * 100_000 + f"<p>{LONG}</p>" * 3, 3), ("<article>" + "<i>" * 100_000 + f"<p>{LONG}</u></p>" * 2_000, 2_000),
+    ("<div>" * 50_000 + f"<p>{LONG}" * 50_000, 50_000), ("<ul><li>" * 20_000 + f"<li>{LONG}" * 100, 100),
+])
+def test_very_many_open_elements_take_linear_time(page, n):
+    start = time.perf_counter()
+    assert lineblocks.main_text(page).count(LONG.strip()) == n
+    assert time.perf_counter() - start < 30
+
+
+def test_stored_ledger_gives_policies_and_ablations(docs):
+    book = rules.store(docs)
+    assert "Scan parquet" in book._jdf.queryExecution().executedPlan().toString()
+    assert sorted(collected(book), key=str) == sorted(collected(rules.ledger(docs)), key=str)
+    assert sorted(collected(rules.ablations(book, "v2"))) == sorted(collected(rules.ablations(rules.ledger(docs), "v2")))
