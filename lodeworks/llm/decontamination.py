@@ -3,13 +3,13 @@
 Everything is DataFrame functions. The distinct windows of the benchmark are the build
 side of a broadcast hash join on their 64-bit hash; each document window probes it
 inside one generated loop, and a probe counts only if the words are equal. A benchmark
-of more windows than ``max_broadcast`` is joined by shuffling hashes instead, with the
-same result.
+whose windows have more bytes than ``max_broadcast`` is joined by shuffling hashes
+instead, with the same result.
 
 Defined results: null text has no words and is never a hit; items without words and
 items without an id have no windows; an item shorter than ``n`` words is one window;
-rows that share id and text are one document; an empty table gives an empty result, an
-empty benchmark no hits. Columns beside id and text are ignored, whatever their names.
+every row has its own result row, repeated ones as well; an empty table gives an empty
+result, an empty benchmark no hits. Columns beside id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -44,7 +44,10 @@ def _window_hashes(words: Column, size: int) -> Column:
 
 
 def _probe(docs: DataFrame, windows: DataFrame, sizes: list[int], small: bool) -> DataFrame:
-    """Rows ``id, text_key, n_words, pos, size, items``: one per verified hit, and one without hit per document."""
+    """Rows ``id, text_key, n_words, pos, size, items, copies``: one per verified hit, and one without hit per document.
+
+    ``copies`` counts the rows of equal id and text: its sum if ``small``, else the same on every row.
+    """
     words = docs.select("id", "text_key", word_list(F.col("text")).alias("words"))
     known = windows.select(F.col("key").alias("item_key"), "gram", "items")
     n_words = F.size("words").cast("long").alias("n_words")
@@ -56,33 +59,38 @@ def _probe(docs: DataFrame, windows: DataFrame, sizes: list[int], small: bool) -
     if small:
         hits = each.join(F.broadcast(known), (F.col("key") == F.col("item_key")) & same, "left").where(
             F.col("gram").isNotNull() | F.col("key").isNull())
+        copies = (F.col("key").isNull() & (F.col("size") == (sizes or [1])[0])).cast("long")
     else:
         found = each.where("key is not null").select(
             F.col("id").alias("hit_id"), F.col("text_key").alias("hit_key"), "size", "pos", "key"
-        ).join(known, F.col("key") == F.col("item_key"))
+        ).distinct().join(known, F.col("key") == F.col("item_key"))
+        words = words.groupBy("id", "text_key").agg(F.first("words").alias("words"), F.count("*").alias("times"))
         here = F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key"))
         hits = words.join(found, here & same, "left")
-    return hits.select("id", "text_key", n_words, "size", "items",
+        copies = F.col("times")
+    return hits.select("id", "text_key", n_words, "size", "items", copies.alias("copies"),
                        F.when(F.col("gram").isNotNull(), F.col("pos")).alias("pos"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", n: int = 13,
-                  max_broadcast: int = 1_000_000) -> DataFrame:
+                  max_broadcast: int = 32 << 20) -> DataFrame:
     """One row per document: ``id_col, n_words, n_hit, n_items, items`` (sorted strings), ``spans``.
 
     ``spans`` are the maximal runs of hit words, as ``(start, stop)`` word places.
-    ``max_broadcast`` bounds the windows that are broadcast.
+    ``max_broadcast`` bounds the bytes of the windows that are broadcast.
     """
     windows = materialize(item_windows(items, item_col, item_text, n), "windows")
     sizes = [r["size"] for r in windows.groupBy("size").count().orderBy("size").collect()]  # n values at most
-    small = windows.count() <= max_broadcast
+    letters = F.octet_length(F.array_join("gram", " ")) + F.octet_length(F.array_join("items", " ")) + 64
+    small = (windows.agg(F.sum(letters)).first()[0] or 0) <= max_broadcast
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn(
         "text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     hits = _probe(base, windows, sizes, small)
     place = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos").alias("start"), (F.col("pos") + F.col("size")).alias("stop")))
     per_doc = hits.groupBy("id", "text_key").agg(
-        F.max("n_words").alias("n_words"), F.sort_array(F.collect_set(place)).alias("places"),
+        F.max("n_words").alias("n_words"), (F.sum if small else F.max)("copies").cast("int").alias("copies"),
+        F.sort_array(F.collect_set(place)).alias("places"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     none = F.expr("cast(array() as array<struct<start:int,stop:int>>)")
     merged = F.aggregate("places", none, lambda runs, p: F.when(
@@ -93,8 +101,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     ).otherwise(F.concat(runs, F.array(p))))
     spans = per_doc.withColumn("spans", F.when(F.size("places") == 0, none).otherwise(merged))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["stop"] - s["start"])
-    return spans.select(F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"),
-                        F.size("items").cast("long").alias("n_items"), "items", "spans")
+    return spans.select(F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        "items", "spans", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).drop("copy")
 
 
 def contaminated(share: int = 20) -> Column:

@@ -2,11 +2,17 @@
 
 Everything is DataFrame functions, one row in and one row out, without a shuffle. A
 document is read as one line of lower-case words. Only signatures whose keyword the
-line contains are matched. Every match is a detection, an interval of the line. A
+line contains are matched. Every match is a detection, an interval of the line. Some
+signatures name further words that have to follow the match, in order, at any distance
+but before the signature's next match; the interval then ends with the last of them. A
 detection is dropped if a stronger one (greater priority, else longer, else earlier
 rule) holds its interval. The rest name the labels. Base phrases are plain word
 sequences, counted at every place, overlapping ones included, and never suppressed.
 
+The work is linear in the line and in the matches, but for their sort: a signature
+matches the line once, and one sweep over the sorted detections keeps, for each
+priority, how far the detections of it or of greater ones reach.
+
 Defined results: null and empty text have no words, no labels and score 0; equal rows
 give equal results, one each; no rows give no rows.
 """
@@ -21,7 +27,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.llm.words import word_line, words_in
+from lodeworks.llm.words import bound, swept, word_line, words_in
 
 # Fixed values of the contract: phrase and label.
 BASE_PHRASES = {
@@ -108,8 +114,8 @@ CREATIVE_COMMONS = [
 MIT_GRANT = "permission is hereby granted free of charge to any person obtaining a copy of"
 BSD_GRANT = "redistribution and use in source and binary forms"
 ISC_GRANT = "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"
-GAP = r"(?s:.{0,1000}?) "  # what may stand between the first and the last words of a grant
-# Wordings of licence texts and notices: label, priority, confidence, pattern, keyword, a second one every match contains.
+# Wordings of licence texts and notices: label, priority, confidence, pattern, keyword, a second one every match contains,
+# words that follow.
 WORDINGS = [
     ("mit", 60, 1.0, f"{MIT_GRANT} this software and associated documentation files(?: the software to deal in the software)?",
      "granted free of charge", "documentation files"),
@@ -119,13 +125,13 @@ WORDINGS = [
     ("boost-1", 60, 1.0, "permission is hereby granted free of charge to any person or organization obtaining a copy of the software "
      "and accompanying documentation", "granted free of charge", "or organization"),
     ("mit", 15, 0.8, "permission is hereby granted free of charge", "granted free of charge", "permission"),
-    ("bsd-4-clause", 62, 1.0, f"{BSD_GRANT}{GAP}all advertising materials mentioning{GAP}neither the name", "redistribution and use",
-     "advertising materials"),
-    ("bsd-3-clause", 60, 1.0, f"{BSD_GRANT}{GAP}neither the name", "redistribution and use", "neither the name"),
-    ("bsd-2-clause", 60, 1.0, f"{BSD_GRANT}{GAP}provided with the distribution this software is provided", "redistribution and use",
-     "distribution this software"),
-    ("apache-1.1", 62, 1.0, f"{BSD_GRANT}{GAP}the end user documentation included with the redistribution", "redistribution and use",
-     "end user documentation"),
+    ("bsd-4-clause", 62, 1.0, BSD_GRANT, "redistribution and use", "advertising materials",
+     "all advertising materials mentioning", "neither the name"),
+    ("bsd-3-clause", 60, 1.0, BSD_GRANT, "redistribution and use", "neither the name", "neither the name"),
+    ("bsd-2-clause", 60, 1.0, BSD_GRANT, "redistribution and use", "distribution this software",
+     "provided with the distribution this software is provided"),
+    ("apache-1.1", 62, 1.0, BSD_GRANT, "redistribution and use", "end user documentation",
+     "the end user documentation included with the redistribution"),
     ("bsd", 15, 0.8, BSD_GRANT, "redistribution and use", "binary forms"),
     ("bsd", 5, 0.8, r"(?:under (?:the |a )?)?bsd(?: style| type| like)? licen[sc]e", "bsd", "licen"),
     ("isc", 60, 1.0, f"{ISC_GRANT} provided that", "with or without fee", "provided that"),
@@ -141,7 +147,10 @@ WORDINGS = [
 
 @dataclass(frozen=True)
 class Signature:
-    """A pattern with its place in the order; ``marker`` and one of ``names`` stand in every match."""
+    """A pattern with its place in the order; ``marker`` and one of ``names`` stand in every detection.
+
+    The words of ``then`` follow the match, in order, before the pattern's next match.
+    """
 
     label: str
     pattern: str
@@ -149,6 +158,7 @@ class Signature:
     confidence: float
     marker: str
     names: tuple[str, ...]
+    then: tuple[str, ...] = ()
 
 
 def _whole(pattern: str) -> str:
@@ -157,8 +167,8 @@ def _whole(pattern: str) -> str:
 
 def _notices() -> list[Signature]:
     """Wordings of licence texts and notices, and versions that do not directly follow the name."""
-    made = [Signature(label, _whole(pattern), priority, confidence, keyword, (second,))
-            for label, priority, confidence, pattern, keyword, second in WORDINGS]
+    made = [Signature(label, _whole(pattern), priority, confidence, keyword, (second,), tuple(then))
+            for label, priority, confidence, pattern, keyword, second, *then in WORDINGS]
     for label, name, number, words in VERSIONED:
         terms = r"(?: the terms(?: and conditions)? of)?(?: the)? "
         version = r"(?: either)? (?:version |v ?)?"
@@ -181,25 +191,60 @@ def signatures() -> list[Signature]:
                          for priority, confidence, before, after, marker in FORMS for label, name, names in FAMILIES]
 
 
-DETECTION = "struct<start:int,stop:int,priority:int,rank:int,label:string,confidence:double>"
+DETECTION = "struct<start:int,stop:int,level:int,rank:int,label:string,confidence:double>"
 NONE = f"cast(array() as array<{DETECTION}>)"
+OPEN, CLOSE = "\x01", "\x02"  # stand in no line: around the matches of a signature
+
+
+def _followed(segment: Column, then: Column) -> Column:
+    """Characters of ``segment`` to the end of the last words of ``then``; negative if they do not all follow."""
+    spaced = F.concat(segment, F.lit(" "))
+
+    def step(at: Column, words: Column) -> Column:
+        found = F.nullif(F.position(F.concat(F.lit(" "), words, F.lit(" ")), spaced, at), F.lit(0))
+        return F.coalesce(found + F.char_length(words) + 1, F.lit(0))
+
+    return F.aggregate(then, F.lit(1), step) - 1
+
+
+def _places(line: Column, rule: Column) -> Column:
+    """The detections of one signature; the line is matched once."""
+    marked = F.regexp_replace(line, rule["pattern"], F.lit(f"{OPEN}$0{CLOSE}"))
 
+    def swept_pieces(pieces: Column) -> Column:  # between, match, between, match, ..., between
+        def step(at: Column, i: Column) -> tuple[Column, Column]:
+            start = at + F.char_length(F.get(pieces, 2 * i))
+            stop = start + F.char_length(F.get(pieces, 2 * i + 1))
+            more = _followed(F.get(pieces, 2 * i + 2), rule["then"])
+            one = F.struct(start.alias("start"), (stop + more).alias("stop"), rule["level"].alias("level"),
+                           rule["rank"].alias("rank"), rule["label"].alias("label"), rule["confidence"].alias("confidence"))
+            return stop, F.when(more >= 0, one)
 
-def _places(line: Column, pattern: Column, rule: Column, order: Column) -> Column:
-    """Intervals of ``line`` that match, as structs with the rule's rank."""
-    between = F.split(line, pattern, -1)
-    found = F.regexp_extract_all(line, pattern, F.lit(0))
-    empty = F.struct(F.lit(0).alias("at"), F.expr(NONE).alias("made"))
+        return F.array_compact(swept(F.floor(F.size(pieces) / 2).cast("int"), F.lit(0), DETECTION, step))
 
-    def step(state: Column, i: Column) -> Column:
-        start = state["at"] + F.char_length(F.get(between, i))
-        stop = start + F.char_length(F.get(found, i))
-        one = F.struct(start.alias("start"), stop.alias("stop"), rule["priority"].alias("priority"),
-                       order.alias("rank"), rule["label"].alias("label"), rule["confidence"].alias("confidence"))
-        return F.struct(stop.alias("at"), F.concat(state["made"], F.array(one)).alias("made"))
+    return bound(F.split(marked, f"[{OPEN}{CLOSE}]", -1), swept_pieces)
 
-    hits = F.sequence(F.lit(0), F.size(found) - 1)
-    return F.when(F.size(found) > 0, F.aggregate(hits, empty, step, lambda state: state["made"])).otherwise(F.expr(NONE))
+
+def _unsuppressed(found: Column, levels: int) -> Column:
+    """The detections that no stronger one holds.
+
+    ``level`` counts priorities from the greatest. In the order of start, then falling
+    stop, then strength, whatever holds an interval stands before it, and is stronger
+    unless its priority is less.
+    """
+    order = F.array_sort(F.transform(found, lambda d: F.struct(
+        d["start"], (-d["stop"]).alias("back"), d["level"], d["rank"], d["stop"], d["label"], d["confidence"])))
+
+    def swept_order(sorted_: Column) -> Column:
+        def step(reach: Column, i: Column) -> tuple[Column, Column]:
+            d = F.get(sorted_, i)
+            now = F.transform(reach, lambda far, level: F.when(level >= d["level"], F.greatest(far, d["stop"])).otherwise(far))
+            one = F.struct(*[d[c].alias(c) for c in ("start", "stop", "level", "rank", "label", "confidence")])
+            return now, F.when(F.get(reach, d["level"]) < d["stop"], one)
+
+        return F.array_compact(swept(F.size(sorted_), F.array_repeat(F.lit(0), levels), DETECTION, step))
+
+    return bound(order, swept_order)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict[str, str] | None = None,
@@ -230,23 +275,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
         F.array_max(F.array(*lasts)).cast("long").alias("last_word"),
         F.array_sort(F.array_distinct(F.array_compact(F.array(*named)))).alias("base_labels"))
 
+    levels = sorted({s.priority for s in rules}, reverse=True)
     table = F.array(*[F.struct(F.lit(s.label).alias("label"), F.lit(s.pattern).alias("pattern"),
-                               F.lit(s.priority).alias("priority"), F.lit(i).alias("rank"),
+                               F.lit(levels.index(s.priority)).alias("level"), F.lit(i).alias("rank"),
                                F.lit(s.confidence).alias("confidence"), F.lit(s.marker).alias("marker"),
-                               F.array(*map(F.lit, s.names)).alias("names")) for i, s in enumerate(rules)])
+                               F.array(*map(F.lit, s.names)).alias("names"),
+                               F.array(*map(F.lit, s.then)).cast("array<string>").alias("then")) for i, s in enumerate(rules)])
     gated = F.filter(table, lambda s: F.contains("line", s["marker"]) & F.exists(
         s["names"], lambda name: F.contains("line", name)))
-    found = F.flatten(F.transform(gated, lambda s: _places(F.col("line"), s["pattern"], s, s["rank"])))
+    found = F.flatten(F.transform(gated, lambda s: _places(F.col("line"), s)))
     marked = reduce(or_, [F.contains("line", F.lit(m)) for m in dict.fromkeys(s.marker for s in rules)], F.lit(False))
-
-    def stronger(a: Column, b: Column) -> Column:
-        wide, narrow = a["stop"] - a["start"], b["stop"] - b["start"]
-        return (a["priority"] > b["priority"]) | (a["priority"] == b["priority"]) & (
-            (wide > narrow) | (wide == narrow) & (a["rank"] < b["rank"]))
-
     seen = counted.withColumn("found", F.when(marked, found).otherwise(F.expr(NONE)))
-    kept = F.filter("found", lambda d: ~F.exists("found", lambda o: (o["start"] <= d["start"]) & (
-        o["stop"] >= d["stop"]) & stronger(o, d)))
+    kept = F.when(F.size("found") > 1, _unsuppressed(F.col("found"), len(levels))).otherwise(F.col("found"))
     kept_rows = seen.withColumn("detections", kept)
     own = F.transform("detections", lambda d: d["label"])
     labels = F.array_sort(F.array_distinct(F.concat("base_labels", own)))

@@ -42,7 +42,7 @@ FROM part LEFT JOIN (SELECT * FROM fit WHERE k = 1) USING (page_id)
 """
 
 # The rules of policy v2, on the same measurements.
-QUALITY_RULES = r"""
+RULE_MEASURES = r"""
 WITH doc AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 line AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines
          FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM doc)
@@ -61,6 +61,9 @@ m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
              coalesce(n_adjacent, 0) AS n_adjacent, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper,
              length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS n_letters, length(regexp_replace(t, '[^0-9]', '', 'g')) AS n_digits
       FROM doc LEFT JOIN line USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN again USING (doc_id))
+"""
+
+QUALITY_RULES = RULE_MEASURES + r"""
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR n_symbols * 10 > n_words
@@ -70,6 +73,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
+# One bit a rule, and what changes without it.
+RULE_ABLATIONS = RULE_MEASURES + """
+, bit AS (SELECT doc_id, unnest([
+    {rule: 'few_words', fails: n_words < 20}, {rule: 'repeated_windows', fails: 100 * n_repeat_words > 30 * n_words},
+    {rule: 'symbols', fails: n_symbols * 10 > n_words}, {rule: 'capitals', fails: n_letters >= 20 AND n_upper * 2 > n_letters},
+    {rule: 'stutter', fails: n_adjacent * 5 > n_words}, {rule: 'doubled_lines', fails: n_lines >= 3 AND n_dup_lines * 2 > n_lines},
+    {rule: 'word_length', fails: word_chars < n_words * 2 OR word_chars > n_words * 20},
+    {rule: 'digits', fails: n_digits * 2 > word_chars}], recursive := true) FROM m),
+total AS (SELECT *, count(*) FILTER (fails) OVER (PARTITION BY doc_id) AS n_failed FROM bit)
+SELECT rule, count(*) FILTER (fails) AS n_fail, count(*) FILTER (fails AND n_failed = 1) AS n_fail_alone,
+       count(*) FILTER (n_failed = 0 OR fails AND n_failed = 1) AS n_kept_without FROM total GROUP BY rule
+"""
+
 # Texts as hexadecimal digits, two to a byte.
 SUFFIX_DEDUP = """
 WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
@@ -131,6 +147,7 @@ SELECT lang, k2 AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM
 ORACLE: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION,
     "op2_quality_rules": QUALITY_RULES,
+    "quality_rule_ablations": RULE_ABLATIONS,
     "op5_url_filters": URL_FILTERS,
     "op7_suffix_dedup": SUFFIX_DEDUP,
     "op11_hard_negatives": HARD_NEGATIVES,

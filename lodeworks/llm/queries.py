@@ -30,12 +30,17 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = rules.ledger(table(spark, sf_dir, "documents"))
+    book = rules.store(table(spark, sf_dir, "documents"))
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        (~rules.passes("base")).alias("base_failed"),
                        (rules.passes("base") & rules.passes("v2")).alias("kept"))
 
 
+def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of policy v2 does, from the stored ledger alone."""
+    return rules.ablations(rules.store(table(spark, sf_dir, "documents")), "v2")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     simple8b.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path(VOCABULARY))
@@ -98,6 +103,7 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
+    "quality_rule_ablations": quality_rule_ablations,
     "op3_token_files": op3_token_files,
     "op4_bpe": op4_bpe,
     "op5_url_filters": op5_url_filters,

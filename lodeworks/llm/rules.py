@@ -22,6 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
 from lodeworks.llm.arrays import BLANK, codes_of, gather, map_arrow, per_row, slices, tiles, word_bounds
+from lodeworks.sources.scratch import materialize
 
 WINDOW = 8
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_adjacent", "n_upper",
@@ -159,6 +160,11 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return measurements(docs, id_col, text_col).withColumn("failures", bits)
 
 
+def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ledger as a stored table: texts are read once, whatever policies and ablations follow."""
+    return materialize(ledger(docs, id_col, text_col), "ledger")
+
+
 def passes(policy: str) -> Column:
     """True if no rule of the policy failed."""
     return F.col("failures").bitwiseAND(F.lit(mask_of(policy)).cast("long")) == 0

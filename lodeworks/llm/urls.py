@@ -8,15 +8,18 @@ Expressions meet rules on the first 32 bits of their SHA-256; the whole digest c
 
 Defined results: null URLs and URLs without ``://`` have an empty host and path and get
 the default verdict; of several rules the longest wins, of equally long ones a block,
-then the smaller text; rows with equal id and URL are one row; no rows give no rows.
+then the smaller text; every row has its own result row, repeated ones as well; no rows
+give no rows.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.llm.words import ascii_lower
+from lodeworks.llm.words import ascii_lower, bound
 from lodeworks.sources.scratch import materialize
 
 SHORT = 8  # hexadecimal digits of the join key
@@ -44,31 +47,43 @@ def rule_table(rules: DataFrame) -> DataFrame:
 
 
 def expressions(shapes: list[tuple[int, int]]) -> Column:
-    """Digests of the expressions of ``host`` and ``path`` that have the shape of some rule."""
-    labels = F.split("host", r"\.")
-    made = [F.when((F.size(labels) >= k) & (F.char_length("path") >= d), F.sha2(F.concat(
-        F.array_join(F.slice(labels, -k, k), "."), F.lit("?"), F.substring("path", 1, d)), 256))
-        for k, d in shapes]
-    return F.array_compact(F.array_distinct(F.array(*made))) if made else F.expr("cast(array() as array<string>)")
+    """Digests of the expressions of ``host`` and ``path`` that have the shape of some rule.
+
+    The shapes are one constant of the plan, and only those that the URL is long enough
+    for are expanded.
+    """
+    listed = F.from_json(F.lit(json.dumps([{"k": k, "d": d} for k, d in shapes])), "array<struct<k:int,d:int>>")
+
+    def digest(labels: Column, shape: Column) -> Column:
+        host = F.array_join(F.slice(labels, -shape["k"], shape["k"]), ".")
+        return F.sha2(F.concat(host, F.lit("?"), F.substr(F.col("path"), F.lit(1), shape["d"])), 256)
+
+    def made(labels: Column) -> Column:
+        fits = F.filter(listed, lambda s: (F.size(labels) >= s["k"]) & (F.char_length("path") >= s["d"]))
+        return F.array_distinct(F.transform(fits, lambda s: digest(labels, s)))
+
+    return bound(F.split("host", r"\."), made)
 
 
 def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow",
-          max_broadcast: int = 500_000, salts: int = 16) -> DataFrame:
-    """``id_col, host, path, rule, verdict`` for every page.
+          max_broadcast: int = 32 << 20, salts: int = 16) -> DataFrame:
+    """``id_col, host, path, rule, verdict`` for every row of ``pages``.
 
-    Up to ``max_broadcast`` rules are broadcast. More are shuffled: then common
+    Rules of up to ``max_broadcast`` bytes are broadcast. More are shuffled: then common
     expressions are dealt over ``salts`` tasks each, and the rules copied to them.
     """
     known = materialize(rule_table(rules), "rules")
     shapes = [(r["labels"], r["depth"]) for r in known.select("labels", "depth").distinct()
-              .orderBy("labels", "depth").collect()]  # label counts times path lengths of rules
+              .orderBy("labels", "depth").collect()]  # at most the label counts times the path lengths of rules
     parts = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")).select(
         "id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    each = parts.select("id", "url", "host", "path", F.explode_outer(expressions(shapes)).alias("expression"))
+    each = parts.select("id", "url", "host", "path", F.posexplode_outer(expressions(shapes)).alias("at", "expression"))
     each = each.withColumn("expression_short", F.substring("expression", 1, SHORT))
-    side = known.select("short", "digest", "rule", F.col("verdict").alias("rule_verdict"))
+    # One row for each digest: of a rule with both verdicts the block counts.
+    side = known.groupBy("short", "digest", "rule").agg(F.max("verdict").alias("rule_verdict"))
     same = (F.col("expression_short") == F.col("short")) & (F.col("expression") == F.col("digest"))
-    if known.count() <= max_broadcast:
+    letters = F.octet_length("rule") + F.octet_length("digest") + 64
+    if (known.agg(F.sum(letters)).first()[0] or 0) <= max_broadcast:
         joined = each.join(F.broadcast(side), same, "left")
     else:
         side = side.withColumn("rule_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -77,10 +92,13 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     # The greatest of these is the winner: length, block before allow, smaller text by its complement.
     rank = F.when(F.col("rule").isNotNull(), F.struct(
         F.char_length("rule").alias("length"), (F.col("rule_verdict") == "block").alias("blocks")))
+    first = F.coalesce(F.col("at"), F.lit(0)) == 0  # a page has one row with its first expression, or with none
     best = joined.groupBy("id", "url", "host", "path").agg(
-        F.max(rank).alias("best"), F.collect_set(F.struct("rule", "rule_verdict")).alias("fits"))
+        F.max(rank).alias("best"), F.collect_set(F.struct("rule", "rule_verdict")).alias("fits"),
+        F.sum(first.cast("int")).cast("int").alias("copies"))
     wins = F.filter("fits", lambda r: (F.char_length(r["rule"]) == F.col("best")["length"])
                     & ((r["rule_verdict"] == "block") == F.col("best")["blocks"]))
     won = F.array_min(wins)
     return best.select(F.col("id").alias(id_col), "host", "path", won["rule"].alias("rule"),
-                       F.coalesce(won["rule_verdict"], F.lit(default)).alias("verdict"))
+                       F.coalesce(won["rule_verdict"], F.lit(default)).alias("verdict"),
+                       F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).drop("copy")
