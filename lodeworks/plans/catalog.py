@@ -12,15 +12,17 @@ from pyspark.sql import types as T
 
 from lodeworks.functions.text import collapse_ws, split_literal
 from lodeworks.operators import (
-    clusters, counts, evaluation, factors, features, filters, itemsets, joins, lloyd, networks, neural, ratings,
-    recommend, reshape, sampling, trees,
+    bitmaps, clusters, counts, evaluation, factors, features, filters, heavy, itemsets, joins, lloyd, networks, neural,
+    ratings, recommend, reshape, sampling, sketches, trees,
 )
 from lodeworks.plans import inputs
 from lodeworks.sources import (
     materialize, new_path, read_lines, read_table, write_lines, write_table,
 )
 from lodeworks.sources import typed_projection as cast_to
-from lodeworks.streaming import latest_counts, start_prefix_counts
+from lodeworks.streaming import (
+    latest_counts, start_prefix_counts, start_window_counts, trend, window_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -222,6 +224,13 @@ def two_period_trend(spark, sf):
     return counts.sort_counts(trend, "token", by="n_total")
 
 
+@query
+def skew_ratings_join(spark, sf):
+    """The join of ``ratings_join_movies`` with the movies of very many ratings set apart."""
+    titles = inputs.movies(spark, sf).select("MovieID", "MovieTitle")
+    return joins.skew_join(inputs.ratings(spark, sf), titles, "MovieID").select("UserID", "MovieID", "Rating", "MovieTitle")
+
+
 @query
 def rating_error_join(spark, sf):
     actual = materialize(inputs.interactions(spark, sf), "interactions")
@@ -443,6 +452,13 @@ def frequent_port_sets(spark, sf):
     return _as_text(itemsets.frequent_sets(weighted, itemsets.share_threshold(weighted, 33, 10_000)))
 
 
+@query
+def vertical_port_sets(spark, sf):
+    """The sets of ``frequent_port_sets`` from bitmaps of baskets."""
+    weighted = _baskets(spark, sf)
+    return _as_text(bitmaps.frequent_sets(weighted, itemsets.share_threshold(weighted, 33, 10_000)))
+
+
 @query
 def frequent_sets_of_four(spark, sf):
     weighted = _baskets(spark, sf)
@@ -838,6 +854,24 @@ def mlp_reloaded(spark, sf):
                         ((F.col("again") == F.col("prediction")) & (F.col("probability") == F.col("probability_again"))).alias("same"))
 
 
+# --- summaries ---------------------------------------------------------------
+
+
+@query
+def heavy_hashtags(spark, sf):
+    """The rows of ``top_k_hashtags`` from summaries and one exact count of their candidates."""
+    return heavy.top_keys(_hashtags(inputs.tweets(spark, sf)), "token", 100)
+
+
+@query
+def distinct_users_since(spark, sf):
+    """Distinct users from each day on: the exact number, and whether the united sketches are within their bound."""
+    events = inputs.table(spark, sf, "events")
+    stored = materialize(sketches.daily(events, "ts", "user_id"), "sketches")
+    both = sketches.exact_since(events, "ts", "user_id").join(sketches.since(stored), "day")
+    return both.select(F.col("day").cast("string").alias("day"), "n", sketches.within_bound(F.col("estimate"), F.col("n")).alias("within_bound"))
+
+
 # --- streaming ---------------------------------------------------------------
 
 
@@ -850,3 +884,14 @@ def stream_prefix_counts(spark, sf):
     running = start_prefix_counts(inputs.tweet_texts(stream), "#", out, checkpoint, field_sep=",")
     running.awaitTermination()
     return latest_counts(spark.read.parquet(out))
+
+
+@query
+def event_time_trend(spark, sf):
+    """The rows of ``two_period_trend`` from windows of event time."""
+    events = inputs.table(spark, sf, "events")
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf}/events.parque[t]")
+    out, checkpoint = new_path(spark, "windows"), new_path(spark, "windows-state")
+    running = start_window_counts(inputs.tweet_texts(stream), "#", out, checkpoint, field_sep=",")
+    running.awaitTermination()
+    return trend(window_counts(spark.read.parquet(out)), inputs.DAY_TWO, 33)

@@ -410,3 +410,14 @@ ORACLE: dict[str, str] = {
     # streaming: the same counts as over the whole table
     "stream_prefix_counts": _with(["v_tags"], "select token, count(*) as n from v_tags group by token"),
 }
+# The same rows by another way.
+ORACLE |= {
+    "event_time_trend": ORACLE["two_period_trend"],
+    "heavy_hashtags": ORACLE["top_k_hashtags"],
+    "skew_ratings_join": ORACLE["ratings_join_movies"],
+    "vertical_port_sets": ORACLE["frequent_port_sets"],
+    "distinct_users_since": """
+        with d as (select distinct cast(ts as date) as day from events)
+        , l as (select user_id, max(cast(ts as date)) as last from events group by user_id)
+        select cast(day as varchar) as day, count(user_id) as n, true as within_bound from d left join l on last >= day group by day""",
+}
