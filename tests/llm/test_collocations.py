@@ -62,6 +62,7 @@ SCHEMA = "lang string, text string"
 @pytest.mark.parametrize(("shard", "segment"), [(200, 8), (16 << 20, 1 << 19)])
 def test_equals_plain(spark, monkeypatch, shard, segment):
     monkeypatch.setattr(collocations, "SEGMENT", segment)
+    monkeypatch.setattr(collocations, "LEAST_DIGIT", 3)
     rows = made(1, 400) + [("en", None), (None, ""), ("de", " \t"), (None, "lo lo lo lo lo lo " * 50)]
     df = clashing(spark.createDataFrame(rows, SCHEMA).repartition(1 if shard > 200 else 7), ["id", "words", "shard", "n", "score"])
     found = sorted(collected(collocations.collocations(df, min_count=20)))
