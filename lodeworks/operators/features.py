@@ -14,8 +14,9 @@ from lodeworks.functions.columns import multi_hot_columns, scaled, thermometer_c
 from lodeworks.operators.counts import count_by, sort_counts, top_k
 from lodeworks.operators.indexing import dense_index
 from lodeworks.operators.reshape import explode_items
-from lodeworks.sources.scratch import materialize
+from lodeworks.sources.scratch import materialize, new_path
 
+STORED, UNKNOWN = "label_table", "unknown_label"  # metadata of an index column whose labels are a stored table
 MAX_MODEL_LABELS = 10_000  # label lists up to this size may live on the driver
 
 
@@ -65,9 +66,10 @@ def string_index(
 
     ``nulls`` is an ``error``, or they ``keep`` a number of their own (the number of
     labels), or ``skip`` drops their rows. Up to ``max_labels`` labels become a fitted
-    indexer, which also leaves them in the column's metadata. More stay a distributed
-    table that is numbered range by range and joined back, with equal numbers; they
-    are turned back by ``index_to_string`` with the ``label_table``.
+    indexer, which leaves them in the column's metadata. More stay a distributed table
+    that is numbered range by range and joined back, with equal numbers; the metadata
+    says where it is stored. So ``index_to_string`` turns either back as it is, as long
+    as the application runs; beyond it, pass it the ``label_table``.
     """
     if nulls not in ("error", "keep", "skip"):
         raise ValueError("nulls is error, keep or skip")
@@ -77,13 +79,16 @@ def string_index(
         text = f"{out}_text"
         indexer = indexer_of(labels, text, out, nulls)
         return indexer.transform(df.withColumn(text, F.col(col).cast("string"))).drop(text)
-    table = label_table(df, col)
+    path = new_path(df.sparkSession, "labels")
+    label_table(df, col).write.parquet(path)
+    table = df.sparkSession.read.parquet(path)
     if nulls == "skip":
         df = df.where(F.col(col).isNotNull())
     unknown = F.raise_error(F.lit(f"null in {col}")).cast("double") if nulls == "error" else F.lit(float(table.count()))
     joined = df.join(table, F.col(col).cast("string") == F.col("label"), "left")
     number = F.when(F.col("label").isNotNull(), F.col("idx")).otherwise(unknown)
-    return joined.select(*[df[c] for c in df.columns], number.alias(out))
+    where = {STORED: path, **({UNKNOWN: "__unknown"} if nulls == "keep" else {})}
+    return joined.select(*[df[c] for c in df.columns], number.alias(out, metadata=where))
 
 
 def indexer_of(labels: Sequence[str], col: str, out: str, nulls: str = "error") -> StringIndexerModel:
@@ -95,7 +100,15 @@ def indexer_of(labels: Sequence[str], col: str, out: str, nulls: str = "error")
 def index_to_string(
     df: DataFrame, col: str, out: str, labels: Sequence[str] | DataFrame | None = None
 ) -> DataFrame:
-    """Original labels of an index column, from its metadata, a list or a ``label_table``."""
+    """Original labels of an index column, from its metadata, a list or a ``label_table``.
+
+    The number that stands for null where nulls were kept becomes ``__unknown``.
+    """
+    meta = df.schema[col].metadata or {}
+    if labels is None and STORED in meta:
+        named = index_to_string(df, col, out, df.sparkSession.read.parquet(meta[STORED]))
+        unknown = F.when(F.col(col).isNotNull(), F.lit(meta.get(UNKNOWN)))
+        return named.withColumn(out, F.coalesce(F.col(out), unknown))
     if isinstance(labels, DataFrame):
         named = labels.select(F.col("idx").alias("_idx"), F.col("label").alias(out))
         return df.join(named, F.col(col) == F.col("_idx"), "left").drop("_idx")

@@ -17,7 +17,7 @@ from lodeworks.operators import (
 )
 from lodeworks.plans import inputs
 from lodeworks.sources import (
-    materialize, new_path, read_lines, read_table, write_lines, write_table,
+    load_model, materialize, new_path, read_lines, read_table, save_model, write_lines, write_table,
 )
 from lodeworks.sources import typed_projection as cast_to
 from lodeworks.streaming import (
@@ -658,6 +658,17 @@ def tree_predict(spark, sf):
     return model.transform(test).select("id", "line", "class", "prediction", "predicted_class")
 
 
+@query
+def tree_reloaded(spark, sf):
+    """A tree with its feature stages saved, loaded and applied: the same class for every test row."""
+    train, test = _cells(spark, sf)
+    model, path = trees.fit_tree(train, max_depth=4, **CELL_FIT), new_path(spark, "model")
+    save_model(model, path)
+    scored = model.transform(test).select("id", "line", "class", *CELL_FIT["numeric"], "bare_nuclei", F.col("predicted_class").alias("before"))
+    again = load_model(spark, path).transform(scored)
+    return again.select("id", "line", "class", (F.col("before") == F.col("predicted_class")).alias("same"))
+
+
 @query
 def tree_depth_compare(spark, sf):
     train, test = _cells(spark, sf)

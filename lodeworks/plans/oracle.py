@@ -390,6 +390,9 @@ ORACLE: dict[str, str] = {
     "tree_predict_classes": _with(["v_biopsies"], """
         select id, line, class, true as one_name from v_biopsies
         where ('0x' || substr(md5(concat_ws(':', id, line, '1234')), 1, 8))::bigint % 10 >= 7"""),
+    "tree_reloaded": _with(["v_biopsies"], """
+        select id, line, class, true as same from v_biopsies
+        where ('0x' || substr(md5(concat_ws(':', id, line, '1234')), 1, 8))::bigint % 10 >= 7"""),
     "tree_rules_cover": "select count(*) as n_rows, count(*) as n_one_rule, count(*) as n_same from lineitem",
     "kmeans_nearest": """
         select count(*) as n_points, 0::bigint as n_other_nearer, count(*) as n_sized from embeddings""",

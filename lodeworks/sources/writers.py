@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.util import MLWritable
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReader, MLWritable
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -39,3 +39,8 @@ def write_table(
 def save_model(model: MLWritable, path: str) -> None:
     """Save a fitted model, replacing an older one at ``path``."""
     model.write().overwrite().save(path)
+
+
+def load_model(spark: SparkSession, path: str):
+    """What ``save_model`` wrote: a fitted pipeline or a single stage, ready to transform."""
+    return DefaultParamsReader.loadParamsInstance(path, spark)

@@ -190,6 +190,14 @@ def test_settings_without_a_score_never_win(spark, frame):
     assert rows(recommend.best_config(none, pairs, pairs).select("is_best", "test_rmse")) == [(False, None)]
 
 
+@pytest.mark.parametrize("nulls", ["keep", "skip"])
+def test_indexes_turn_back_alike_on_both_sides(frame, nulls):
+    df = frame("v string", ("a",), ("b",), ("b",), (None,), ("__x",))
+    few, many = (features.index_to_string(features.string_index(df, "v", "i", bound, nulls), "i", "t") for bound in (100, 1))
+    assert rows(few.select("v", "i", "t")) == rows(many.select("v", "i", "t"))
+    assert rows(many.where("v is null").select("t")) == ([("__unknown",)] if nulls == "keep" else [])
+
+
 def test_curve_rows_are_direct_fits(spark, sf_dir):
     vectors = neural.vector_input(inputs.digits(spark, sf_dir), "embedding", "label", keep=["vec_id"])
     train, test = sampling.split_frames(vectors, ["vec_id"], [4, 1], 1)
