@@ -2,10 +2,12 @@
 
 A half-step needs, for every item, the sum over its ratings of the outer product of the
 user's factors with themselves (a Gram matrix, packed as its lower half), and of the
-factors times the rating. Each task sums these for the ratings it holds before anything
-is shuffled, so an item with a third of all ratings is one small row per task and no
-task ever holds an item's ratings. Sums of one item then meet, are solved, and the
-factors are stored.
+factors times the rating. Ratings are dealt once for each side into blocks of bounded
+size, a block a row: the ratings of an item share a block, but an item with many is
+split over several. A half-step sends each block the factors of the users that occur in
+it, once each, and the block solves its items; only those that are split have their
+sums shuffled and added up first. So an item with a third of all ratings is a small row
+per block, and no task ever holds an item's ratings.
 
 Settings share the passes: the factors of all ranks and regularisations of a grid stand
 beside each other in one row, a pass over the ratings serves them all, and numbers of
@@ -28,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lodeworks.operators.evaluation import mark_best
 from lodeworks.operators.recommend import GRID_SCHEMA, SETTINGS
@@ -35,7 +38,8 @@ from lodeworks.sources.readers import rows_to_df
 from lodeworks.sources.scratch import materialize
 from lodeworks.sources.workers import importable
 
-HELD = 1 << 25  # numbers of partial sums that a task holds before it hands them on
+HELD = 1 << 24  # numbers of factors that a block holds, about
+SPLIT = 4  # an id with more than this part of a block is split over blocks
 ROWS = 1 << 22  # numbers of products that are made at a time
 
 
@@ -56,13 +60,15 @@ class Layout:
             at += rank
 
     def sums(self, factors: np.ndarray, ratings: np.ndarray) -> np.ndarray:
-        """Per row: for each setting its packed outer product, then the factors times the rating; last a 1."""
+        """Rows of ids with equally many ratings (``id, rating, factor``): per setting the packed Gram matrix, then the
+        factors times the ratings; last their number."""
         parts = []
         for rank, _, where in self.places():
-            own = factors[:, where]
+            own = factors[:, :, where]
+            turned = own.transpose(0, 2, 1)
             i, j = np.tril_indices(rank)
-            parts += [own[:, i] * own[:, j], own * ratings[:, None]]
-        return np.concatenate([*parts, np.ones((len(ratings), 1))], axis=1)
+            parts += [(turned @ own)[:, i, j], (turned @ ratings[:, :, None])[:, :, 0]]
+        return np.concatenate([*parts, np.full((len(ratings), 1), ratings.shape[1])], axis=1)
 
     @property
     def sum_width(self) -> int:
@@ -100,36 +106,97 @@ def _grouped(codes: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return ordered[at], np.add.reduceat(sums[order], at, axis=0) if len(at) else sums
 
 
-def half_step(ratings: DataFrame, known: DataFrame, of: str, other: str, layout: Layout) -> DataFrame:
-    """``of, f``: factors of one side from ``ratings`` (``user, item, rating``) and the ``other`` side's factors."""
-    kind = ratings.schema[of].dataType.simpleString()
-    rated = ratings.join(known.select(F.col(other).alias("_known"), "f"), F.col(other) == F.col("_known")).select(
-        F.col(of).alias("id"), "rating", "f")
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[object, int] = {}
-        total = np.zeros((0, layout.sum_width))
-
-        def handed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(held), names), _wide(total[:len(held)])], names=["id", "sums"])
-
-        names = None
+@dataclass(frozen=True)
+class Side:
+    """The ratings of one side (``of``) in blocks, what factors each block needs, and whether any id is split."""
+
+    of: str
+    other: str
+    blocks: DataFrame
+    needs: DataFrame
+    n_blocks: int
+    split: bool
+
+
+def dealt(ratings: DataFrame, of: str, other: str, layout: Layout) -> Side:
+    """``ratings`` (``user, item, rating``, stored) in blocks, as many as a shuffle has partitions or more."""
+    spark, n = ratings.sparkSession, ratings.count()
+    n_blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * layout.width // HELD))
+    share = max(1, int(n / (SPLIT * n_blocks)))
+    large = materialize(ratings.groupBy(F.col(of).alias("_large")).agg(F.count(F.lit(1)).alias("_n")).where(
+        F.col("_n") > share), "split-ids")
+    numbered = ratings.select(of, other, "rating", F.monotonically_increasing_id().alias("_row"))
+    part = F.coalesce(F.pmod("_row", F.ceil(F.col("_n") / share)), F.lit(0))
+    placed = numbered.join(large, F.col(of) == F.col("_large"), "left").select(
+        F.pmod(F.xxhash64(of, part), F.lit(n_blocks)).cast("int").alias("block"), F.col(of).alias("id"),
+        F.col(other).alias("other"), "rating", F.col("_n").isNotNull().alias("split"))
+
+    def packed(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, others = (table.column(c).combine_chunks().dictionary_encode() for c in ("id", "other"))
+        codes = ids.indices.to_numpy()
+        order = np.argsort(codes, kind="stable")
+        ends = np.cumsum(np.bincount(codes))
+        first = pa.array(order[np.append(0, ends[:-1])])
+        row = [key[0].cast(pa.int32()), ids.dictionary, table.column("split").combine_chunks().take(first),
+               ends.astype("<i8").tobytes(), others.dictionary, others.indices.to_numpy()[order].astype("<i4").tobytes(),
+               table.column("rating").to_numpy()[order].astype("<f8").tobytes()]
+        return pa.table({name: pa.array([x.to_pylist() if isinstance(x, pa.Array) else x.as_py() if isinstance(x, pa.Scalar) else x], kind)
+                         for name, x, kind in zip(names, row, kinds, strict=True)})
+
+    id_kind, other_kind = (ratings.schema[c].dataType.simpleString() for c in (of, other))
+    names = ["block", "ids", "split", "ends", "others", "places", "ratings"]
+    listed = [pa.list_(to_arrow_type(ratings.schema[c].dataType)) for c in (of, other)]
+    kinds = [pa.int32(), listed[0], pa.list_(pa.bool_()), pa.binary(), listed[1], pa.binary(), pa.binary()]
+    blocks = materialize(placed.groupBy("block").applyInArrow(packed, (
+        f"block int, ids array<{id_kind}>, split array<boolean>, ends binary, others array<{other_kind}>, places binary, ratings binary")),
+        f"{of}-blocks")
+    needs = materialize(blocks.select("block", F.posexplode("others").alias("place", "other")), f"{of}-needs")
+    return Side(of, other, blocks, needs, n_blocks, not large.isEmpty())
+
+
+def half_step(side: Side, known: DataFrame, layout: Layout) -> DataFrame:
+    """``of, f``: factors of one side from its blocks and the ``other`` side's factors, stored."""
+    kind = side.blocks.schema["ids"].dataType.elementType.simpleString()
+    sent = side.needs.join(known.select(F.col(side.other).alias("other"), "f"), "other").select("block", "place", "f")
+    met = side.blocks.drop("others").unionByName(sent, allowMissingColumns=True).repartitionById(side.n_blocks, "block")
+
+    def solve_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The partition is one block: a row of its ratings, and the factors that it needs."""
+        block, places, parts = None, [], []
         for batch in batches:
-            names = batch.column("id").type
-            step = max(1, ROWS // layout.sum_width)
-            for some in (batch.slice(start, step) for start in range(0, batch.num_rows, step)):
-                coded = some.column("id").dictionary_encode()
-                codes, sums = _grouped(coded.indices.to_numpy(), layout.sums(
-                    _matrix(some.column("f"), layout.width), some.column("rating").to_numpy()))
-                places = np.array([held.setdefault(x, len(held)) for x in coded.dictionary.take(pa.array(codes)).to_pylist()])
-                if len(held) > len(total):
-                    total = np.concatenate([total, np.zeros((max(len(held) - len(total), len(total)), layout.sum_width))])
-                total[places] += sums
-                if total.size > HELD:
-                    yield handed()
-                    held, total = {}, np.zeros((0, layout.sum_width))
-        if held:
-            yield handed()
+            own = batch.column("ends").is_valid()
+            if own.true_count:
+                block = batch.filter(own)
+            some = batch.filter(batch.column("f").is_valid())
+            places.append(some.column("place").to_numpy())
+            parts.append(_matrix(some.column("f"), layout.width))
+        if block is None:
+            return
+        factors = np.empty((sum(map(len, places)), layout.width))
+        for place, part in zip(places, parts, strict=True):
+            factors[place] = part
+        ids, split = block.column("ids").values, block.column("split").values
+        ends, place, ratings = (np.frombuffer(block.column(c)[0].as_buffer(), t) for c, t in (
+            ("ends", "<i8"), ("places", "<i4"), ("ratings", "<f8")))
+        starts = np.append(0, ends)
+        counts = np.diff(starts)
+        for n in np.unique(counts).tolist():
+            alike = np.flatnonzero(counts == n)
+            wide = max(1, ROWS // layout.width)  # ratings at a time
+            some = max(1, ROWS // max(n * layout.width, layout.sum_width))  # ids at a time
+            for own in (alike[c:c + some] for c in range(0, len(alike), some)):
+                sums = np.zeros((len(own), layout.sum_width))
+                for c in range(0, n, wide):
+                    rows = starts[own][:, None] + np.arange(c, min(n, c + wide))
+                    sums += layout.sums(factors[place[rows]], ratings[rows])
+                whole = ~split.take(pa.array(own)).to_numpy(zero_copy_only=False)
+                for rows, name, values in ((whole, "f", layout.solved), (~whole, "sums", lambda x: x)):
+                    if rows.any():
+                        found = _wide(values(sums[rows]))
+                        columns = {"id": ids.take(pa.array(own[rows])), "f": pa.nulls(len(found), found.type),
+                                   "sums": pa.nulls(len(found), found.type), name: found}
+                        yield pa.RecordBatch.from_pydict(columns)
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The rows of an id stand together; the last id of a batch may go on in the next."""
@@ -153,9 +220,12 @@ def half_step(ratings: DataFrame, known: DataFrame, of: str, other: str, layout:
         if last is not None:
             yield pa.RecordBatch.from_arrays([pa.array([last[0]], names), _wide(layout.solved(last[1][None]))], names=["id", "f"])
 
-    sums = rated.mapInArrow(partial, f"id {kind}, sums array<double>")
-    together = sums.repartition("id").sortWithinPartitions("id")
-    return together.mapInArrow(solve, f"id {kind}, f array<double>").withColumnRenamed("id", of)
+    found = materialize(met.mapInArrow(solve_block, f"id {kind}, f array<double>, sums array<double>"), f"{side.of}-factors")
+    whole = found.where("f is not null").select("id", "f")
+    if side.split:
+        together = found.where("sums is not null").select("id", "sums").repartition("id").sortWithinPartitions("id")
+        whole = materialize(whole.unionByName(together.mapInArrow(solve, f"id {kind}, f array<double>")), f"{side.of}-factors")
+    return whole.withColumnRenamed("id", side.of)
 
 
 def start(ratings: DataFrame, side: str, layout: Layout, seed: int) -> DataFrame:
@@ -179,10 +249,11 @@ def run(ratings: DataFrame, layout: Layout, iterations: Sequence[int], seed: int
     """The factors of users and items after each of the given numbers of iterations, in ascending order."""
     importable(ratings.sparkSession)
     stored = materialize(ratings, "ratings")
+    by_item, by_user = dealt(stored, "item", "user", layout), dealt(stored, "user", "item", layout)
     users = materialize(start(stored, "user", layout, seed), "user-factors")
     for done in range(1, max(iterations) + 1):
-        items = materialize(half_step(stored, users, "item", "user", layout), "item-factors")
-        users = materialize(half_step(stored, items, "user", "item", layout), "user-factors")
+        items = half_step(by_item, users, layout)
+        users = half_step(by_user, items, layout)
         if done in iterations:
             yield done, users, items
 

@@ -28,9 +28,11 @@ def plain_als(ratings, start, rank, reg, iters):
     return users, items
 
 
-@pytest.mark.parametrize("held", [40, 1 << 25])
-def test_grid_equals_numpy(spark, monkeypatch, held):
-    monkeypatch.setattr(factors, "HELD", held)
+@pytest.mark.parametrize(("held", "split", "rows"), [(1 << 24, 4, 1 << 22), (200, 4, 1 << 22), (1 << 24, 1e-9, 40)])
+def test_grid_equals_numpy(spark, monkeypatch, held, split, rows):
+    monkeypatch.setattr(factors, "HELD", held)  # many blocks, ids that are split or none, and few rows at a time
+    monkeypatch.setattr(factors, "SPLIT", split)
+    monkeypatch.setattr(factors, "ROWS", rows)
     ratings = rated()
     df = spark.createDataFrame([*ratings, (None, 1, 2.0), (1, None, 2.0), (1, 1, None), (1, 1, float("nan"))], SCHEMA).repartition(4)
     held_out = rated(60, 2) + [(999, 1, 3.0), (1, 999, 3.0)]
