@@ -4,10 +4,13 @@ A half-step needs, for every item, the sum over its ratings of the outer product
 user's factors with themselves (a Gram matrix, packed as its lower half), and of the
 factors times the rating. Ratings are dealt once for each side into blocks of bounded
 size, a block a row: the ratings of an item share a block, but an item with many is
-split over several. A half-step sends each block the factors of the users that occur in
-it, once each, and the block solves its items; only those that are split have their
-sums shuffled and added up first. So an item with a third of all ratings is a small row
-per block, and no task ever holds an item's ratings.
+split over several. The task that solves a block sends its factors on as one matrix for
+each block of the other side, with the rows that occur there and no others; which rows
+those are is worked out once, when the blocks are made. So a half-step is one shuffle of
+a few wide rows, without a join, and half-steps follow one another as the stages of one
+job. Sums of ids that are split are shuffled to one block, which adds them up, solves
+them and sends the factors. An item with a third of all ratings is a small row per
+block, and no task ever holds an item's ratings.
 
 Settings share the passes: the factors of all ranks and regularisations of a grid stand
 beside each other in one row, a pass over the ratings serves them all, and numbers of
@@ -28,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -39,8 +43,10 @@ from lodeworks.sources.scratch import materialize
 from lodeworks.sources.workers import importable
 
 HELD = 1 << 24  # numbers of factors that a block holds, about
+RATED = 1 << 21  # ratings that a block holds, about
 SPLIT = 4  # an id with more than this part of a block is split over blocks
-ROWS = 1 << 22  # numbers of products that are made at a time
+ROWS = 1 << 22  # numbers of products that are made, or of factors that are sent, at a time
+CHAINED = 8  # half-steps that are stages of one job
 
 
 @dataclass(frozen=True)
@@ -98,144 +104,294 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def _grouped(codes: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes in order and the sums of their rows."""
-    order = np.argsort(codes, kind="stable")
-    ordered = codes[order]
-    at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(codes) else np.zeros(0, np.int64)
-    return ordered[at], np.add.reduceat(sums[order], at, axis=0) if len(at) else sums
+def _filled(schema: pa.Schema, n: int, **columns: object) -> pa.RecordBatch:
+    """``n`` rows with these columns (arrays or lists), the others null."""
+    return pa.RecordBatch.from_arrays([
+        found if isinstance(found := columns.get(c.name, pa.nulls(n, c.type)), pa.Array) else pa.array(found, c.type)
+        for c in schema], schema=schema)
+
+
+def _listed(values: pa.Array, kind: pa.DataType) -> pa.Array:
+    """One row with all values as its list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values.cast(kind.value_type))
+
+
+def _numbers(row: dict, column: str, kind: str) -> np.ndarray:
+    return np.frombuffer(row[column].as_buffer(), kind)
+
+
+def _met(batches: Iterator[pa.RecordBatch], own: str) -> tuple[dict | None, list[pa.RecordBatch]]:
+    """The one row of a partition that has the column ``own``, by name, and the batches of the others."""
+    row, others = None, []
+    for batch in batches:
+        mine = batch.column(own).is_valid()
+        if mine.true_count:
+            found = batch.filter(mine)
+            row = {name: found.column(name)[0] for name in found.schema.names}
+        if mine.true_count < batch.num_rows:
+            others.append(batch.filter(pc.invert(mine)))
+    return row, others
 
 
 @dataclass(frozen=True)
 class Side:
-    """The ratings of one side (``of``) in blocks, what factors each block needs, and whether any id is split."""
+    """One side (``of``) in blocks, and whether any of its ids is split.
+
+    A row of ``blocks`` is a source of factors: below ``n_blocks`` a block with its ratings (``ids``; ``own``, the source
+    that solves each; ``ends`` of their ratings; ``places`` of the ratings' factors in what the block is sent; ``ratings``),
+    beyond it the split ids that one block solves (``ids``). The source sends block ``to[i]`` of the other side the factors
+    of ``mine``, up to ``to_ends[i]``.
+    """
 
     of: str
     other: str
     blocks: DataFrame
-    needs: DataFrame
     n_blocks: int
     split: bool
 
 
-def dealt(ratings: DataFrame, of: str, other: str, layout: Layout) -> Side:
-    """``ratings`` (``user, item, rating``, stored) in blocks, as many as a shuffle has partitions or more."""
+def dealt(ratings: DataFrame, layout: Layout) -> tuple[Side, Side]:
+    """The users and the items of ``ratings`` (``user, item, rating``, stored) in blocks, a task each or more of bounded size."""
     spark, n = ratings.sparkSession, ratings.count()
-    n_blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * layout.width // HELD))
+    n_blocks = max(spark.sparkContext.defaultParallelism, -(-n * layout.width // HELD), -(-n // RATED))
     share = max(1, int(n / (SPLIT * n_blocks)))
-    large = materialize(ratings.groupBy(F.col(of).alias("_large")).agg(F.count(F.lit(1)).alias("_n")).where(
-        F.col("_n") > share), "split-ids")
-    numbered = ratings.select(of, other, "rating", F.monotonically_increasing_id().alias("_row"))
-    part = F.coalesce(F.pmod("_row", F.ceil(F.col("_n") / share)), F.lit(0))
-    placed = numbered.join(large, F.col(of) == F.col("_large"), "left").select(
-        F.pmod(F.xxhash64(of, part), F.lit(n_blocks)).cast("int").alias("block"), F.col(of).alias("id"),
-        F.col(other).alias("other"), "rating", F.col("_n").isNotNull().alias("split"))
-
-    def packed(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
+    placed, homes = ratings.withColumn("_row", F.monotonically_increasing_id()), {}
+    for of in ("user", "item"):
+        home = F.pmod(F.xxhash64(of, F.lit(0).cast("bigint")), F.lit(n_blocks)).cast("int")
+        large = materialize(ratings.groupBy(of).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > share).select(
+            of, "n", (home + n_blocks).alias("src")), "split-ids")
+        if large.isEmpty():
+            placed = placed.withColumns({f"{of}_block": home, f"{of}_src": home})
+            continue
+        homes[of] = large.select("src", F.col(of).alias("id"))
+        part = F.coalesce(F.pmod("_row", F.ceil(F.col("_n") / share)), F.lit(0).cast("bigint"))
+        block = F.pmod(F.xxhash64(of, part), F.lit(n_blocks)).cast("int")
+        placed = placed.join(large.select(F.col(of).alias("_id"), F.col("n").alias("_n"), F.col("src").alias("_src")),
+                             F.col(of) == F.col("_id"), "left").withColumns(
+            {f"{of}_block": block, f"{of}_src": F.coalesce("_src", block)}).drop("_id", "_n", "_src")
+    kept = {of: materialize(_blocks(placed, of, other, n_blocks), f"{of}-ratings") for of, other in (("user", "item"), ("item", "user"))}
+
+    def side(of: str, other: str) -> Side:
+        own = kept[of].where("ids is not null").withColumn("src", F.col("block")).drop("block", "wanted")
+        if of in homes:
+            gathered = homes[of].groupBy("src").agg(F.collect_list("id").alias("ids"))
+            own = own.unionByName(gathered, allowMissingColumns=True)
+        wanted = kept[other].where("wanted is not null").select("src", "block", "wanted")
+        linked = _linked(own.unionByName(wanted, allowMissingColumns=True), n_blocks * (2 if of in homes else 1))
+        return Side(of, other, materialize(linked, f"{of}-blocks"), n_blocks, of in homes)
+
+    return side("user", "item"), side("item", "user")
+
+
+def _blocks(placed: DataFrame, of: str, other: str, n_blocks: int) -> DataFrame:
+    """A row for each block with its ratings, and one for each source with the ids whose factors the block wants from it."""
+    rows = placed.select(F.col(f"{of}_block").alias("block"), F.col(of).alias("id"), F.col(f"{of}_src").alias("own"),
+                         F.col(other).alias("other"), F.col(f"{other}_src").alias("src"), "rating")
+    kinds = {c: placed.schema[c].dataType for c in (of, other)}
+    lists = {c: pa.list_(to_arrow_type(kind)) for c, kind in kinds.items()}
+    schema = pa.schema([("block", pa.int32()), ("ids", lists[of]), ("own", pa.binary()), ("ends", pa.binary()), ("places", pa.binary()),
+                        ("ratings", pa.binary()), ("src", pa.int32()), ("wanted", lists[other])])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The partition is one block."""
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches)
+        number = table.column("block")[0].as_py()
         ids, others = (table.column(c).combine_chunks().dictionary_encode() for c in ("id", "other"))
-        codes = ids.indices.to_numpy()
+        codes, other_codes = ids.indices.to_numpy(), others.indices.to_numpy()
         order = np.argsort(codes, kind="stable")
         ends = np.cumsum(np.bincount(codes))
-        first = pa.array(order[np.append(0, ends[:-1])])
-        row = [key[0].cast(pa.int32()), ids.dictionary, table.column("split").combine_chunks().take(first),
-               ends.astype("<i8").tobytes(), others.dictionary, others.indices.to_numpy()[order].astype("<i4").tobytes(),
-               table.column("rating").to_numpy()[order].astype("<f8").tobytes()]
-        return pa.table({name: pa.array([x.to_pylist() if isinstance(x, pa.Array) else x.as_py() if isinstance(x, pa.Scalar) else x], kind)
-                         for name, x, kind in zip(names, row, kinds, strict=True)})
-
-    id_kind, other_kind = (ratings.schema[c].dataType.simpleString() for c in (of, other))
-    names = ["block", "ids", "split", "ends", "others", "places", "ratings"]
-    listed = [pa.list_(to_arrow_type(ratings.schema[c].dataType)) for c in (of, other)]
-    kinds = [pa.int32(), listed[0], pa.list_(pa.bool_()), pa.binary(), listed[1], pa.binary(), pa.binary()]
-    blocks = materialize(placed.groupBy("block").applyInArrow(packed, (
-        f"block int, ids array<{id_kind}>, split array<boolean>, ends binary, others array<{other_kind}>, places binary, ratings binary")),
-        f"{of}-blocks")
-    needs = materialize(blocks.select("block", F.posexplode("others").alias("place", "other")), f"{of}-needs")
-    return Side(of, other, blocks, needs, n_blocks, not large.isEmpty())
-
-
-def half_step(side: Side, known: DataFrame, layout: Layout) -> DataFrame:
-    """``of, f``: factors of one side from its blocks and the ``other`` side's factors, stored."""
-    kind = side.blocks.schema["ids"].dataType.elementType.simpleString()
-    sent = side.needs.join(known.select(F.col(side.other).alias("other"), "f"), "other").select("block", "place", "f")
-    met = side.blocks.drop("others").unionByName(sent, allowMissingColumns=True).repartitionById(side.n_blocks, "block")
+        first = order[np.append(0, ends[:-1])]
+        sources = np.empty(len(others.dictionary), np.int32)
+        sources[other_codes] = table.column("src").to_numpy()
+        by_source = np.argsort(sources, kind="stable")  # the order of what the block is sent
+        places = np.empty(len(sources), np.int32)
+        places[by_source] = np.arange(len(sources), dtype=np.int32)
+        yield _filled(schema, 1, block=[number], ids=_listed(ids.dictionary, lists[of]), own=[table.column("own").to_numpy()[first].astype("<i4").tobytes()],
+                      ends=[ends.astype("<i8").tobytes()], places=[places[other_codes[order]].astype("<i4").tobytes()],
+                      ratings=[table.column("rating").to_numpy()[order].astype("<f8").tobytes()])
+        found, at = np.unique(sources[by_source], return_index=True)
+        for source, some in zip(found.tolist(), np.split(by_source, at[1:]), strict=True):
+            yield _filled(schema, 1, block=[number], src=[source], wanted=_listed(others.dictionary.take(pa.array(some)), lists[other]))
+
+    return rows.repartitionById(n_blocks, "block").mapInArrow(packed, (
+        f"block int, ids array<{kinds[of].simpleString()}>, own binary, ends binary, places binary, ratings binary, "
+        f"src int, wanted array<{kinds[other].simpleString()}>"))
+
+
+def _linked(rows: DataFrame, n_sources: int) -> DataFrame:
+    """Sources (with ``ids``) with the places of the ids that each block wants (``src, block, wanted``)."""
+    passed = ["own", "ends", "places", "ratings"]
+    kind = rows.schema["ids"].dataType
+    listed = pa.list_(to_arrow_type(kind.elementType))
+    schema = pa.schema([("src", pa.int32()), ("ids", listed), *[(c, pa.binary()) for c in (*passed, "to", "to_ends", "mine")]])
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The partition is one source."""
+        row, others = _met(batches, "ids")
+        if row is None:
+            return
+        ids, to, mine = row["ids"].values, [], [np.zeros(0, np.int32)]
+        for batch in others:
+            to += batch.column("block").to_pylist()
+            mine += [pc.index_in(wanted.values, value_set=ids).to_numpy() for wanted in batch.column("wanted")]
+        yield _filled(schema, 1, src=[row["src"].as_py()], ids=_listed(ids, listed), **{c: [row[c].as_py()] for c in passed},
+                      to=[np.array(to, "<i4").tobytes()], to_ends=[np.cumsum([len(m) for m in mine[1:]], dtype="<i8").tobytes()],
+                      mine=[np.concatenate(mine).astype("<i4").tobytes()])
 
-    def solve_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The partition is one block: a row of its ratings, and the factors that it needs."""
-        block, places, parts = None, [], []
+    return rows.repartitionById(n_sources, "src").mapInArrow(links, (
+        f"src int, ids {kind.simpleString()}, {', '.join(f'{c} binary' for c in schema.names[2:])}"))
+
+
+@dataclass(frozen=True)
+class Post:
+    """What a source of one side gives: its factors, cut up for the blocks of the other side, or by id.
+
+    A row with a ``block`` is for that block; beyond ``n_blocks`` it has sums for a source that solves split ids (``ids``).
+    A row without has the factors of the source's ``ids``.
+    """
+
+    layout: Layout
+    ids: pa.DataType
+
+    @property
+    def schema(self) -> pa.Schema:
+        return pa.schema([("block", pa.int32()), ("src", pa.int32()), ("ids", self.ids), ("f", pa.binary())])
+
+    def sent(self, row: dict, found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The source's factors as the blocks of the other side want them."""
+        to, ends, mine = (_numbers(row, c, t) for c, t in (("to", "<i4"), ("to_ends", "<i8"), ("mine", "<i4")))
+        starts, at = np.append(0, ends), 0
+        while at < len(to):
+            end = max(at + 1, int(np.searchsorted(ends, starts[at] + ROWS // self.layout.width, "right")))
+            yield _filled(self.schema, end - at, block=pa.array(to[at:end]), src=[row["src"].as_py()] * (end - at),
+                          f=[found[mine[starts[i]:ends[i]]].tobytes() for i in range(at, end)])
+            at = end
+
+    def kept(self, row: dict, found: np.ndarray, ids: pa.Array) -> Iterator[pa.RecordBatch]:
+        """The source's factors by id."""
+        some = max(1, ROWS // self.layout.width)
+        for at in range(0, len(ids), some):
+            yield _filled(self.schema, 1, src=[row["src"].as_py()], ids=_listed(ids[at:at + some], self.ids), f=[found[at:at + some].tobytes()])
+
+
+def _posted(side: Side, layout: Layout) -> tuple[Post, str]:
+    kind = side.blocks.schema["ids"].dataType
+    return Post(layout, pa.list_(to_arrow_type(kind.elementType))), f"block int, src int, ids {kind.simpleString()}, f binary"
+
+
+def first_sent(side: Side, layout: Layout, seed: int) -> DataFrame:
+    """The starting factors of one side, as the other side's blocks want them."""
+    post, kind = _posted(side, layout)
+    started = side.blocks.select("src", "to", "to_ends", "mine", F.transform("ids", lambda x: F.array(*_started(x, layout, seed))).alias("f"))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = batch.column("ends").is_valid()
-            if own.true_count:
-                block = batch.filter(own)
-            some = batch.filter(batch.column("f").is_valid())
-            places.append(some.column("place").to_numpy())
-            parts.append(_matrix(some.column("f"), layout.width))
-        if block is None:
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i] for name in batch.schema.names}
+                yield from post.sent(row, _matrix(row["f"].values, layout.width))
+
+    return started.mapInArrow(send, kind)
+
+
+def half_step(side: Side, sent: DataFrame, layout: Layout, keep: bool) -> tuple[DataFrame, DataFrame | None]:
+    """From what its blocks are ``sent``: what the other side's are, and with ``keep`` the factors ``of, f``, both stored."""
+    post, kind = _posted(side, layout)
+    n_blocks = side.n_blocks
+    blocks = side.blocks.where(F.col("src") < n_blocks).withColumn("block", F.col("src"))
+    if not keep and not side.split:
+        blocks = blocks.drop("ids")
+    met = blocks.unionByName(sent.select("block", "src", "f"), allowMissingColumns=True).repartitionById(n_blocks, "block")
+
+    def solve_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The partition is one block: a row of its ratings, and the factors that it wants."""
+        row, others = _met(batches, "ends")
+        if row is None:
             return
-        factors = np.empty((sum(map(len, places)), layout.width))
-        for place, part in zip(places, parts, strict=True):
-            factors[place] = part
-        ids, split = block.column("ids").values, block.column("split").values
-        ends, place, ratings = (np.frombuffer(block.column(c)[0].as_buffer(), t) for c, t in (
-            ("ends", "<i8"), ("places", "<i4"), ("ratings", "<f8")))
+        parts = sorted(((src.as_py(), f) for batch in others for src, f in zip(batch.column("src"), batch.column("f"), strict=True)),
+                       key=lambda part: part[0])
+        factors = np.concatenate([np.frombuffer(f.as_buffer()) for _, f in parts]).reshape(-1, layout.width)
+        del parts, others
+        ends, place, ratings, own = (_numbers(row, c, t) for c, t in (
+            ("ends", "<i8"), ("places", "<i4"), ("ratings", "<f8"), ("own", "<i4")))
         starts = np.append(0, ends)
         counts = np.diff(starts)
-        for n in np.unique(counts).tolist():
-            alike = np.flatnonzero(counts == n)
+        found = np.zeros((len(counts), layout.width))
+        by_count = np.argsort(counts, kind="stable")
+        sizes, at = np.unique(counts[by_count], return_index=True)
+        for n, alike in zip(sizes.tolist(), np.split(by_count, at[1:]), strict=True):
             wide = max(1, ROWS // layout.width)  # ratings at a time
             some = max(1, ROWS // max(n * layout.width, layout.sum_width))  # ids at a time
-            for own in (alike[c:c + some] for c in range(0, len(alike), some)):
-                sums = np.zeros((len(own), layout.sum_width))
+            for those in (alike[c:c + some] for c in range(0, len(alike), some)):
+                sums = np.zeros((len(those), layout.sum_width))
                 for c in range(0, n, wide):
-                    rows = starts[own][:, None] + np.arange(c, min(n, c + wide))
+                    rows = starts[those][:, None] + np.arange(c, min(n, c + wide))
                     sums += layout.sums(factors[place[rows]], ratings[rows])
-                whole = ~split.take(pa.array(own)).to_numpy(zero_copy_only=False)
-                for rows, name, values in ((whole, "f", layout.solved), (~whole, "sums", lambda x: x)):
-                    if rows.any():
-                        found = _wide(values(sums[rows]))
-                        columns = {"id": ids.take(pa.array(own[rows])), "f": pa.nulls(len(found), found.type),
-                                   "sums": pa.nulls(len(found), found.type), name: found}
-                        yield pa.RecordBatch.from_pydict(columns)
-
-    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rows of an id stand together; the last id of a batch may go on in the next."""
-        last: tuple[object, np.ndarray] | None = None
-        names = None
-        for batch in batches:
-            names = batch.column("id").type
-            coded = batch.column("id").dictionary_encode()
-            codes, sums = _grouped(coded.indices.to_numpy(), _matrix(batch.column("sums"), layout.sum_width))
-            ids = coded.dictionary.take(pa.array(codes)).to_pylist()
-            if not ids:
-                continue
-            if last is not None:
-                if ids[0] == last[0]:
-                    sums[0] += last[1]
-                else:
-                    ids, sums = [last[0], *ids], np.concatenate([last[1][None], sums])
-            last = ids[-1], sums[-1]
-            if len(ids) > 1:
-                yield pa.RecordBatch.from_arrays([pa.array(ids[:-1], names), _wide(layout.solved(sums[:-1]))], names=["id", "f"])
-        if last is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([last[0]], names), _wide(layout.solved(last[1][None]))], names=["id", "f"])
-
-    found = materialize(met.mapInArrow(solve_block, f"id {kind}, f array<double>, sums array<double>"), f"{side.of}-factors")
-    whole = found.where("f is not null").select("id", "f")
+                whole = own[those] < n_blocks
+                if whole.any():
+                    found[those[whole]] = layout.solved(sums[whole])
+                for home in np.unique(own[those[~whole]]).tolist():
+                    there = own[those] == home
+                    yield _filled(post.schema, 1, block=[home], src=[row["src"].as_py()], f=[sums[there].tobytes()],
+                                  ids=_listed(row["ids"].values.take(pa.array(those[there])), post.ids))
+        yield from post.sent(row, found)
+        if keep:
+            whole = own < n_blocks
+            yield from post.kept(row, found[whole], row["ids"].values.filter(pa.array(whole)))
+
+    def solve_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The partition is one source of split ids, and the sums of their parts."""
+        row, others = _met(batches, "to")
+        if row is None:
+            return
+        ids = row["ids"].values
+        sums = np.zeros((len(ids), layout.sum_width))
+        parts = [(r["src"].as_py(), r["ids"].values, _numbers(r, "f", "<f8").reshape(-1, layout.sum_width)) for batch in others
+                 for r in ({name: batch.column(name)[i] for name in ("src", "ids", "f")} for i in range(batch.num_rows))]
+        for _, some, values in sorted(parts, key=lambda part: part[0]):  # an id occurs once in each block
+            sums[pc.index_in(some, value_set=ids).to_numpy()] += values
+        found = layout.solved(sums)
+        yield from post.sent(row, found)
+        if keep:
+            yield from post.kept(row, found, ids)
+
+    solved = met.mapInArrow(solve_block, kind)
     if side.split:
-        together = found.where("sums is not null").select("id", "sums").repartition("id").sortWithinPartitions("id")
-        whole = materialize(whole.unionByName(together.mapInArrow(solve, f"id {kind}, f array<double>")), f"{side.of}-factors")
-    return whole.withColumnRenamed("id", side.of)
+        solved = materialize(solved, f"{side.of}-factors")
+        homes = side.blocks.where(F.col("src") >= n_blocks).select("src", "ids", "to", "to_ends", "mine", F.col("src").alias("block"))
+        sums = homes.unionByName(solved.where(F.col("block") >= n_blocks), allowMissingColumns=True)
+        together = sums.withColumn("block", F.col("block") - n_blocks).repartitionById(n_blocks, "block").mapInArrow(solve_home, kind)
+        solved = solved.where(F.col("block").isNull() | (F.col("block") < n_blocks)).unionByName(together)
+    if not keep:
+        return solved, None
+    solved = materialize(solved, f"{side.of}-factors")
+    return solved.where("block is not null"), materialize(_by_id(solved.where("block is null"), layout, side.of), f"{side.of}-factors")
+
+
+def _by_id(kept: DataFrame, layout: Layout, of: str) -> DataFrame:
+    """``of, f`` from rows of many ids."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, f in zip(batch.column("ids"), batch.column("f"), strict=True):
+                yield pa.RecordBatch.from_arrays([ids.values, _wide(np.frombuffer(f.as_buffer()).reshape(-1, layout.width))], names=[of, "f"])
 
+    return kept.mapInArrow(rows, f"{of} {kept.schema['ids'].dataType.elementType.simpleString()}, f array<double>")
 
-def start(ratings: DataFrame, side: str, layout: Layout, seed: int) -> DataFrame:
-    """``side, f``: numbers from 0 to 1 over the root of the rank, by hashing the id, the place in the row and the seed."""
+
+def _started(key: Column, layout: Layout, seed: int) -> list[Column]:
+    """Numbers from 0 to 1 over the root of the rank, by hashing the id, the place in the row and the seed."""
     def number(place: int, rank: int) -> Column:
-        text = F.concat_ws(":", F.col(side).cast("string"), F.lit(str(place)), F.lit(str(seed)))
+        text = F.concat_ws(":", key.cast("string"), F.lit(str(place)), F.lit(str(seed)))
         return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(2.0**32) / F.lit(float(rank) ** 0.5)
 
-    numbers = [number(i, rank) for rank, _, where in layout.places() for i in range(where.start, where.stop)]
-    return ratings.select(side).distinct().select(side, F.array(*numbers).alias("f"))
+    return [number(i, rank) for rank, _, where in layout.places() for i in range(where.start, where.stop)]
+
+
+def start(ratings: DataFrame, side: str, layout: Layout, seed: int) -> DataFrame:
+    """``side, f``: the starting factors of all ids of a side."""
+    return ratings.select(side).distinct().select(side, F.array(*_started(F.col(side), layout, seed)).alias("f"))
 
 
 def usable(df: DataFrame, user: str, item: str, rating: str) -> DataFrame:
@@ -248,14 +404,17 @@ def usable(df: DataFrame, user: str, item: str, rating: str) -> DataFrame:
 def run(ratings: DataFrame, layout: Layout, iterations: Sequence[int], seed: int) -> Iterator[tuple[int, DataFrame, DataFrame]]:
     """The factors of users and items after each of the given numbers of iterations, in ascending order."""
     importable(ratings.sparkSession)
-    stored = materialize(ratings, "ratings")
-    by_item, by_user = dealt(stored, "item", "user", layout), dealt(stored, "user", "item", layout)
-    users = materialize(start(stored, "user", layout, seed), "user-factors")
+    by_user, by_item = dealt(materialize(ratings, "ratings"), layout)
+    sent, chained = first_sent(by_user, layout, seed), 0
     for done in range(1, max(iterations) + 1):
-        items = half_step(by_item, users, layout)
-        users = half_step(by_user, items, layout)
+        found = {}
+        for side in (by_item, by_user):
+            sent, found[side.of] = half_step(side, sent, layout, keep=done in iterations)
+            chained = 0 if done in iterations or side.split else chained + 1
+            if chained == CHAINED:
+                sent, chained = materialize(sent, f"{side.of}-factors"), 0
         if done in iterations:
-            yield done, users, items
+            yield done, found["user"], found["item"]
 
 
 def errors(pairs: DataFrame, users: DataFrame, items: DataFrame, layout: Layout) -> list[float | None]:

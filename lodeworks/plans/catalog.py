@@ -604,10 +604,15 @@ def als_predict_keys(spark, sf):
     return als_predict(spark, sf).where(F.col("prediction").between(-1000, 1000)).select(*PAIR_KEY, F.round("Rating", 6).alias("Rating"))
 
 
+def _pair_frames(spark, sf, weights, seed):
+    """Interactions, stored once, split by their key."""
+    return sampling.split_frames(materialize(inputs.interactions(spark, sf), "interactions"), PAIR_KEY, weights, seed)
+
+
 @query
 def als_grid(spark, sf):
     """All 27 settings, from one run."""
-    train, validation = sampling.split_frames(inputs.interactions(spark, sf), PAIR_KEY, [4, 1], 137)
+    train, validation = _pair_frames(spark, sf, [4, 1], 137)
     return factors.tune(train, validation)
 
 

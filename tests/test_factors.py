@@ -61,6 +61,26 @@ def test_fit_and_best(spark):
         factors.fit(df, 2, 0.0)
 
 
+def test_half_steps_are_one_shuffle_each_and_need_no_join(spark, monkeypatch):
+    """A step once joined factors to ratings, and was stored and read again; grids of 40 steps ran out of time."""
+    monkeypatch.setattr(factors, "SPLIT", 1e-9)
+    layout = factors.Layout(((2, 0.1),))
+    df = spark.createDataFrame([(f"u{u}", i, x) for u, i, x in rated()], "user string, item int, rating double")
+    sides = factors.dealt(df, layout)
+    sent = factors.first_sent(sides[0], layout, 5)
+    for side in (sides[1], sides[0]) * 2:
+        sent, none = factors.half_step(side, sent, layout, keep=False)
+        assert none is None
+    plan = sent._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange ") == 4 and "Join" not in plan
+    # what the blocks are sent last are the factors of the users
+    found = factors.run(df, layout, [2], 5)
+    _, users, _ = next(found)
+    want = {tuple(r.f) for r in users.collect()}
+    got = {tuple(f) for r in sent.collect() for f in np.frombuffer(r.f).reshape(-1, 2).round(9).tolist()}
+    assert got == {tuple(np.round(f, 9).tolist()) for f in want}
+
+
 def test_no_ratings(spark):
     df = spark.createDataFrame(rated(), SCHEMA)
     assert [r.val_rmse for r in factors.tune(df.limit(0), df, ranks=[2], regs=[0.1], iterations=[1]).collect()] == [None]
