@@ -619,7 +619,7 @@ def als_grid(spark, sf):
 @query
 def als_best(spark, sf):
     """All 27 settings, and the test error of the best."""
-    return factors.tune(*sampling.split_frames(inputs.interactions(spark, sf), PAIR_KEY, [3, 1, 1], 137))
+    return factors.tune(*_pair_frames(spark, sf, [3, 1, 1], 137))
 
 
 @query
