@@ -625,7 +625,7 @@ def als_best(spark, sf):
 @query
 def als_equations(spark, sf):
     """Two iterations of rank two, with the predictions of the held-out pairs."""
-    train, test = sampling.split_frames(inputs.interactions(spark, sf), PAIR_KEY, [4, 1], 137)
+    train, test = _pair_frames(spark, sf, [4, 1], 137)
     users, items = factors.fit(train, rank=2, reg=0.1, iters=2)
     found = factors.predict(test, users, items)
     return found.select(*PAIR_KEY, F.round("prediction", 3).alias("prediction"))
