@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -62,18 +62,43 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(*stored: DataFrame) -> None:
+    """Remove the tables of ``materialize``, when their consumers have run."""
+    for df in stored:
+        sc = df.sparkSession.sparkContext
+        for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextmanager
 def step(df: DataFrame, name: str = "step") -> Iterator[DataFrame]:
     """``materialize`` for the length of a block: the table is removed when its consumers have run."""
     stored = materialize(df, name)
-    paths = {file.rsplit("/", 1)[0] for file in stored.inputFiles()}
     try:
         yield stored
     finally:
-        sc = df.sparkSession.sparkContext
-        for path in paths:
-            folder = sc._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(stored)
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for the length of a block."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def swept(spark: SparkSession) -> AbstractContextManager[None]:
+    """Queries that run in the block remove the files of their shuffles as they end.
+
+    Else the files stay until the driver happens to collect its garbage, which a driver
+    with little to do does not.
+    """
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def lay_out(df: DataFrame, parts: int = FIT_PARTITIONS) -> DataFrame:
