@@ -22,6 +22,7 @@ from lodeworks.sources import (
     load_model, materialize, new_path, read_lines, read_table, save_model, write_lines, write_table,
 )
 from lodeworks.sources import typed_projection as cast_to
+from lodeworks.sources.scratch import swept
 from lodeworks.streaming import (
     latest_counts, start_prefix_counts, start_window_counts, trend, window_counts,
 )
@@ -608,7 +609,9 @@ def als_predict_keys(spark, sf):
 
 def _pair_frames(spark, sf, weights, seed):
     """Interactions, stored once, split by their key."""
-    return sampling.split_frames(materialize(inputs.interactions(spark, sf), "interactions"), PAIR_KEY, weights, seed)
+    with swept(spark):
+        pairs = materialize(inputs.interactions(spark, sf), "interactions")
+    return sampling.split_frames(pairs, PAIR_KEY, weights, seed)
 
 
 @query
