@@ -12,6 +12,11 @@ job. Sums of ids that are split are shuffled to one block, which adds them up, s
 them and sends the factors. An item with a third of all ratings is a small row per
 block, and no task ever holds an item's ratings.
 
+Where that would be much, and the ids of one side are few, all of these count as split,
+and their ratings lie in the blocks of the other side: each factor of the many is sent
+once, and the sums of the few in ``phases``, so that disk holds a part of them at a
+time. Half-steps are then stored one by one, and what the one before left is removed.
+
 Settings share the passes: the factors of all ranks and regularisations of a grid stand
 beside each other in one row, a pass over the ratings serves them all, and numbers of
 iterations are stages of one run. A grid of 27 settings with up to 20 iterations takes
